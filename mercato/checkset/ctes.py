@@ -217,8 +217,9 @@ CTES: dict[str, str] = {
         COUNT(*) OVER (PARTITION BY tax_id) AS group_rows
       FROM clients_typed""",
     "merges": """
-      SELECT client_id AS merged_id, survivor AS client_id, group_rows AS merged_rows
-      FROM clients_ranked WHERE client_id <> survivor""",
+      SELECT m.client_id AS merged_id, k.client_id, k.legal_name, k.segment, k.city, m.group_rows AS merged_rows
+      FROM clients_ranked m JOIN clients_ranked k ON k.tax_id = m.tax_id AND k.place = 1
+      WHERE m.client_id <> k.client_id""",
     "clients": """
       SELECT r.client_id, tax_id, legal_name, segment, city, state, district, registered_on, active,
         CASE WHEN group_rows > 1 THEN COALESCE(m.ids, []) END AS merged_ids,

@@ -12,7 +12,7 @@ from mercato.checkset.ctes import (
     AS_OF, HORIZON, QUEUE_N, SCORE_CUTOFF, TRAIN_CUTOFF, with_ctes,
 )
 from mercato.plans import call_queue, features, gold, marketplace, propensity, silver
-from mercato.session import configure
+from mercato.session import configure, materialize
 from mercato.sources import sample_tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,8 +20,9 @@ SQL: dict[str, str] = {}
 
 
 class Frames:
-    """All layers over one folder of test tables. Lazy plans only: nothing is kept
-    between queries."""
+    """All layers over one folder of test tables. Nothing is kept between queries.
+    A table that one query reads several times is written first (`stored_*`), as a
+    run over published tables would find it."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = configure(spark)
@@ -34,12 +35,16 @@ class Frames:
         return sample_tables.table(self.spark, self.folder, name)
 
     @cached_property
+    def _client_tables(self) -> tuple[DataFrame, DataFrame]:
+        return silver.client_tables(self.raw("client"))
+
+    @property
     def clients(self) -> DataFrame:
-        return silver.silver_clients(self.raw("client"))
+        return self._client_tables[0]
 
-    @cached_property
+    @property
     def merges(self) -> DataFrame:
-        return silver.client_merges(self.raw("client"))
+        return self._client_tables[1]
 
     @cached_property
     def orders(self) -> DataFrame:
@@ -81,6 +86,10 @@ class Frames:
     def fact(self) -> DataFrame:
         return gold.fact_sales(self.lines, self.orders, self.clients, self.merges, self.products)
 
+    @cached_property
+    def stored_fact(self) -> DataFrame:
+        return materialize(self.fact, "fact")
+
     @cached_property
     def dim_client(self) -> DataFrame:
         return gold.dim_client(self.clients, self.merges, self.orders, AS_OF)
@@ -100,15 +109,23 @@ class Frames:
     @cached_property
     def train_features(self) -> DataFrame:
         return features.features_train(
-            self.fact, self.visits, self.opportunities, self.clients, TRAIN_CUTOFF, HORIZON
+            self.stored_fact, self.visits, self.opportunities, self.clients, TRAIN_CUTOFF, HORIZON
         )
 
+    @cached_property
+    def stored_train_features(self) -> DataFrame:
+        return materialize(self.train_features, "train-features")
+
     @cached_property
     def score_features(self) -> DataFrame:
         return features.client_features(
-            self.fact, self.visits, self.opportunities, self.clients, SCORE_CUTOFF
+            self.stored_fact, self.visits, self.opportunities, self.clients, SCORE_CUTOFF
         )
 
+    @cached_property
+    def stored_score_features(self) -> DataFrame:
+        return materialize(self.score_features, "score-features")
+
     # A formula stands in for the model where SQL must be able to follow.
     @staticmethod
     def _stand_in(df: DataFrame) -> DataFrame:
@@ -116,17 +133,17 @@ class Frames:
 
     @cached_property
     def judged(self) -> DataFrame:
-        return self._stand_in(self.train_features)
+        return self._stand_in(self.stored_train_features)
 
     @cached_property
     def scores(self) -> DataFrame:
-        plain = self._stand_in(self.score_features).select("client_id", "score")
+        plain = self._stand_in(self.stored_score_features).select("client_id", "score")
         return propensity.score_bands(plain)
 
     @cached_property
     def queue(self) -> DataFrame:
         return call_queue.weekly_queue(
-            self.scores, self.portfolio, self.dim_rep, self.clients, self.score_features, QUEUE_N
+            self.scores, self.portfolio, self.dim_rep, self.clients, self.stored_score_features, QUEUE_N
         )
 
     @cached_property

@@ -32,18 +32,22 @@ class HotKeys(NamedTuple):
         return hot | key.isNull() if self.null else hot
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> HotKeys:
-    """Keys holding at least `share` of the rows. One pass over one column; tasks
-    ship sketches, not rows. A key missed or added here changes where rows are
-    joined, never the result."""
-    found = df.agg(
-        F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {SKETCH_ITEMS})").alias("top"),
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col(key).isNull()).alias("nulls"),
-    ).first()
+def hot_keys(df: DataFrame, *keys: str, share: float = HOT_SHARE) -> dict[str, HotKeys]:
+    """For each named column, the values holding at least `share` of the rows. One
+    pass over those columns; tasks ship sketches, not rows. A value missed or added
+    here changes where rows are joined, never the result."""
+    counts = [F.count(F.lit(1)).alias("rows")]
+    for key in keys:
+        counts.append(F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {SKETCH_ITEMS})").alias(f"{key}_top"))
+        counts.append(F.count_if(F.col(key).isNull()).alias(f"{key}_nulls"))
+    found = df.agg(*counts).first()
     floor = max(found["rows"] * share, MIN_HOT_ROWS)
-    values = tuple(t["item"] for t in found["top"] or () if t["item"] is not None and t["count"] >= floor)
-    return HotKeys(values, found["nulls"] >= floor)
+    out = {}
+    for key in keys:
+        top = found[f"{key}_top"] or ()
+        values = tuple(t["item"] for t in top if t["item"] is not None and t["count"] >= floor)
+        out[key] = HotKeys(values, found[f"{key}_nulls"] >= floor)
+    return out
 
 
 def salted_join(
@@ -65,7 +69,7 @@ def salted_join(
     if how not in ("inner", "left"):
         raise ValueError(f"salted_join does not do {how}")
     if hot is None:
-        hot = hot_keys(left, on)
+        hot = hot_keys(left, on)[on]
     if not hot:
         return left.join(right, on, how)
     salts = max(2, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))

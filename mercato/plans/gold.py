@@ -24,14 +24,10 @@ def id_map(clients: DataFrame, merges: DataFrame) -> DataFrame:
 
 
 def buyers(clients: DataFrame, merges: DataFrame) -> DataFrame:
-    """Client attributes under every id ever used; only merged ids need a join."""
-    profile = clients.select(*BUYER_COLUMNS)
-    moved = salted_join(
-        merges.select(F.col("merged_id").alias("source_id"), "client_id"),
-        profile, "client_id", ["source_id"],
-    )
-    own = profile.withColumn("source_id", F.col("client_id"))
-    return own.unionByName(moved)
+    """Client attributes under every id ever used. Merged ids bring the attributes
+    of their client along, so this is a union without a join."""
+    own = clients.select(F.col("client_id").alias("source_id"), *BUYER_COLUMNS)
+    return own.unionByName(merges.select(F.col("merged_id").alias("source_id"), *BUYER_COLUMNS))
 
 
 def dim_client(clients: DataFrame, merges: DataFrame, orders: DataFrame, as_of: str) -> DataFrame:
@@ -101,8 +97,9 @@ def fact_sales(
     """One row per line of an order that stands. Returns stay in, negative.
 
     Orders get their client first, being the smaller side; lines are shuffled once
-    per join, with hot products and orders spread. Hot order ids are looked up on
-    the lines themselves, before the product join."""
+    per join, with hot products and orders spread. Both are looked up in one pass
+    over two columns of the lines."""
+    hot = hot_keys(lines, "sku", "order_id")
     standing = orders.where(~F.col("cancelled")).select(
         "order_id", F.col("client_id").alias("source_id"), "rep_id", "ordered_on", "year", "month",
         "channel",
@@ -111,9 +108,9 @@ def fact_sales(
     catalog = products.select("sku", "category", "brand", "note", "unit_cost")
     priced = salted_join(
         lines.select("line_id", "order_id", "sku", "quantity", "unit_price", "is_return"),
-        catalog, "sku", ["line_id"],
+        catalog, "sku", ["line_id"], hot=hot["sku"],
     )
-    joined = salted_join(priced, sold, "order_id", ["line_id"], hot=hot_keys(lines, "order_id"))
+    joined = salted_join(priced, sold, "order_id", ["line_id"], hot=hot["order_id"])
     quantity = F.col("quantity")
     return joined.withColumns({
         "revenue": (quantity * F.col("unit_price")).cast(MONEY),

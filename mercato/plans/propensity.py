@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,36 +53,37 @@ def split(df: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
 
 # -- training and scoring ------------------------------------------------------
 
-def _inputs(df: DataFrame) -> DataFrame:
-    """Numbers as doubles, and for each whether it was missing: a missing overdue
-    ratio means a client with one order, which the trees should see."""
-    out = df.withColumn("multichannel_flag", F.col("multichannel").cast("double"))
-    return out.withColumns({
-        **{f"{c}_in": F.col(c).cast("double") for c in NUMERIC_FEATURES},
-        **{f"{c}_missing": F.col(c).isNull().cast("double") for c in NUMERIC_FEATURES},
-    })
+def _numbers(df: DataFrame) -> SQLTransformer:
+    """Numbers as doubles with the median for a missing one, and a flag that it was
+    missing: no overdue ratio means a client with one order, which the trees should
+    see. A column without any value becomes 0. Part of the saved model."""
+    typed = df.select(*[F.col(c).cast("double") for c in NUMERIC_FEATURES])
+    medians = typed.approxQuantile(list(NUMERIC_FEATURES), [0.5], 0.001)
+    made = []
+    for name, median in zip(NUMERIC_FEATURES, medians):
+        fill = repr(float(median[0])) if median else "0.0"
+        made.append(f"coalesce(cast({name} AS double), cast({fill} AS double)) AS {name}_in")
+        made.append(f"cast({name} IS NULL AS double) AS {name}_missing")
+    made.append("cast(multichannel AS double) AS multichannel_flag")
+    return SQLTransformer(statement=f"SELECT *, {', '.join(made)} FROM __THIS__")
 
 
 def train(df: DataFrame, label: str = LABEL, seed: int = SEED, max_iter: int = 20) -> PipelineModel:
-    raw = [f"{c}_in" for c in NUMERIC_FEATURES]
-    filled = [f"{c}_filled" for c in NUMERIC_FEATURES]
-    missing = [f"{c}_missing" for c in NUMERIC_FEATURES]
+    inputs = [f"{c}_{part}" for part in ("in", "missing") for c in NUMERIC_FEATURES]
     steps = [
-        Imputer(inputCols=raw, outputCols=filled, strategy="median"),
+        _numbers(df),
         # Unknown segments become the last index, which dropLast turns into zeros.
         StringIndexer(inputCol="segment", outputCol="segment_index", handleInvalid="keep"),
         OneHotEncoder(inputCol="segment_index", outputCol="segment_flags"),
-        VectorAssembler(
-            inputCols=[*filled, *missing, "segment_flags", "multichannel_flag"], outputCol="features"
-        ),
+        VectorAssembler(inputCols=[*inputs, "segment_flags", "multichannel_flag"], outputCol="features"),
         GBTClassifier(labelCol=label, featuresCol="features", seed=seed, maxIter=max_iter),
     ]
-    return Pipeline(stages=steps).fit(_inputs(df))
+    return Pipeline(stages=steps).fit(df)
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     """The frame with the probability of buying in `score`."""
-    scored = model.transform(_inputs(df))
+    scored = model.transform(df)
     return scored.select(*df.columns, vector_to_array("probability")[1].alias("score"))
 
 

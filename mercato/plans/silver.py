@@ -41,47 +41,42 @@ def client_groups(typed: DataFrame) -> DataFrame:
     )
 
 
-def _merges(typed: DataFrame, groups: DataFrame) -> DataFrame:
-    merged = groups.where("rows > 1").select(
-        "same_as", F.col("kept.client_id").alias("client_id"), F.col("rows").alias("merged_rows")
-    )
+def client_tables(
+    raw: DataFrame, words: Vocabulary = ENGLISH, list_limit: int = MERGED_IDS_LIMIT
+) -> tuple[DataFrame, DataFrame]:
+    """(clients, merges). Clients: one row each; `merged_ids` is NULL when nothing
+    was merged, and for groups over `list_limit` rows. Merges: one row per
+    merged-away id, all of them, with what the sales table needs of the client."""
+    typed = typed_clients(raw, words)
+    groups = client_groups(typed)
+    kept = [F.col(f"kept.{c}") for c in ("client_id", "legal_name", "segment", "city")]
+    merged = groups.where("rows > 1").select("same_as", *kept, F.col("rows").alias("merged_rows"))
     ids = typed.select("same_as", F.col("client_id").alias("merged_id"))
-    return (
+    merges = (
         salted_join(ids, merged, "same_as", ["merged_id"])
         .where("merged_id <> client_id")
-        .select("merged_id", "client_id", "merged_rows")
+        .select("merged_id", "client_id", "legal_name", "segment", "city", "merged_rows")
     )
-
-
-def client_merges(raw: DataFrame, words: Vocabulary = ENGLISH) -> DataFrame:
-    """One row per merged-away id: (merged_id, client_id, merged_rows)."""
-    typed = typed_clients(raw, words)
-    return _merges(typed, client_groups(typed))
-
-
-def silver_clients(
-    raw: DataFrame, words: Vocabulary = ENGLISH, list_limit: int = MERGED_IDS_LIMIT
-) -> DataFrame:
-    """One row per client. `merged_ids` is NULL when nothing was merged, and for
-    groups over `list_limit` rows, whose ids are in client_merges."""
-    typed = typed_clients(raw, words)
-    groups = client_groups(typed)
     lists = (
-        _merges(typed, groups)
-        .where(F.col("merged_rows") <= list_limit)
+        merges.where(F.col("merged_rows") <= list_limit)
         .groupBy("client_id")
         .agg(F.sort_array(F.collect_list("merged_id")).alias("ids"))
     )
-    kept = groups.select("kept.*", "rows").join(lists, "client_id", "left")
     listed = F.col("rows").between(2, list_limit)
-    return stamped(
-        kept.select(
-            "client_id", "tax_id", "legal_name", "segment", "city", "state", "district",
-            "registered_on", "active",
-            F.when(listed, F.coalesce("ids", F.expr("array()"))).alias("merged_ids"),
-        ),
-        raw,
+    clients = groups.select("kept.*", "rows").join(lists, "client_id", "left").select(
+        "client_id", "tax_id", "legal_name", "segment", "city", "state", "district",
+        "registered_on", "active",
+        F.when(listed, F.coalesce("ids", F.expr("array()"))).alias("merged_ids"),
     )
+    return stamped(clients, raw), merges
+
+
+def silver_clients(raw: DataFrame, words: Vocabulary = ENGLISH) -> DataFrame:
+    return client_tables(raw, words)[0]
+
+
+def client_merges(raw: DataFrame, words: Vocabulary = ENGLISH) -> DataFrame:
+    return client_tables(raw, words)[1]
 
 
 def silver_orders(raw: DataFrame, words: Vocabulary = ENGLISH) -> DataFrame:

@@ -9,8 +9,6 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.operators.skew import salted_join
-
 # Events lie in 2024-01; they are moved back to the last month of the orders.
 EVENT_SHIFT_MONTHS = 270
 
@@ -49,8 +47,7 @@ def _priced_lines(spark: SparkSession, folder: str) -> DataFrame:
     part = table(spark, folder, "part").select(
         F.col("p_partkey").alias("l_partkey"), _price(F.col("p_retailprice")).alias("price")
     )
-    line = table(spark, folder, "lineitem")
-    return salted_join(line, part, "l_partkey", ["l_orderkey", "l_linenumber", "l_suppkey"])
+    return table(spark, folder, "lineitem").join(part, "l_partkey")
 
 
 def product_raw(spark: SparkSession, folder: str) -> DataFrame:
