@@ -44,18 +44,20 @@ def local_session(cores: str = "8", partitions: int = 8, **extra: str) -> SparkS
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder for intermediate tables: `spark.checkpoint.dir` where the
-    session names one. Without it a local session gets a temporary folder and a
-    cluster the (shared) warehouse."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if spark.sparkContext.master.startswith("local"):
-        root = tempfile.mkdtemp(prefix="mercato-")
-    else:
-        root = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_mercato_scratch")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    """The folder for intermediate tables, one per application: under
+    `spark.checkpoint.dir` where the session names one. Without it a local session
+    gets a temporary folder and a cluster the (shared) warehouse. It can be deleted
+    once the application has ended."""
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not root:
+        if context.master.startswith("local"):
+            root = tempfile.mkdtemp(prefix="mercato-")
+        else:
+            root = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_mercato_scratch")
+        context.setCheckpointDir(root)
+        root = context.getCheckpointDir()
+    return os.path.join(root, f"mercato-{context.applicationId}")
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
