@@ -14,6 +14,8 @@ HOT_SHARE = 0.005
 MAX_HOT_KEYS = int(1 / HOT_SHARE)
 # Heavy-hitter sketch size: its error stays far below HOT_SHARE.
 SKETCH_ITEMS = 4096
+# More salts than partitions, as hashing them leaves some partitions several.
+SALTS_PER_PARTITION = 4
 # Fewer rows than this fit any task.
 MIN_HOT_ROWS = 50_000
 
@@ -72,7 +74,8 @@ def salted_join(
         hot = hot_keys(left, on)[on]
     if not hot:
         return left.join(right, on, how)
-    salts = max(2, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = partitions * SALTS_PER_PARTITION
     key = F.col(on)
     place = F.pmod(F.xxhash64(*[F.col(c) for c in spread_by]), F.lit(salts)).cast("int")
     spread = left.withColumn("salt", F.when(hot.matches(key), place).otherwise(F.lit(0)))
