@@ -14,7 +14,7 @@ QUEUE_N = 200
 
 def dround(expr: str, places: int) -> str:
     """Half-up rounding of the decimal a double prints as."""
-    return f"CAST(ROUND(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,12)), {places}) AS DOUBLE)"
+    return f"CAST(ROUND(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,20)), {places}) AS DOUBLE)"
 
 
 def ratio(num: str, den: str, places: int | None = None, factor: int = 1) -> str:

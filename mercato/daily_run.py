@@ -7,6 +7,7 @@ import os
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -54,6 +55,13 @@ class Lake:
         return catalog.publish_table(df, self.name(layer, table), **options)
 
 
+def side_by_side(lake: Lake, *jobs: Callable[[], object]) -> list[object]:
+    """Independent writes share the cluster instead of waiting for each other."""
+    wrap = inheritable_thread_target(lake.spark)
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [done.result() for done in [pool.submit(wrap(job)) for job in jobs]]
+
+
 # -- steps -------------------------------------------------------------------------
 
 def arrival_step(lake: Lake) -> None:
@@ -64,16 +72,18 @@ def arrival_step(lake: Lake) -> None:
 
 def bronze_step(lake: Lake) -> None:
     database = f"{lake.prefix}bronze"
-    for file in lake.files:
-        landing.bronze_ingest(lake.spark, lake.landing, file, database)
+    side_by_side(lake, *[partial(landing.bronze_ingest, lake.spark, lake.landing, f, database) for f in lake.files])
     log = lake.spark.table(lake.name("bronze", "arrival_log"))
     landing.reconcile_gate(landing.row_count_reconcile(lake.spark, database, lake.files, log))
 
 
 def silver_clients_step(lake: Lake) -> None:
     clients, merges = silver.client_tables(lake.raw("client"), lake.parameters.words)
-    lake.publish(clients, "silver", "clients", rules=row_rules()["clients"])
-    lake.publish(merges, "silver", "client_merges")
+    side_by_side(
+        lake,
+        lambda: lake.publish(clients, "silver", "clients", rules=row_rules()["clients"]),
+        lambda: lake.publish(merges, "silver", "client_merges"),
+    )
 
 
 def silver_orders_step(lake: Lake) -> None:
@@ -91,20 +101,34 @@ def silver_products_step(lake: Lake) -> None:
 
 def silver_crm_step(lake: Lake) -> None:
     words = lake.parameters.words
-    reps = lake.publish(silver.silver_reps(lake.raw("rep")), "silver", "reps")
-    lake.publish(silver.silver_visits(lake.raw("visit")), "silver", "visits")
-    lake.publish(silver.silver_payments(lake.raw("payment")), "silver", "payments")
-    lake.publish(silver.silver_portfolio(lake.raw("portfolio"), reps), "silver", "portfolio")
-    lake.publish(silver.silver_opportunities(lake.raw("opportunity"), words), "silver", "opportunities")
-    lake.publish(silver.silver_stock(lake.raw("stock")), "silver", "stock")
+
+    def reps_and_portfolio() -> None:
+        reps = lake.publish(silver.silver_reps(lake.raw("rep")), "silver", "reps")
+        lake.publish(silver.silver_portfolio(lake.raw("portfolio"), reps), "silver", "portfolio")
+
+    side_by_side(
+        lake,
+        reps_and_portfolio,
+        lambda: lake.publish(silver.silver_visits(lake.raw("visit")), "silver", "visits"),
+        lambda: lake.publish(silver.silver_payments(lake.raw("payment")), "silver", "payments"),
+        lambda: lake.publish(
+            silver.silver_opportunities(lake.raw("opportunity"), words), "silver", "opportunities"
+        ),
+        lambda: lake.publish(silver.silver_stock(lake.raw("stock")), "silver", "stock"),
+    )
 
 
 def dimensions_step(lake: Lake) -> None:
     clients, merges, orders = lake.silver("clients"), lake.silver("client_merges"), lake.silver("orders")
-    lake.publish(gold.dim_client(clients, merges, orders, lake.parameters.as_of), "gold", "dim_client")
-    lake.publish(gold.dim_product(lake.silver("products")), "gold", "dim_product")
-    lake.publish(gold.dim_rep(lake.silver("reps")), "gold", "dim_rep")
-    lake.publish(gold.dim_calendar(orders), "gold", "dim_calendar")
+    products, reps = lake.silver("products"), lake.silver("reps")
+    dim_client = gold.dim_client(clients, merges, orders, lake.parameters.as_of)
+    side_by_side(
+        lake,
+        lambda: lake.publish(dim_client, "gold", "dim_client"),
+        lambda: lake.publish(gold.dim_product(products), "gold", "dim_product"),
+        lambda: lake.publish(gold.dim_rep(reps), "gold", "dim_rep"),
+        lambda: lake.publish(gold.dim_calendar(orders), "gold", "dim_calendar"),
+    )
 
 
 def fact_step(lake: Lake) -> None:
@@ -116,11 +140,14 @@ def fact_step(lake: Lake) -> None:
 
 
 def marts_step(lake: Lake) -> None:
-    fact = lake.gold("fact_sales")
-    lake.publish(gold.mart_rep_month(fact, lake.gold("dim_rep")), "gold", "mart_rep_month")
-    lake.publish(gold.mart_product_month(fact), "gold", "mart_product_month")
-    receivables = gold.mart_receivables(lake.silver("payments"), lake.parameters.words)
-    lake.publish(receivables, "gold", "mart_receivables")
+    fact, reps, payments = lake.gold("fact_sales"), lake.gold("dim_rep"), lake.silver("payments")
+    words = lake.parameters.words
+    side_by_side(
+        lake,
+        lambda: lake.publish(gold.mart_rep_month(fact, reps), "gold", "mart_rep_month"),
+        lambda: lake.publish(gold.mart_product_month(fact), "gold", "mart_product_month"),
+        lambda: lake.publish(gold.mart_receivables(payments, words), "gold", "mart_receivables"),
+    )
 
 
 def tests_step(lake: Lake) -> None:
@@ -164,8 +191,12 @@ def features_step(lake: Lake) -> None:
     train = features.features_train(
         *inputs, p.train_cutoff, p.horizon_days, p.label_includes_cutoff, **options
     )
-    lake.publish(train, "gold", "features_train")
-    lake.publish(features.client_features(*inputs, p.score_cutoff, **options), "gold", "features_score")
+    current = features.client_features(*inputs, p.score_cutoff, **options)
+    side_by_side(
+        lake,
+        lambda: lake.publish(train, "gold", "features_train"),
+        lambda: lake.publish(current, "gold", "features_score"),
+    )
 
 
 def model_step(lake: Lake) -> None:
@@ -260,10 +291,7 @@ def run_all(lake: Lake, only: Iterable[str] | None = None) -> Lake:
         if len(chosen) == 1:
             _timed(lake, *chosen[0])
         elif chosen:
-            with ThreadPoolExecutor(len(chosen)) as pool:
-                jobs = [pool.submit(inheritable_thread_target(lake.spark)(_timed), lake, n, s) for n, s in chosen]
-            for job in jobs:
-                job.result()
+            side_by_side(lake, *[partial(_timed, lake, n, s) for n, s in chosen])
     return lake
 
 

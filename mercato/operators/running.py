@@ -24,8 +24,10 @@ def running_total(
     order_by: Sequence[str],
     into: str = "running",
     group_by: Sequence[str] = (),
+    total_into: str | None = None,
 ) -> DataFrame:
-    """Sum of `value` from the first row up to each row, per group if given.
+    """Sum of `value` from the first row up to each row, per group if given; with
+    `total_into` also the sum of all rows.
 
     `order_by` must name a unique order and `group_by` must not be NULL. Rows are
     range-partitioned by that order and written once with their slice number;
@@ -40,13 +42,15 @@ def running_total(
         ),
         "running",
     )
-    earlier = (
-        Window.partitionBy(*groups).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    )
+    slices = Window.partitionBy(*groups)
+    earlier = slices.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = [F.coalesce(F.sum("slice_sum").over(earlier), F.lit(0)).alias("before")]
+    if total_into:
+        carried.append(F.sum("slice_sum").over(slices).alias(total_into))
     offsets = (
         placed.groupBy(*groups, "slice")
         .agg(F.sum(value).alias("slice_sum"))
-        .select(*groups, "slice", F.coalesce(F.sum("slice_sum").over(earlier), F.lit(0)).alias("before"))
+        .select(*groups, "slice", *carried)
     )
     inside = (
         Window.partitionBy(*groups, "slice")
@@ -73,9 +77,7 @@ def exact_quantiles(df: DataFrame, value: str, points: Sequence[float]) -> DataF
     """One row q0, q1, ... of linearly interpolated quantiles. Works on counts per
     distinct value, so no task ever holds all values."""
     counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("n"))
-    run = running_total(counts, "n", [value], "upto")
-    rows = run.agg(F.max("upto").cast("bigint")).scalar()
-    placed = run.withColumn("rows", rows)
+    placed = running_total(counts, "n", [value], "upto", total_into="rows")
 
     picks = []
     for i, p in enumerate(points):

@@ -163,8 +163,8 @@ def abc_class(sales: DataFrame, limits: Sequence[float] = ABC_LIMITS) -> DataFra
     the fact or any frame with sku and revenue. The product that crosses a limit
     falls into the next class. Ties by sku."""
     per_sku = sales.groupBy("sku").agg(total(F.col("revenue")).alias("sku_revenue"))
-    run = running_total(per_sku, "sku_revenue", ["-sku_revenue", "sku"], "upto")
-    everything = run.agg(F.sum("sku_revenue")).scalar().cast("double")
+    run = running_total(per_sku, "sku_revenue", ["-sku_revenue", "sku"], "upto", total_into="all")
+    everything = F.col("all").cast("double")
     share = F.col("upto").cast("double") / F.when(everything != 0, everything)
     return run.select(
         "sku", banded([(share <= limits[0], "A"), (share <= limits[1], "B")], "C").alias("abc_class")

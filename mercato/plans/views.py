@@ -32,13 +32,14 @@ MONTHLY_REVENUE = f"""
     JOIN (SELECT DISTINCT year, month, peak_month FROM {{calendar}}) c
       ON c.year = s.year AND c.month = s.month"""
 
-# The grand total adds up the same brand sums; Spark reuses their shuffle.
+# The grand total adds up the same brand sums. It takes both of their columns, so
+# that Spark sees one and the same shuffle and runs it once.
 BRAND_RANKING = f"""
     WITH brands AS (
       SELECT brand, {_total('revenue')} AS revenue, {_total('margin')} AS margin
       FROM {{fact}} GROUP BY brand)
     SELECT brand, revenue, {_pct('margin', 'revenue')} AS margin_pct,
-      {_pct('revenue', '(SELECT SUM(revenue) FROM brands)')} AS share_pct
+      {_pct('revenue', '(SELECT STRUCT(SUM(revenue) AS revenue, SUM(margin) AS margin) FROM brands).revenue')} AS share_pct
     FROM brands"""
 
 CATEGORY_MARGIN = f"""
