@@ -151,16 +151,9 @@ def _(x: Frames):
 
 @check("load_fixture", "SELECT rep_id, rep_name FROM rep_raw")
 def _(x: Frames):
-    """Half the reps through a JSON file, half through CSV."""
-    even = F.col("rep_id").cast("int") % 2 == 0
-    reps, base = x.raw("rep").select("rep_id", "rep_name"), fresh_folder(x.spark, "fixture")
-    reps.where(even).write.json(os.path.join(base, "reps.json"))
-    reps.where(~even).write.option("header", True).csv(os.path.join(base, "reps.csv"))
-    halves = [
-        x.spark.read.json(os.path.join(base, "reps.json")),
-        landing.load_fixture(x.spark, os.path.join(base, "reps.csv")),
-    ]
-    return halves[0].unionByName(halves[1])
+    path = os.path.join(fresh_folder(x.spark, "fixture"), "reps.csv")
+    x.raw("rep").select("rep_id", "rep_name").write.option("header", True).csv(path)
+    return landing.load_fixture(x.spark, path)
 
 
 @check("preview", "SELECT order_id, client_id FROM sales_orders ORDER BY order_id LIMIT 5")
