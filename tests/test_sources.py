@@ -68,12 +68,12 @@ def test_original_extract_headers_are_understood(spark, schema, folder):
     os.makedirs(os.path.dirname(path))
     with open(path, "w", encoding="utf-8") as out:
         out.write("vendedor_id,nome,regiao,uf,data_admissao,data_desligamento,meta_mensal\n"
-                  "007,Vinícius Lopes,Sul,PR,2020-01-01,,25000.00\n")
+                  "007,José Conceição,Sul,PR,2020-01-01,,25000.00\n")
     landing.bronze_ingest(spark, folder, file, schema)
     bronze = spark.table(f"{schema}.rep")
     assert {t for c, t in bronze.dtypes if c != "ingested_at"} == {"string"}
     row = landing.raw_frame(spark, schema, file).first()
-    assert row["rep_id"] == "007" and row["rep_name"] == "Vinícius Lopes" and row["terminated_on"] is None
+    assert row["rep_id"] == "007" and row["rep_name"] == "José Conceição" and row["terminated_on"] is None
     wrong = landing.LandingFile("crm", "vendedores", "rep", {"nope": "rep_id"})
     with pytest.raises(CheckFailed, match="lacks the columns nope"):
         landing.raw_frame(spark, schema, wrong)
