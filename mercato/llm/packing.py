@@ -271,6 +271,27 @@ def pack(lengths: np.ndarray, size: int) -> list[list[int]]:
     return local_search(best_fit(lengths, size), lengths, size)
 
 
+def _block_packer(tokens: int, first_block: int, final: bool):
+    def run(group):
+        group = group.sort_by("pid")
+        number = group.column("block")[0].as_py()
+        lengths = group.column("length").to_numpy()
+        bins = pack(lengths, tokens)
+        order = np.array([i for b in bins for i in b], np.int64)
+        sizes = np.array([len(b) for b in bins])
+        bin_of = np.repeat(np.arange(len(bins)), sizes)
+        ordered = lengths[order]
+        upto = np.cumsum(ordered) - ordered
+        offset = upto - np.repeat(upto[np.cumsum(sizes) - sizes], sizes)
+        fills = np.bincount(bin_of, ordered)
+        settled = (fills >= GOOD_FILL * tokens)[bin_of] | final
+        ids = -(1 + bin_of + ((first_block + number) << 26))
+        pids = group.column("pid").to_numpy()[order]
+        return pa.table({"pid": pids, "length": ordered, "sequence_id": ids, "offset": offset, "settled": settled})
+
+    return run
+
+
 def placed_pieces(pieces: DataFrame, scratch: Scratch, tokens: int = SEQUENCE_TOKENS, block: int = BLOCK_PIECES) -> DataFrame:
     """`pid`, `sequence_id`, `offset` for `pid`, `length`. Pieces of a whole sequence
     are one each. Blocks have about `block` pieces, whatever the input; a round deals
@@ -290,27 +311,10 @@ def placed_pieces(pieces: DataFrame, scratch: Scratch, tokens: int = SEQUENCE_TO
         blocks = max(1, math.ceil(n / block))
         final = blocks == 1 or round_number == MAX_ROUNDS - 1 or n == before
 
-        def run(group: pa.Table, used=used, final=final) -> pa.Table:
-            group = group.sort_by("pid")
-            number = group.column("block")[0].as_py()
-            lengths = group.column("length").to_numpy()
-            bins = pack(lengths, tokens)
-            order = np.array([i for b in bins for i in b], np.int64)
-            sizes = np.array([len(b) for b in bins])
-            bin_of = np.repeat(np.arange(len(bins)), sizes)
-            ordered = lengths[order]
-            upto = np.cumsum(ordered) - ordered
-            offset = upto - np.repeat(upto[np.cumsum(sizes) - sizes], sizes)
-            fills = np.bincount(bin_of, ordered)
-            settled = (fills >= GOOD_FILL * tokens)[bin_of] | final
-            ids = -(1 + bin_of + ((used + number) << 26))
-            pids = group.column("pid").to_numpy()[order]
-            return pa.table({"pid": pids, "length": ordered, "sequence_id": ids, "offset": offset, "settled": settled})
-
         salted = open_pieces.withColumn("block", F.pmod(F.xxhash64("pid", F.lit(round_number)), F.lit(blocks)))
         packed = scratch.write(
             salted.repartition(blocks, "block").groupBy("block").applyInArrow(
-                run, "pid bigint, length bigint, sequence_id bigint, offset bigint, settled boolean"
+                _block_packer(tokens, used, final), "pid bigint, length bigint, sequence_id bigint, offset bigint, settled boolean"
             ),
             f"packed{round_number}",
         )
