@@ -1,6 +1,6 @@
 """All registered queries; importing this module imports every operator."""
 
-from mercato.llm import exact_dedup, mixing, ordinal_quality, packing  # noqa: F401  registered on import
+from mercato.llm import exact_dedup, mixing, ngram_join, ordinal_quality, packing  # noqa: F401  registered on import
 from mercato.llm.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

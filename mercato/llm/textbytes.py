@@ -125,8 +125,8 @@ def shingles(hashes: np.ndarray, n: int) -> np.ndarray:
     if len(hashes) < n:
         return np.zeros(0, U64)
     total = np.zeros(len(hashes) - n + 1, U64)
-    factor = U64(1)
+    factor = 1
     for k in range(n):
-        total += hashes[k : k + len(total)] * factor
-        factor *= SEQUENCE
+        total += hashes[k : k + len(total)] * U64(factor)
+        factor = factor * int(SEQUENCE) % (1 << 64)
     return mixed(total + U64(n))
