@@ -151,11 +151,10 @@ def exact_copies(documents: DataFrame, characters: int = BLOCK_CHARACTERS, place
 def drop_exact_copies(documents: DataFrame) -> DataFrame:
     """The rows of `documents` that stay, with all their columns; of rows with the
     same doc_id and equal text one stays."""
-    own = documents.columns
-    kept = exact_copies(documents).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    marked = documents.withColumn("_id", F.col("doc_id")).withColumn("_sha", F.sha2(normalised(F.col("text")), 256))
-    match = marked["_id"].eqNullSafe(kept["_id"]) & (marked["_sha"] == kept["_sha"])
-    return marked.join(kept, match, "left_semi").dropDuplicates(["_id", "_sha"]).select(*own)
+    kept = exact_copies(documents).where("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha"))
+    marked = documents.select("doc_id", F.sha2(normalised(F.col("text")), 256).alias("sha"), F.struct("*").alias("whole"))
+    match = marked["doc_id"].eqNullSafe(kept["kept_id"]) & (marked["sha"] == kept["kept_sha"])
+    return marked.join(kept, match, "left_semi").dropDuplicates(["doc_id", "sha"]).select("whole.*")
 
 
 OP5_SQL = r"""

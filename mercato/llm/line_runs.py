@@ -138,7 +138,7 @@ def repeated_lines(
     counts as empty. A null doc_id counts as larger than any other. Rows repeated with
     doc_id and text are one document and have one result. An empty table gives an
     empty result; columns named like the new ones are replaced."""
-    new = ["n_lines", "n_removed", "n_runs", "longest_run", "kept_text", "_k1", "_k2", "_gone"]
+    new = ["n_lines", "n_removed", "n_runs", "longest_run", "kept_text", "_k1", "_k2", "_gone", "_l"]
     docs = documents.drop(*new)
     scratch = Scratch(documents.sparkSession, "line-runs")
     lines = scratch.write(line_rows(documents.select("doc_id", "text")), "lines")
