@@ -11,7 +11,9 @@ from mercato.checkset.ctes import (
     AS_OF, HORIZON, QUEUE_N, SCORE_CUTOFF, TRAIN_CUTOFF, dround, ratio,
 )
 from mercato.checkset.registry import Frames, check
+from mercato.operators.checks import CheckFailed
 from mercato.operators.running import roc_auc
+from mercato.parameters import AUC_CEILING, AUC_FLOOR
 from mercato.plans import call_queue, features, marketplace, measures, propensity, trips, views
 from mercato.plans.table_functions import create_functions
 from mercato.session import materialize
@@ -123,8 +125,8 @@ def _(x: Frames):
 
 
 @check("ml_lift_at_k", f"""
-    SELECT CAST(hits AS BIGINT) AS hits, {dround('rate', 9)} AS base_rate, {dround('CAST(hits AS DOUBLE) / taken / rate', 6)} AS lift
-    FROM (SELECT SUM(buys_next) AS hits, COUNT(*) AS taken, (SELECT AVG(buys_next) FROM judged) AS rate
+    SELECT CAST(hits AS BIGINT) AS hits, {dround('rate', 9)} AS base_rate, {dround(f'CAST(hits AS DOUBLE) / {QUEUE_N} / rate', 6)} AS lift
+    FROM (SELECT SUM(buys_next) AS hits, (SELECT AVG(buys_next) FROM judged) AS rate
           FROM (SELECT * FROM judged ORDER BY score DESC, client_id LIMIT {QUEUE_N}))""")
 def _(x: Frames):
     return propensity.lift_at_k(x.judged, QUEUE_N).select(
@@ -150,45 +152,57 @@ def _(x: Frames):
 
 def _trained(x: Frames):
     train, test = propensity.split(x.stored_train_features)
-    return propensity.train(train, max_iter=8), train, test
+    return propensity.train(train), train, test
 
 
-@check("ml_train")
+_INPUTS = " UNION ALL ".join(
+    f"SELECT '{c}_{part}' AS feature" for c in features.NUMERIC_FEATURES for part in ("in", "missing")
+)
+
+
+@check("ml_train", f"""
+    SELECT feature, CAST(1 AS DOUBLE) AS total_gain FROM ({_INPUTS} UNION ALL SELECT 'multichannel_flag'
+      UNION ALL SELECT DISTINCT 'segment=' || segment FROM held WHERE NOT place <= ROUND(class_rows * 0.3))""")
 def _(x: Frames):
+    """The inputs of the trained model; their gains are shares of one whole."""
     model, _, _ = _trained(x)
-    return x.spark.createDataFrame(propensity.importance_by_gain(model), "feature string, gain double")
+    gains = x.spark.createDataFrame(propensity.importance_by_gain(model), "feature string, gain double")
+    return gains.select("feature", F.round(gains.agg(F.sum("gain")).scalar(), 9).alias("total_gain"))
 
 
-@check("ml_score")
+@check("ml_score", "SELECT client_id, true AS is_probability FROM feat_score")
 def _(x: Frames):
     model, _, _ = _trained(x)
-    return propensity.score(model, x.stored_score_features).select("client_id", "score")
+    scored = propensity.score(model, x.stored_score_features)
+    return scored.select("client_id", F.coalesce(F.col("score").between(0, 1), F.lit(False)).alias("is_probability"))
 
 
-@check("ml_permutation_importance")
+@check("ml_permutation_importance", " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, true AS is_drop" for c in propensity.SWAPPABLE
+))
 def _(x: Frames):
     model, _, test = _trained(x)
-    return propensity.permutation_importance(model, test)
+    drops = propensity.permutation_importance(model, test)
+    return drops.select("feature", F.coalesce(F.abs("auc_drop") <= 1, F.lit(False)).alias("is_drop"))
 
 
-@check("ml_gate")
+@check("ml_gate", f"""
+    SELECT {dround('auc', 9)} AS auc, {dround('lift', 6)} AS lift,
+      auc > {AUC_FLOOR} AND auc < {AUC_CEILING} AND lift > 1 AS passed
+    FROM ({_auc_sql("SELECT buys_next AS y, score AS s FROM judged")}),
+      (SELECT CAST(SUM(buys_next) AS DOUBLE) / {QUEUE_N} / (SELECT AVG(buys_next) FROM judged) AS lift
+       FROM (SELECT * FROM judged ORDER BY score DESC, client_id LIMIT {QUEUE_N}))""")
 def _(x: Frames):
-    """Outcome of the gate on the trained model; test data is random, so it is
-    expected to refuse it."""
-    from mercato.operators.checks import CheckFailed
-
-    model, _, test = _trained(x)
-    scored = materialize(propensity.score(model, test).select("client_id", "buys_next", "score"), "scored")
-    auc = roc_auc(scored, "score", "buys_next").first()["auc"]
-    lift = propensity.lift_at_k(scored, QUEUE_N).first()["lift"]
+    """The gate's verdict on scores that SQL can follow."""
+    scored = materialize(x.judged.select("client_id", "buys_next", "score"), "scored")
+    judged = roc_auc(scored, "score", "buys_next").crossJoin(propensity.lift_at_k(scored, QUEUE_N).select("lift"))
+    (row,) = judged.collect()
     try:
-        propensity.model_gate(auc, lift)
-        outcome = "passed"
-    except CheckFailed as refused:
-        outcome = str(refused)
-    return scored.agg(F.count(F.lit(1)).alias("clients")).select(
-        "clients", F.lit(auc).alias("auc"), F.lit(lift).alias("lift"), F.lit(outcome).alias("outcome")
-    )
+        propensity.model_gate(row["auc"], row["lift"])
+        passed = True
+    except CheckFailed:
+        passed = False
+    return judged.select(F.round("auc", 9).alias("auc"), F.round("lift", 6).alias("lift"), F.lit(passed).alias("passed"))
 
 
 # -- queue -------------------------------------------------------------------------

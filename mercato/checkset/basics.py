@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -195,17 +193,23 @@ def _(x: Frames):
     return x.clients.select("client_id", F.length("tax_id").alias("n"))
 
 
-@check("array_filter", "SELECT client_id, [i FOR i IN list_concat([client_id], merged_ids) IF i <> client_id] AS others FROM clients WHERE merged_ids IS NOT NULL")
+def _brands_of(products: DataFrame, key: str) -> DataFrame:
+    """Brands are few by nature, however many products there are."""
+    return products.groupBy(key).agg(F.sort_array(F.collect_set("brand")).alias("brands"))
+
+
+BRANDS_SQL = "SELECT category, MIN(brand) AS first, list_sort(list(DISTINCT brand)) AS brands FROM products GROUP BY category"
+
+
+@check("array_filter", f"SELECT category, [b FOR b IN brands IF b <> first] AS others FROM ({BRANDS_SQL})")
 def _(x: Frames):
-    everyone = F.concat(F.array("client_id"), "merged_ids")
-    return x.clients.where("merged_ids is not null").select(
-        "client_id", F.filter(everyone, lambda i: i != F.col("client_id")).alias("others")
-    )
+    listed = _brands_of(x.products, "category")
+    return listed.select("category", F.filter("brands", lambda b: b != F.col("brands")[0]).alias("others"))
 
 
-@check("explode_array", "SELECT client_id, unnest(merged_ids) AS merged_id FROM clients")
+@check("explode_array", f"SELECT category, unnest(brands) AS brand FROM ({BRANDS_SQL})")
 def _(x: Frames):
-    return x.clients.select("client_id", F.explode("merged_ids").alias("merged_id"))
+    return _brands_of(x.products, "category").select("category", F.explode("brands").alias("brand"))
 
 
 @check("date_spine", """
@@ -408,22 +412,11 @@ def _(x: Frames):
     return x.orders.groupBy("rep_id").agg(F.countDistinct("client_id").alias("clients"))
 
 
-def distinct_counts(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Several distinct counts per key: values are deduplicated column by column
-    and then only counted, instead of expanding every row once per column."""
-    counts = [
-        df.select(key, col).where(F.col(col).isNotNull()).distinct().groupBy(key).agg(F.count(F.lit(1)).alias(f"{col}s"))
-        for col in columns
-    ]
-    joined = reduce(lambda a, b: a.join(b, key, "left"), counts, df.select(key).distinct())
-    return joined.fillna(0)
-
-
 @check("agg_multi_distinct", """
     SELECT client_id, COUNT(DISTINCT order_id) AS order_ids, COUNT(DISTINCT category) AS categorys,
       COUNT(DISTINCT brand) AS brands, COUNT(DISTINCT channel) AS channels FROM fact GROUP BY client_id""")
 def _(x: Frames):
-    return distinct_counts(x.stored_fact, "client_id", ["order_id", "category", "brand", "channel"])
+    return groups.distinct_counts(x.stored_fact, "client_id", ["order_id", "category", "brand", "channel"])
 
 
 @check("agg_by_expression", "SELECT CAST(year(snapshot_on) AS INT) AS year, COUNT(*) AS snapshots FROM stock GROUP BY year(snapshot_on)")
@@ -436,11 +429,9 @@ def _(x: Frames):
     return silver.typed_clients(x.raw("client")).groupBy("tax_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-@check("agg_collect", "SELECT client_id, list_sort(list(merged_id)) AS merged_ids FROM merges GROUP BY client_id")
+@check("agg_collect", f"SELECT category, brands FROM ({BRANDS_SQL})")
 def _(x: Frames):
-    return x.merges.where(F.col("merged_rows") <= silver.MERGED_IDS_LIMIT).groupBy("client_id").agg(
-        F.sort_array(F.collect_list("merged_id")).alias("merged_ids")
-    )
+    return _brands_of(x.products, "category")
 
 
 @check("agg_mode", """
@@ -481,9 +472,9 @@ def _(x: Frames):
 
 
 @check("win_rank_in_group", """
-    SELECT client_id, rep, CAST(row_number() OVER (PARTITION BY rep ORDER BY score DESC, client_id) AS INT) AS position FROM queue""")
+    SELECT client_id, rep, row_number() OVER (PARTITION BY rep ORDER BY score DESC, client_id) AS position FROM queue""")
 def _(x: Frames):
-    return rank_in_group(x.queue.drop("position"), "rep", [F.desc("score"), F.asc("client_id")]).select(
+    return rank_in_group(x.queue.drop("position"), "rep", ["-score", "client_id"]).select(
         "client_id", "rep", "position"
     )
 
@@ -538,8 +529,11 @@ def _(x: Frames):
     return x.visits.select("client_id", "rep_id").unionByName(x.opportunities.select("client_id", "rep_id"))
 
 
-@check("ml_one_hot", """
-    SELECT client_id, CASE WHEN segment = 'BUILDING' THEN 1 ELSE 0 END AS segment_BUILDING,
-      CASE WHEN segment = 'MACHINERY' THEN 1 ELSE 0 END AS segment_MACHINERY FROM clients""")
+SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+
+
+@check("ml_one_hot", "SELECT client_id, " + ", ".join(
+    f"CASE WHEN segment = '{s}' THEN 1 ELSE 0 END AS segment_{s}" for s in SEGMENTS
+) + " FROM clients")
 def _(x: Frames):
-    return x.clients.select("client_id", *c.one_hot(F.col("segment"), ["BUILDING", "MACHINERY"], "segment"))
+    return x.clients.select("client_id", *c.one_hot(F.col("segment"), SEGMENTS, "segment"))

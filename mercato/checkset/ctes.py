@@ -190,7 +190,7 @@ CTES: dict[str, str] = {
     "stock_raw": """
       SELECT CAST(CAST(l_shipdate AS DATE) AS STRING) AS snapshot_on, CAST(l_partkey AS STRING) AS sku,
         CAST((l_orderkey + l_partkey) % 9 AS STRING) AS balance
-      FROM lineitem WHERE l_linenumber <= 3""",
+      FROM lineitem""",
     "trip": """
       SELECT user_id AS pickup_zip, CAST(value AS DECIMAL(18,2)) AS fare_amount
       FROM events WHERE event_type = 'purchase'""",
@@ -221,12 +221,9 @@ CTES: dict[str, str] = {
       FROM clients_ranked m JOIN clients_ranked k ON k.tax_id = m.tax_id AND k.place = 1
       WHERE m.client_id <> k.client_id""",
     "clients": """
-      SELECT r.client_id, tax_id, legal_name, segment, city, state, district, registered_on, active,
-        CASE WHEN group_rows > 1 THEN COALESCE(m.ids, []) END AS merged_ids,
-        (SELECT COUNT(*) FROM client_raw) AS source_rows
-      FROM clients_ranked r LEFT JOIN (SELECT client_id, list_sort(list(merged_id)) AS ids FROM merges GROUP BY client_id) m
-        ON m.client_id = r.client_id
-      WHERE place = 1""",
+      SELECT client_id, tax_id, legal_name, segment, city, state, district, registered_on, active,
+        group_rows - 1 AS merged_count, (SELECT COUNT(*) FROM client_raw) AS source_rows
+      FROM clients_ranked WHERE place = 1""",
     "sales_orders": f"""
       SELECT order_id, client_id, rep_id, d AS ordered_on, channel, status, v AS total_value,
         status = 'Cancelled' AS cancelled,

@@ -5,11 +5,14 @@ from __future__ import annotations
 
 import os
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
 from mercato.checkset.registry import Frames, check
 from mercato.functions.columns import total
+from mercato.operators.checks import CheckFailed
+from mercato.parameters import SEED
 from mercato.plans import audit, features, gold, model_versions, propensity, trips
 from mercato.session import fresh_folder
 from mercato.sources import catalog, landing, sample_tables
@@ -40,12 +43,13 @@ def _(x: Frames):
     return landing.scan_csv_text(x.spark, _path(base, files, "client"))
 
 
-@check("lineage_columns", "SELECT COUNT(*) AS rows, true AS traced FROM rep_raw")
+@check("lineage_columns", f"SELECT '{next(f.file for f in landing.PLAIN if f.table == 'rep')}' AS source_file, COUNT(*) AS rows, true AS timed FROM rep_raw")
 def _(x: Frames):
     base, files = _landed(x, "rep")
     traced = landing.lineage_columns(landing.scan_csv_text(x.spark, _path(base, files, "rep")))
-    named = F.col("source_file").endswith(".csv") & F.col("ingested_at").isNotNull()
-    return traced.agg(F.count(F.lit(1)).alias("rows"), F.bool_and(named).alias("traced"))
+    return traced.groupBy("source_file").agg(
+        F.count(F.lit(1)).alias("rows"), F.bool_and(F.col("ingested_at").isNotNull()).alias("timed")
+    )
 
 
 COUNTS = "\nUNION ALL ".join(
@@ -178,6 +182,84 @@ def _small_gold(x: Frames) -> str:
     return schema
 
 
+PER_CHANNEL = "SELECT channel, COUNT(*) AS orders FROM sales_orders GROUP BY channel"
+
+
+def _per_channel(x: Frames):
+    return x.orders.groupBy("channel").agg(F.count(F.lit(1)).alias("orders"))
+
+
+@check("create_if_absent", PER_CHANNEL)
+def _(x: Frames):
+    """The second call finds the rows of the first."""
+    name = f"{_schema(x)}.per_channel"
+    for _ in range(2):
+        made = catalog.create_if_absent(x.spark, name, "channel STRING, orders BIGINT", "Orders per channel.")
+        if made.isEmpty():
+            _per_channel(x).write.insertInto(name)
+    return x.spark.table(name)
+
+
+@check("create_schemas", "\nUNION ALL ".join(
+    f"SELECT '{layer}' AS layer, '{text}' AS comment, (SELECT COUNT(*) FROM sales_orders) AS orders"
+    for layer, text in catalog.LAYERS.items()
+))
+def _(x: Frames):
+    """Each layer takes a table; made again, it keeps it."""
+    prefix, folder = f"check_{uuid.uuid4().hex[:12]}_", fresh_folder(x.spark, "layers")
+    counted = x.orders.agg(F.count(F.lit(1)).alias("orders"))
+    for name in catalog.create_schemas(x.spark, prefix, folder):
+        catalog.publish_table(counted, f"{name}.orders", "Number of orders.")
+    found = []
+    for name in catalog.create_schemas(x.spark, prefix, folder):
+        text = x.spark.catalog.getDatabase(name).description
+        row = x.spark.table(f"{name}.orders").select(
+            F.lit(name.removeprefix(prefix)).alias("layer"), F.lit(text).alias("comment"), "orders"
+        )
+        found.append(row)
+    return reduce(lambda a, b: a.unionAll(b), found)
+
+
+@check("set_namespace", PER_CHANNEL)
+def _(x: Frames):
+    """A table is found by its bare name."""
+    schema, before = _schema(x), x.spark.catalog.currentDatabase()
+    catalog.publish_table(_per_channel(x), f"{schema}.per_channel", "Orders per channel.")
+    catalog.set_namespace(x.spark, schema)
+    try:
+        return x.spark.table("per_channel")
+    finally:
+        catalog.set_namespace(x.spark, before)
+
+
+@check("rows_to_table", "SELECT CAST(run AS INT) AS run, orders FROM (SELECT COUNT(*) AS orders FROM sales_orders), range(1, 3) t(run)")
+def _(x: Frames):
+    """One line of metrics for each of two runs."""
+    name = f"{_schema(x)}.run_metrics"
+    orders = x.orders.count()
+    for run in (1, 2):
+        table = catalog.rows_to_table(x.spark, [(run, orders)], "run int, orders bigint", name)
+    return table
+
+
+@check("audit_gate", "SELECT COUNT(*) AS orders, true AS refused_before FROM sales_orders")
+def _(x: Frames):
+    """A bare table is refused; with its comments it passes."""
+    schema = _schema(x)
+    _per_channel(x).write.saveAsTable(f"{schema}.per_channel")
+    try:
+        audit.audit_gate(x.spark, schema)
+        refused = False
+    except CheckFailed:
+        refused = True
+    catalog.comment_table(x.spark, f"{schema}.per_channel", "Orders per channel.")
+    catalog.comment_columns(x.spark, f"{schema}.per_channel", {"channel": "Channel.", "orders": "Number of orders."})
+    audit.audit_gate(x.spark, schema)
+    return x.spark.table(f"{schema}.per_channel").agg(
+        F.sum("orders").alias("orders"), F.lit(refused).alias("refused_before")
+    )
+
+
 @check("audit_objects", "SELECT 'bare' AS object, 'MANAGED' AS type")
 def _(x: Frames):
     return audit.audit_objects(x.spark, _small_gold(x))
@@ -206,12 +288,12 @@ def _(x: Frames):
     return audit.objects(x.spark, schema).join(done, "object").select("object", "comment", "commented")
 
 
-@check("ml_model_version")
+@check("ml_model_version", "SELECT COUNT(*) AS clients, CAST(0 AS DOUBLE) AS largest_gap, 1 AS version FROM labelled")
 def _(x: Frames):
     """Two versions saved, the alias on the first: its scores come back."""
     schema, folder = _schema(x), fresh_folder(x.spark, "models")
     train = x.stored_train_features
-    models = [propensity.train(train, max_iter=n) for n in (2, 4)]
+    models = [propensity.train(train, seed=seed) for seed in (SEED, SEED + 1)]
     for model in models:
         model_versions.save_version(x.spark, model, schema, "propensity", folder)
     model_versions.set_alias(x.spark, schema, "propensity", "prod", 2)

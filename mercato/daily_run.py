@@ -203,7 +203,7 @@ def model_step(lake: Lake) -> None:
     """Train on 70 percent, judge on the rest, and only then save, log and score."""
     spark, p, label = lake.spark, lake.parameters, features.LABEL
     train, test = propensity.split(lake.gold("features_train"))
-    model = propensity.train(train)
+    model = propensity.train(train, max_iter=lake.parameters.boosting_rounds)
     judged = materialize(propensity.score(model, test).select("client_id", label, "score"), "judged")
     auc = roc_auc(judged, "score", label).first()["auc"]
     lift = propensity.lift_at_k(judged, p.queue_size).first()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,6 +36,17 @@ def group_size(df: DataFrame, key: str, spread_by: Sequence[str], into: str) ->
     return joined.withColumn(into, F.when(F.col(key).isNull(), nulls).otherwise(F.col(into)))
 
 
+def distinct_counts(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """Several distinct counts per key: values are deduplicated column by column
+    and then only counted, instead of expanding every row once per column."""
+    counts = [
+        df.select(key, col).where(F.col(col).isNotNull()).distinct().groupBy(key).agg(F.count(F.lit(1)).alias(f"{col}s"))
+        for col in columns
+    ]
+    joined = reduce(lambda a, b: a.join(b, key, "left"), counts, df.select(key).distinct())
+    return joined.fillna(0)
+
+
 def duplicates(column: str) -> Column:
     """How many rows repeat a value already present."""
     return F.count(F.lit(1)) - F.countDistinct(column)

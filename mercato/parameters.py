@@ -18,6 +18,7 @@ QUEUE_SIZE = 200
 SEARCH_SIZE = 20
 HOLDOUT = 0.3
 SEED = 42
+BOOSTING_ROUNDS = 20
 AUC_FLOOR = 0.6
 AUC_CEILING = 0.99
 IMPORTANCE_REPEATS = 5
@@ -31,11 +32,12 @@ class RunParameters:
     as_of: str
     train_cutoff: str
     score_cutoff: str
+    fact_rows: tuple[int, int]
     horizon_days: int = 7
     recent_days: int = RECENT_DAYS
     queue_size: int = QUEUE_SIZE
-    fact_rows: tuple[int, int] = (140_000, 250_000)
     words: Vocabulary = ENGLISH
     label_includes_cutoff: bool = False
     stage_as_of_cutoff: bool = True
     auc_bounds: tuple[float, float] = (AUC_FLOOR, AUC_CEILING)
+    boosting_rounds: int = BOOSTING_ROUNDS

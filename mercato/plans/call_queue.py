@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.functions.columns import banded
 from mercato.operators.groups import group_size
+from mercato.operators.running import ranked
 from mercato.operators.skew import salted_join
 from mercato.parameters import AT_RISK_DAYS, OVERDUE_RATIO, QUEUE_SIZE
 from mercato.vocabulary import ENGLISH, Vocabulary
@@ -62,8 +63,9 @@ def queue_reason(features: DataFrame, words: Vocabulary = ENGLISH) -> DataFrame:
     return features.select("client_id", reason.alias("reason"), advice.alias("advice"))
 
 
-def rank_in_group(df: DataFrame, key: str, order: Sequence[Column], into: str = "position") -> DataFrame:
-    return df.withColumn(into, F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+def rank_in_group(df: DataFrame, key: str, order: Sequence[str], into: str = "position") -> DataFrame:
+    """1, 2, ... in a unique order ('-score' descends) within each group, of any size."""
+    return ranked(df, order, into, [key])
 
 
 def weekly_queue(
@@ -72,14 +74,15 @@ def weekly_queue(
 ) -> DataFrame:
     """The n best pairs with position per rep. After the cut only n rows are left,
     so the joins start from them and the window is small by construction."""
-    top = F.broadcast(best(queue_eligible(scores, portfolio), n))
+    top = best(queue_eligible(scores, portfolio), n)
     joined = (
         clients.select("client_id", "legal_name", "city")
         .join(top, "client_id")
         .join(rep_label(reps), "rep_id")
         .join(queue_reason(features, words), "client_id")
     )
-    placed = rank_in_group(joined, "rep_id", [F.desc("score"), F.asc("client_id")])
+    by_rep = Window.partitionBy("rep_id").orderBy(F.desc("score"), F.asc("client_id"))
+    placed = joined.withColumn("position", F.row_number().over(by_rep))
     return placed.select(
         "client_id", "rep", "position", "legal_name", "city", "score", "band", "reason", "advice"
     )

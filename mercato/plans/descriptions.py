@@ -23,12 +23,12 @@ TABLES = {
     "mart_rep_month": "Rep by month: sales against target.",
     "mart_product_month": "Product by month: sales and ABC class.",
     "mart_receivables": "Month due: what is owed, what came in, how late, what fees cost.",
-    "monthly_revenue": "How do revenue and margin move by month, and which months are peaks?",
-    "brand_ranking": "Which brands sell most, at what margin and share?",
-    "category_margin": "Which category sells and which one earns?",
-    "clients_at_risk": "Who stopped buying for over 90 days, and what is that worth a month?",
-    "launch_effect": "Does a product sell more a day in its first 120 days than later?",
-    "stockout_by_brand": "Which brands are out of stock most often?",
+    "monthly_revenue": "One row per month: revenue, margin, margin share, peak flag.",
+    "brand_ranking": "One row per brand: rank, revenue, margin share, share of all revenue.",
+    "category_margin": "One row per category: revenue and margin share, ranked by both.",
+    "clients_at_risk": "One row per client without an order for more than 90 days: last order, mean monthly revenue.",
+    "launch_effect": "One row per launched product: daily revenue in the 120 days after launch and since.",
+    "stockout_by_brand": "One row per brand: snapshots, snapshots without stock, their share.",
     "features_train": "Client features at the training cutoff, with the label.",
     "features_score": "Client features at the scoring cutoff.",
     "propensity_scores": "Probability of buying within the horizon, per client.",
@@ -44,7 +44,7 @@ COLUMNS = {
     "order_id": "Order.",
     "client_id": "Client, after merging of duplicate registrations.",
     "merged_id": "Client id found in old orders and no longer in use.",
-    "merged_ids": "Ids merged into this client; NULL if none or too many to list, see client_merges.",
+    "merged_count": "How many other ids were merged into this client; client_merges lists them.",
     "merged_rows": "Registrations sharing the tax id.",
     "rep_id": "Sales rep.",
     "sku": "Product.",

@@ -31,6 +31,24 @@ def until(df: DataFrame, date: str, cutoff: str) -> DataFrame:
     return out
 
 
+def since(df: DataFrame, date: str, start: Column) -> DataFrame:
+    """Rows from a day on, with the bound on the partition columns as well."""
+    out = df.where(F.col(date) >= start)
+    if {"year", "month"} <= set(df.columns):
+        months = F.col("year") * 12 + F.col("month")
+        out = out.where((F.col("year") >= F.year(start)) & (months >= F.year(start) * 12 + F.month(start)))
+    return out
+
+
+def before(df: DataFrame, date: str, end: Column) -> DataFrame:
+    """Rows before a day, with the bound on the partition columns as well."""
+    out = df.where(F.col(date) < end)
+    if {"year", "month"} <= set(df.columns):
+        months = F.col("year") * 12 + F.col("month")
+        out = out.where((F.col("year") <= F.year(end)) & (months <= F.year(end) * 12 + F.month(end)))
+    return out
+
+
 def _recent(date: str, cutoff: str, days: int) -> Column:
     return F.col(date) > F.date_sub(day(cutoff), days)
 
@@ -107,8 +125,7 @@ def label_buys_next(
     """Clients who order within the horizon. By default the window starts the day
     after the cutoff, so that no day is both feature and label."""
     start = day(cutoff) if includes_cutoff else F.date_add(day(cutoff), 1)
-    date = F.col("ordered_on")
-    window = fact.where((date >= start) & (date < F.date_add(start, horizon_days)))
+    window = before(since(fact, "ordered_on", start), "ordered_on", F.date_add(start, horizon_days))
     return window.select("client_id").distinct().withColumn(LABEL, F.lit(1))
 
 

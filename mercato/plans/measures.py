@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions.columns import chosen, day, safe_ratio, total
+from mercato.plans.features import since
 
 
 def measures() -> dict[str, Column]:
@@ -98,7 +99,7 @@ def launch_top(launches: DataFrame, n: int = 10) -> DataFrame:
 
 
 def last_months(df: DataFrame, date: str, as_of: str, n: int = 6) -> DataFrame:
-    return df.where(F.col(date) >= F.add_months(day(as_of), -n))
+    return since(df, date, F.add_months(day(as_of), -n))
 
 
 def top_brands(fact: DataFrame, as_of: str, months: int = 6, n: int = 5) -> DataFrame:

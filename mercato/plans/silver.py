@@ -12,11 +12,6 @@ from mercato.functions.columns import (
 from mercato.operators.skew import salted_join
 from mercato.vocabulary import ENGLISH, Vocabulary
 
-# A client row lists its merged-away ids up to this many. Larger groups are not
-# cut: all ids of every group are rows of client_merges, which is what joins use.
-MERGED_IDS_LIMIT = 10_000
-
-
 def typed_clients(raw: DataFrame, words: Vocabulary = ENGLISH) -> DataFrame:
     """Cleaned, not yet deduplicated. `same_as` is what makes two rows one client:
     the tax id, or the row itself if it has none."""
@@ -41,12 +36,10 @@ def client_groups(typed: DataFrame) -> DataFrame:
     )
 
 
-def client_tables(
-    raw: DataFrame, words: Vocabulary = ENGLISH, list_limit: int = MERGED_IDS_LIMIT
-) -> tuple[DataFrame, DataFrame]:
-    """(clients, merges). Clients: one row each; `merged_ids` is NULL when nothing
-    was merged, and for groups over `list_limit` rows. Merges: one row per
-    merged-away id, all of them, with what the sales table needs of the client."""
+def client_tables(raw: DataFrame, words: Vocabulary = ENGLISH) -> tuple[DataFrame, DataFrame]:
+    """(clients, merges). Clients: one row each, with the number of ids merged into
+    it. Merges: one row per merged-away id, with what the sales table needs of the
+    client. A group may have any number of ids, so they are rows and no array."""
     typed = typed_clients(raw, words)
     groups = client_groups(typed)
     kept = [F.col(f"kept.{c}") for c in ("client_id", "legal_name", "segment", "city")]
@@ -57,16 +50,9 @@ def client_tables(
         .where("merged_id <> client_id")
         .select("merged_id", "client_id", "legal_name", "segment", "city", "merged_rows")
     )
-    lists = (
-        merges.where(F.col("merged_rows") <= list_limit)
-        .groupBy("client_id")
-        .agg(F.sort_array(F.collect_list("merged_id")).alias("ids"))
-    )
-    listed = F.col("rows").between(2, list_limit)
-    clients = groups.select("kept.*", "rows").join(lists, "client_id", "left").select(
+    clients = groups.select("kept.*", "rows").select(
         "client_id", "tax_id", "legal_name", "segment", "city", "state", "district",
-        "registered_on", "active",
-        F.when(listed, F.coalesce("ids", F.expr("array()"))).alias("merged_ids"),
+        "registered_on", "active", (F.col("rows") - 1).alias("merged_count"),
     )
     return stamped(clients, raw), merges
 

@@ -45,16 +45,15 @@ def local_session(cores: str = "8", partitions: int = 8, **extra: str) -> SparkS
 
 def scratch_root(spark: SparkSession) -> str:
     """The folder for intermediate tables, one per application: under
-    `spark.checkpoint.dir` where the session names one. Without it a local session
-    gets a temporary folder and a cluster the (shared) warehouse. It can be deleted
-    once the application has ended."""
+    `spark.checkpoint.dir`. Only a session that runs in this one process does without
+    that setting, and gets a temporary folder. It can be deleted once the application
+    has ended."""
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if context.master.startswith("local"):
-            root = tempfile.mkdtemp(prefix="mercato-")
-        else:
-            root = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_mercato_scratch")
+        if not context.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="mercato-")
         context.setCheckpointDir(root)
         root = context.getCheckpointDir()
     return os.path.join(root, f"mercato-{context.applicationId}")

@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from mercato.operators.checks import CheckFailed
 from mercato.sources.catalog import append_log, publish_table
@@ -87,13 +88,23 @@ PLAIN = tuple(
 
 
 def scan_csv_text(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV file, or a folder of its parts, with header; every column text."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(path)
+    """A CSV file, or a folder of its parts, with header; every column text.
+
+    All parts must have one header, in one order, and each row as many fields: another
+    header, a missing or an extra field fails the read and names the file, so that
+    no value lands in another column."""
+    reader = spark.read.option("header", True)
+    header = reader.option("inferSchema", False).csv(path).columns
+    text = StructType([StructField(c, StringType()) for c in header])
+    strict = reader.schema(text).option("enforceSchema", False).option("mode", "FAILFAST")
+    return strict.option("columnPruning", False).csv(path)
 
 
 def lineage_columns(df: DataFrame) -> DataFrame:
-    """Ingest time and the file each row came from."""
-    return df.select("*", F.current_timestamp().alias("ingested_at"), F.col("_metadata.file_name").alias("source_file"))
+    """Ingest time and the landing file each row came from, also where that is a folder
+    of parts."""
+    place = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+\.csv)(?:/[^/]+)?$", 1)
+    return df.select("*", F.current_timestamp().alias("ingested_at"), place.alias("source_file"))
 
 
 # -- arrival ---------------------------------------------------------------------
@@ -164,14 +175,14 @@ def row_count_reconcile(
     spark: SparkSession, database: str, expected: tuple[LandingFile, ...], log: DataFrame
 ) -> DataFrame:
     """(table, bronze, raw, match) against the latest check of each file."""
-    latest = log.groupBy("file").agg(F.max_by("rows", "checked_at").alias("raw"))
+    latest = log.groupBy("system", "file").agg(F.max_by("rows", "checked_at").alias("raw"))
     counts = reduce(DataFrame.unionByName, [
         spark.table(f"{database}.{f.table}").agg(F.count(F.lit(1)).alias("bronze")).select(
-            F.lit(f.table).alias("table"), F.lit(f.file).alias("file"), "bronze"
+            F.lit(f.table).alias("table"), F.lit(f.system).alias("system"), F.lit(f.file).alias("file"), "bronze"
         )
         for f in expected
     ])
-    return counts.join(latest, "file", "left").select(
+    return counts.join(latest, ["system", "file"], "left").select(
         "table", "bronze", "raw", F.coalesce(F.col("bronze") == F.col("raw"), F.lit(False)).alias("match")
     )
 

@@ -230,7 +230,7 @@ def payment_raw(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stock_raw(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "lineitem").where("l_linenumber <= 3").select(
+    return table(spark, folder, "lineitem").select(
         _text(F.col("l_shipdate").cast("date")).alias("snapshot_on"),
         _text(F.col("l_partkey")).alias("sku"),
         _text((F.col("l_orderkey") + F.col("l_partkey")) % 9).alias("balance"),

@@ -148,8 +148,8 @@ def test_missing_and_empty_files_are_all_named(lake, spark, folder):
 
 def test_reconcile_uses_the_latest_check(lake, spark):
     log = spark.createDataFrame(
-        [(f.file, 10, 1) for f in landing.PLAIN] + [(f.file, 999_999, 2) for f in landing.PLAIN],
-        "file string, rows bigint, checked_at int",
+        [(f.system, f.file, 10, 1) for f in landing.PLAIN] + [(f.system, f.file, 999_999, 2) for f in landing.PLAIN],
+        "system string, file string, rows bigint, checked_at int",
     )
     out = landing.row_count_reconcile(spark, "run_bronze", landing.PLAIN, log)
     assert out.where("raw <> 999999").count() == 0

@@ -8,7 +8,6 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from mercato.operators import skew
 from mercato.operators.checks import CheckFailed, gate, gate_text
 from mercato.plans import call_queue, features, gold, marketplace, measures, propensity, quality, views
 from mercato.vocabulary import PORTUGUESE
@@ -60,11 +59,35 @@ def test_fact(fact, star):
     assert tuple(dropped) == (3, 2, 1)
 
 
-def test_fact_is_the_same_when_everything_is_hot(star, fact, monkeypatch):
-    monkeypatch.setattr(skew, "MIN_HOT_ROWS", 0)
+def test_building_the_fact_runs_nothing(star, spark):
     clients, merges, orders, lines, products = star
-    salted = gold.fact_sales(lines, orders, clients, merges, products)
-    assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, fact.collect()))
+    spark.sparkContext.setJobGroup("plan-only", "no job may start")
+    try:
+        gold.fact_sales(lines, orders, clients, merges, products)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("plan-only")
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_partitions_outside_the_window_are_not_read(fact, folder, spark):
+    path = f"{folder}/fact"
+    fact.write.partitionBy("year", "month").parquet(path)
+    stored = spark.read.parquet(path)
+    for plan, bounds in (
+        (features.label_buys_next(stored, "2024-01-10", 30), 4),
+        (measures.last_months(stored, "ordered_on", "2024-06-01", 3), 2),
+    ):
+        # Spark names the partitions it reads in the metrics of the scan.
+        plan.collect()
+        read = {r["year"] * 12 + r["month"] for r in plan.select("year", "month").distinct().collect()} if bounds == 2 else set()
+        assert all(m >= 2024 * 12 + 3 for m in read)
+        text = plan._jdf.queryExecution().optimizedPlan().toString()
+        assert text.count("year#") >= bounds and text.count("month#") >= bounds / 2, text
+
+
+def test_rep_months_copy_no_row(fact, star, spark):
+    reps = spark.createDataFrame([("r", Decimal(1))], "rep_id string, monthly_target decimal(18,2)")
+    assert "Expand" not in gold.mart_rep_month(fact, reps)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_dim_client(star):

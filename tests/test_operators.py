@@ -19,25 +19,24 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_salted_join_equals_plain_join(skewed, monkeypatch, how):
+def test_salted_join_equals_plain_join(skewed, how):
     left, right = skewed
-    monkeypatch.setattr(skew, "MIN_HOT_ROWS", 50)
     hot = skew.hot_keys(left, "k")["k"]
-    assert hot.values == ("hot",) and hot.null
-    joined = skew.salted_join(left, right, "k", ["id"], how)
+    assert list(hot.shares) == ["hot"] and hot.null > 0.3
+    joined = skew.salted_join(left, right, "k", ["id"], how, hot)
     assert "salt" in joined._jdf.queryExecution().analyzed().toString()
     plain = left.join(right, "k", how)
     key = lambda r: tuple(str(v) for v in r)
     assert sorted(map(tuple, joined.collect()), key=key) == sorted(map(tuple, plain.collect()), key=key)
 
 
-def test_salted_join_spreads_the_hot_key(skewed, monkeypatch, spark):
+def test_salted_join_spreads_the_hot_key(skewed, spark):
     left, right = skewed
-    monkeypatch.setattr(skew, "MIN_HOT_ROWS", 50)
+    hot = skew.hot_keys(left, "k")["k"]
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = skew.salted_join(left, right, "k", ["id"], "left")
+        joined = skew.salted_join(left, right, "k", ["id"], "left", hot)
         sizes = joined.groupBy(F.spark_partition_id()).count().collect()
         assert len(sizes) == 4 and max(r["count"] for r in sizes) < 450
     finally:

@@ -55,6 +55,35 @@ def test_log_grows_columns_and_keeps_rows(spark, schema):
     assert sorted((r["version"], r["auc"]) for r in spark.table(name).collect()) == [(1, None), (2, 0.5), (3, None)]
 
 
+PARTS = {
+    "other order": ("a,b\n1,x\n", "b,a\ny,2\n"),
+    "extra field": ("a,b\n1,x\n", "a,b\n2,y,z\n"),
+    "short row": ("a,b\n1,x\n", "a,b\n2\n"),
+}
+
+
+@pytest.mark.parametrize("parts", PARTS.values(), ids=PARTS.keys())
+def test_parts_that_do_not_match_are_refused_by_name(spark, folder, parts):
+    path = f"{folder}/t.csv"
+    os.makedirs(path)
+    for n, text in enumerate(parts):
+        with open(f"{path}/part-{n}.csv", "w") as out:
+            out.write(text)
+    with pytest.raises(Exception, match=r"part-\d\.csv"):
+        landing.scan_csv_text(spark, path).collect()
+
+
+def test_lineage_names_the_landing_file(spark, folder):
+    os.makedirs(f"{folder}/crm/clients.csv")
+    with open(f"{folder}/crm/clients.csv/part-0.csv", "w") as out:
+        out.write("a,b\n1,x\n")
+    with open(f"{folder}/crm/reps.csv", "w") as out:
+        out.write("a,b\n1,x\n")
+    for name in ("clients.csv", "reps.csv"):
+        row = landing.lineage_columns(landing.scan_csv_text(spark, f"{folder}/crm/{name}")).first()
+        assert row["source_file"] == name
+
+
 def test_create_if_absent_keeps_rows(spark, schema):
     name = f"{schema}.e"
     catalog.create_if_absent(spark, name, "a INT, b STRING", "It's empty.")
