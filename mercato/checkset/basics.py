@@ -387,14 +387,13 @@ def _(x: Frames):
       {ratio("SUM(installments) FILTER (WHERE method = 'Card')", "COUNT(installments) FILTER (WHERE method = 'Card')", 2)} AS mean_card_plan
     FROM payments GROUP BY payment_status""")
 def _(x: Frames):
-    x.payments.createOrReplaceTempView("mercato_payments")
     return x.spark.sql("""
         SELECT payment_status, COUNT(*) FILTER (WHERE installments > 3) AS long_plans,
           CAST(SUM(amount) FILTER (WHERE method = 'Card') AS DECIMAL(38,2)) AS card,
           MIN(paid_on) FILTER (WHERE method = 'Slip') AS first_slip,
           MAX(paid_on) FILTER (WHERE method = 'Slip') AS last_slip,
           CAST(ROUND(AVG(CAST(installments AS DECIMAL(20,0))) FILTER (WHERE method = 'Card'), 2) AS DOUBLE) AS mean_card_plan
-        FROM mercato_payments GROUP BY payment_status""")
+        FROM {payments} GROUP BY payment_status""", payments=x.payments)
 
 
 @check("agg_conditional", """

@@ -149,8 +149,9 @@ def _(x: Frames):
 
 @check("temp_view", "SELECT segment, COUNT(*) AS clients FROM clients GROUP BY segment")
 def _(x: Frames):
-    catalog.temp_view(x.clients.select("segment"), "mercato_clients")
-    return x.spark.sql("SELECT segment, COUNT(*) AS clients FROM mercato_clients GROUP BY segment")
+    name = f"clients_{uuid.uuid4().hex[:12]}"
+    catalog.temp_view(x.clients.select("segment"), name)
+    return x.spark.sql(f"SELECT segment, COUNT(*) AS clients FROM {name} GROUP BY segment")
 
 
 @check("load_fixture", "SELECT rep_id, rep_name FROM rep_raw")
