@@ -16,7 +16,6 @@ repeated."""
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import math
 from collections.abc import Iterator
@@ -280,23 +279,16 @@ def _contents(edges: DataFrame, documents: DataFrame, span: int) -> DataFrame:
     return found.select("k1", "k2", "p.lo", "p.hi", "p.at", "p.h", "p.n", "p.parts", content.alias("content"))
 
 
-def _release(spark) -> None:
-    """Let Spark delete shuffle files that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def repeated_runs(documents: DataFrame, scratch: Scratch, span: int = SPAN, at_once: int = ORDERED_AT_ONCE) -> DataFrame:
     """`k1`, `k2`, `runs` of repeated starts, for rows that have any."""
-    spark = documents.sparkSession
     parsed = scratch.write(parse(documents, span), "parse")
     right = parsed.select(F.explode("h").alias("h")).groupBy("h").count().where("count > 1").select("h")
     right = scratch.write(right, "right")
-    _release(spark)
+    scratch.release()
     each = parsed.select("k1", "k2", F.explode(F.arrays_zip("lo", "hi", "at", "h", "c")).alias("p")).select("k1", "k2", "p.*")
     found = scratch.write(each.join(right, "h"), "found")
     scratch.drop(parsed, right)
-    _release(spark)
+    scratch.release()
     whole = found.groupBy("h", "c").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("k1", "k2", "lo", "hi", "at")).alias("p")
     )
@@ -305,7 +297,7 @@ def repeated_runs(documents: DataFrame, scratch: Scratch, span: int = SPAN, at_o
     parts = F.ceil(F.col("m") / at_once).cast("int")
     edges = whole.join(several, "h").withColumn("parts", parts).drop("m", "c")
     contents = scratch.write(_contents(edges, documents, span), "contents")
-    _release(spark)
+    scratch.release()
     solved = scratch.write(_ordered_edges(contents, span), "solved")
     scratch.drop(contents)
     once = solved.where("n = 1")
@@ -338,7 +330,7 @@ def without_repeats(documents: DataFrame, span: int = SPAN, with_text: bool = Fa
     result; other columns are not read."""
     scratch = Scratch(documents.sparkSession, "repeats")
     runs = repeated_runs(documents, scratch, span, at_once)
-    _release(documents.sparkSession)
+    scratch.release()
     joined = _keyed(documents).join(runs, ["k1", "k2"], "left").select("doc_id", "text", "runs")
     id_type = documents.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"

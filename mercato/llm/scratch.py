@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -9,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """`spark.checkpoint.dir` of the session. Where it is unset (tests), a folder is
-    made and set."""
+    """`spark.checkpoint.dir` of the session. Only a session that runs in this one
+    process (tests) does without that setting; a folder is made and set for it."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="llm-")
         spark.sparkContext.setCheckpointDir(root)
     return root
@@ -40,3 +43,9 @@ class Scratch:
         for table in tables:
             path = jvm.org.apache.hadoop.fs.Path(table._scratch_path)
             path.getFileSystem(conf).delete(path, True)
+
+    def release(self) -> None:
+        """Let Spark delete shuffle files that nothing refers to any more, rather than
+        at its next garbage collection."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
