@@ -6,9 +6,10 @@ shingles in any common order, so only documents that meet there are compared, in
 tiles of one shingle and neighbouring size bands. The bits in which two signatures
 differ bound the overlap from above; what passes is intersected exactly.
 
-Most links are found by comparing each document of a tile with one hub. Documents
-linked already need no further comparison; only where a tile still holds several
-components are the rows of different components compared with one another."""
+Each document of a tile is first compared with one hub. Documents that seem to belong
+together need no further comparison with one another; only where a tile still holds
+several groups are rows of different groups compared. What is possible by signature
+is looked up and intersected, and groups that fall apart then are compared again."""
 
 from __future__ import annotations
 
@@ -33,9 +34,9 @@ SIGNATURE_BITS = 1024
 # order. There are at most (mean set size / share) of them, which bounds the list.
 COMMON_SHARE = 0.001
 COUNTED_AT_ONCE = 2_000_000
-HUB_ROUNDS = 3
 TILE_ROWS = 2_000
-SET_SCHEMA = "doc_id {id}, text_hash bigint, n int, sig_a bigint, sig_b bigint, bits binary, hashes binary"
+SET_SCHEMA = "doc_id {id}, text_hash bigint, n int, sig_a bigint, sig_b bigint, bits binary, rare binary, often binary"
+PAIRS_AT_ONCE = 500_000
 
 
 def document_sets(piece: tb.Slice, width: int) -> list[np.ndarray]:
@@ -60,88 +61,178 @@ def _signature(hashes: np.ndarray) -> bytes:
     return np.packbits(parity.astype(np.uint8)).tobytes()
 
 
-def shingle_sets(documents: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
+def _hashed(documents: DataFrame) -> DataFrame:
+    return documents.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+
+
+def common_shingles(documents: DataFrame, width: int, share: float = COMMON_SHARE) -> np.ndarray:
+    """Sorted hashes found in about `share` of the documents. They only set the order
+    of comparison, so what is missing or added here changes no result."""
+    rows_in_all = documents.count()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def counted(parts: list[np.ndarray], rows: int) -> pa.RecordBatch:
+            values = np.sort(np.concatenate(parts))
+            first = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
+            counts = np.diff(np.concatenate([first, [len(values)]]))
+            often = counts >= max(3, share * rows / 4)
+            columns = [pa.array(values[first[often]].view(np.int64)), pa.array(counts[often])]
+            return pa.RecordBatch.from_arrays(columns, ["h", "c"])
+
+        parts, size, rows = [], 0, 0
+        for batch in batches:
+            for piece in tb.slices(batch.column(0)):
+                parts += [s for s in document_sets(piece, width) if len(s)]
+                size += len(piece.data) // 6
+                rows += len(piece)
+                if size >= COUNTED_AT_ONCE and parts:
+                    yield counted(parts, rows)
+                    parts, size, rows = [], 0, 0
+        if parts:
+            yield counted(parts, rows)
+
+    counts = map_arrow(documents.select("text"), run, "h bigint, c bigint").groupBy("h").agg(F.sum("c").alias("c"))
+    found = counts.where(F.col("c") >= max(3, share * rows_in_all)).select("h").toArrow()["h"].to_numpy()
+    return np.sort(found.view(tb.U64))
+
+
+def _packed(values: list[np.ndarray]) -> pa.Array:
+    return pa.array([v.tobytes() for v in values], pa.binary())
+
+
+def described(documents: DataFrame, common: np.ndarray, width: int, percent: int) -> DataFrame:
+    """Of each set its size, 128 bits that stand for it, its signature and its prefix:
+    the shingles in which a similar set must meet it, common ones last. `rare` and
+    `often` are the two parts of the prefix."""
+    shared = documents.sparkSession.sparkContext.broadcast(common)
     id_type = documents.schema["doc_id"].dataType.simpleString()
     names = [f.split()[0] for f in SET_SCHEMA.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        listed = shared.value
         for batch in batches:
-            ids, text_hash = (batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "text_hash"))
-            for piece in tb.slices(batch.column(batch.schema.get_field_index("text"))):
+            for piece in tb.slices(batch.column(1)):
                 sets = document_sets(piece, width)
+                rare, often = [], []
+                for s in sets:
+                    keep = len(s) + percent * len(s) // -100 + 1 if len(s) else 0
+                    late = np.zeros(len(s), bool)
+                    if len(listed) and keep:
+                        late = listed[np.minimum(np.searchsorted(listed, s), len(listed) - 1)] == s
+                    rare.append(s[~late][:keep])
+                    often.append(s[late][: keep - len(rare[-1])])
                 here = slice(piece.first, piece.first + len(piece))
                 a = [int(np.bitwise_xor.reduce(tb.mixed(s))) if len(s) else 0 for s in sets]
                 b = [int(s.sum(dtype=np.uint64)) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        ids[here],
-                        text_hash[here],
+                        batch.column(0)[here],
+                        batch.column(2)[here],
                         pa.array([len(s) for s in sets], pa.int32()),
                         pa.array(np.array(a, np.uint64).astype(np.int64)),
                         pa.array(np.array(b, np.uint64).astype(np.int64)),
                         pa.array([_signature(s) for s in sets], pa.binary()),
-                        pa.array([s.tobytes() for s in sets], pa.binary()),
+                        _packed(rare),
+                        _packed(often),
                     ],
                     names,
                 )
 
-    source = documents.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    return map_arrow(source, run, SET_SCHEMA.format(id=id_type))
+    return map_arrow(_hashed(documents), run, SET_SCHEMA.format(id=id_type))
 
 
-def common_shingles(sets: DataFrame, share: float = COMMON_SHARE) -> np.ndarray:
-    """Sorted hashes found in about `share` of the documents. They only set the order
-    of comparison, so what is missing or added here changes no result."""
-    documents = sets.count()
+def _wide_signature(hashes: np.ndarray) -> np.ndarray:
+    """Parities as in `_signature`, at least four for each member, in a power of two."""
+    size = max(SIGNATURE_BITS, 1 << int(4 * len(hashes)).bit_length())
+    parity = np.bincount((hashes & tb.U64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(parity.astype(np.uint8)).view(np.uint64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def counted(parts: list[np.ndarray], rows: int) -> pa.RecordBatch:
-            values, counts = np.unique_counts(np.sort(np.concatenate(parts)))
-            often = counts >= max(3, share * rows / 4)
-            return pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(counts[often])], ["h", "c"])
 
-        parts, size, rows = [], 0, 0
+def _wide_difference(x: np.ndarray, y: np.ndarray) -> int:
+    """Bits in which two wide signatures differ, the longer one folded to the shorter."""
+    if len(x) < len(y):
+        x, y = y, x
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def set_contents(documents: DataFrame, width: int) -> DataFrame:
+    """`uid`, `n`, `wide`, `hashes` from `uid`, `text`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for blob in batch.column(0):
-                parts.append(np.frombuffer(blob.as_buffer(), tb.U64))
-                size += len(parts[-1])
-                rows += 1
-                if size >= COUNTED_AT_ONCE:
-                    yield counted(parts, rows)
-                    parts, size, rows = [], 0, 0
-        if size:
-            yield counted(parts, rows)
+            for piece in tb.slices(batch.column(1)):
+                here = slice(piece.first, piece.first + len(piece))
+                sets = document_sets(piece, width)
+                columns = [batch.column(0)[here], pa.array([len(s) for s in sets], pa.int32())]
+                columns += [_packed([_wide_signature(s) for s in sets]), _packed(sets)]
+                yield pa.RecordBatch.from_arrays(columns, ["uid", "n", "wide", "hashes"])
 
-    counts = map_arrow(sets.select("hashes"), run, "h bigint, c bigint").groupBy("h").agg(F.sum("c").alias("c"))
-    found = counts.where(F.col("c") >= max(3, share * documents)).select("h").toArrow()["h"].to_numpy()
-    return np.sort(found.view(tb.U64))
+    return map_arrow(documents.select("uid", "text"), run, "uid bigint, n int, wide binary, hashes binary")
 
 
-def _prefixes(sets: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
-    """`uid`, `n`, `h` for the shingles in which a similar set must meet this one."""
-    shared = sets.sparkSession.sparkContext.broadcast(common)
+def shared_prefixes(sets: DataFrame) -> DataFrame:
+    """`h`, `uid` for the shingles that the prefixes of several sets share.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = shared.value
+    Rare shingles are dealt out by their leading bits, packed: each is in a small share
+    of the sets, so the parts are even. Within a part 32 more bits stand for a shingle;
+    two that agree in them meet for nothing, and the comparison of their sets tells.
+    Common shingles are shared anyway and are not dealt out."""
+    parts = max(1, int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            blobs = batch.column(2)
-            out, lengths = [], []
-            for blob in blobs:
-                s = np.frombuffer(blob.as_buffer(), tb.U64)
-                keep = len(s) - -(-percent * len(s) // 100) + 1 if len(s) else 0
-                if len(often) and keep:
-                    at = np.minimum(np.searchsorted(often, s), len(often) - 1)
-                    late = often[at] == s
-                    s = np.concatenate([s[~late], s[late]])
-                out.append(s[:keep])
-                lengths.append(keep)
-            flat = np.concatenate(out) if out else np.zeros(0, tb.U64)
-            ends = np.concatenate(([0], np.cumsum(lengths)))
-            column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), column], ["uid", "n", "prefix"])
-
-    packed = map_arrow(sets.select("uid", "n", "hashes"), run, "uid bigint, n int, prefix array<bigint>")
-    return packed
+            if not batch.num_rows:
+                continue
+            each = [np.frombuffer(v.as_buffer(), tb.U64) for v in batch.column(1)]
+            h = np.concatenate(each)
+            row = np.repeat(np.arange(len(each)), [len(x) for x in each])
+            part = ((h >> tb.U64(33)) * tb.U64(parts) >> tb.U64(31)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            cuts = np.searchsorted(part[order], np.arange(parts + 1))
+            uid = batch.column(0).to_numpy()
+            some = np.flatnonzero(np.diff(cuts))
+            at = [order[cuts[p] : cuts[p + 1]] for p in some]
+            short = h.astype(np.uint32)
+            # Row numbers of a written table follow one another, so they are small steps.
+            base = int(uid.min())
+            ahead = (uid - base).astype(np.int32) if int(uid.max()) - base < 1 << 31 else uid - base
+            columns = [pa.array(some, pa.int32()), pa.array([base] * len(some), pa.int64())]
+            columns += [_packed([short[x] for x in at]), _packed([ahead[row[x]] for x in at])]
+            yield pa.RecordBatch.from_arrays(columns, ["part", "base", "h", "uid"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, uids = [], []
+        for batch in batches:
+            for part, base, h, uid in zip(*(batch.column(k) for k in range(4))):
+                short = np.frombuffer(h.as_buffer(), np.uint32)
+                wide = len(uid.as_buffer()) // max(1, len(short))
+                hashes.append(short.astype(np.int64) | part.as_py() << 32)
+                ahead = np.frombuffer(uid.as_buffer(), np.int32 if wide == 4 else np.int64)
+                uids.append(ahead.astype(np.int64) + base.as_py())
+        if not hashes:
+            return
+        h, uid = np.concatenate(hashes), np.concatenate(uids)
+        order = np.argsort(h, kind="stable")
+        same = h[order][1:] == h[order][:-1]
+        twice = order[np.concatenate((same, [False])) | np.concatenate(([False], same))]
+        for k in range(0, len(twice), 100_000):
+            x = twice[k : k + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(h[x]), pa.array(uid[x])], ["h", "uid"])
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            each = [np.frombuffer(v.as_buffer(), np.int64) for v in batch.column(1)]
+            row = pa.array(np.repeat(np.arange(len(each)), [len(x) for x in each]), pa.int64())
+            h = np.concatenate(each) if each else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(h), batch.column(0).take(row)], ["h", "uid"])
+
+    rows = "h bigint, uid bigint"
+    dealt = map_arrow(sets.select("uid", "rare").where("length(rare) > 0"), deal, "part int, base bigint, h binary, uid binary")
+    rare = map_arrow(dealt.repartition(parts, "part"), meet, rows)
+    common = map_arrow(sets.select("uid", "often").where("length(often) > 0"), unpack, rows)
+    return rare.unionAll(common)
 
 
 def _required(n1, n2, percent: int):
@@ -149,9 +240,14 @@ def _required(n1, n2, percent: int):
     return -(-percent * (n1 + n2) // (100 + percent))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (`a`, `b`) that are links: first by size and signature, then by exact
-    intersection of the sorted arrays."""
+def _paired(pairs: DataFrame, known: DataFrame, *columns: str) -> DataFrame:
+    for side in ("a", "b"):
+        pairs = pairs.join(known.select(F.col("uid").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
+    return pairs.select("a", "b", *[f"{c}_{side}" for side in ("a", "b") for c in columns])
+
+
+def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (`a`, `b`) whose sizes and signatures allow a link."""
 
     def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -163,6 +259,21 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             passes = (n1 + n2 - differ) // 2 >= _required(n1, n2, percent)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(passes))
 
+    return map_arrow(_paired(pairs, sets, "n", "bits"), bounded, "a bigint, b bigint")
+
+
+def _verified(pairs: DataFrame, contents: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """The pairs that are links: by signatures as long as the sets call for, and what
+    passes by exact intersection of the sorted arrays."""
+
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n1, n2 = (batch.column(i).to_numpy().astype(np.int64) for i in (2, 4))
+            pairs = zip(batch.column(3), batch.column(5))
+            differ = [_wide_difference(*(np.frombuffer(v.as_buffer(), np.uint64) for v in p)) for p in pairs]
+            passes = (n1 + n2 - np.array(differ, np.int64)) // 2 >= _required(n1, n2, percent)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(passes))
+
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -173,13 +284,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * overlap >= percent * (len(x) + len(y) - overlap))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    def both(p: DataFrame, *columns: str) -> DataFrame:
-        for side in ("a", "b"):
-            p = p.join(sets.select(F.col("uid").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
-        return p.select("a", "b", *[f"{c}_{side}" for side in ("a", "b") for c in columns])
-
-    possible = map_arrow(both(pairs, "n", "bits"), bounded, "a bigint, b bigint")
-    return map_arrow(both(possible, "hashes"), exact, "a bigint, b bigint")
+    near = scratch.write(map_arrow(_paired(pairs, contents, "n", "wide"), bounded, "a bigint, b bigint"), "near")
+    return map_arrow(_paired(near, contents, "hashes"), exact, "a bigint, b bigint")
 
 
 def _band(n: Column, percent: int) -> Column:
@@ -187,10 +293,11 @@ def _band(n: Column, percent: int) -> Column:
     return F.floor(F.log(n.cast("double")) / F.lit(-math.log(percent / 100)) + 1e-9).cast("int")
 
 
-def _tile_pairs(members: DataFrame, percent: int, rows: int) -> DataFrame:
-    """Pairs of different components that pass the signature bound, from members
-    (`h`, `uid`, `n`, `bits`, `root`). A tile is a shingle and two neighbouring size
-    bands; a large one is split into blocks, and each pair of blocks is a tile."""
+def _tile_pairs(members: DataFrame, sets: DataFrame, percent: int, rows: int) -> DataFrame:
+    """Pairs of one `within` but different roots that pass the signature bound, from
+    members (`h`, `uid`, `n`, `root`, `within`). A tile is a shingle and two neighbouring
+    size bands; a large one is split into blocks, and each pair of blocks is a tile.
+    Signatures join the rows last, when only tiles of several roots are left."""
     banded = members.withColumn("band", _band(F.col("n"), percent))
     placed = banded.withColumn("tile_band", F.explode(F.array(F.col("band"), F.col("band") + 1)))
     sizes = placed.groupBy("h", "tile_band").agg(
@@ -210,41 +317,51 @@ def _tile_pairs(members: DataFrame, percent: int, rows: int) -> DataFrame:
             "uid",
             "n",
             "root",
-            "bits",
+            "within",
             "own",
             (F.col("band") == F.col("tile_band")).alias("home"),
         )
     )
     keys = ["h", "tile_band", "i", "j"]
-    ordered = tiles.repartition(*keys).sortWithinPartitions(*keys, "n", "uid")
-
-    def compare(rows_: list[pa.RecordBatch]) -> pa.RecordBatch:
-        t = pa.Table.from_batches(rows_)
-        uid, n, root, own, home = (t.column(c).to_numpy() for c in ("uid", "n", "root", "own", "home"))
-        i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
+    signed = tiles.join(sets.select("uid", "bits"), "uid").select(*keys, "uid", "n", "root", "within", "own", "home", "bits")
+    ordered = signed.repartition(*keys).sortWithinPartitions(*keys, "n", "uid")
+
+    def compare(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """All pairs of whole tiles, some at a time; each pair once."""
+        t = pa.Table.from_batches(held)
+        uid, n, root, within, own, home, *key = (
+            t.column(c).to_numpy() for c in ("uid", "n", "root", "within", "own", "home", *keys)
+        )
         bits = np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(-1, 16)
         n = n.astype(np.int64)
-        left, right = [], []
-        for k in range(len(uid) - 1):
-            upto = np.searchsorted(n, 100 * n[k] // percent, "right")
-            rest = slice(k + 1, upto)
-            if upto <= k + 1:
-                continue
-            wanted = (root[rest] != root[k]) & (home[rest] | home[k])
-            if i != j:
-                wanted &= own[rest] != own[k]
-            at = np.flatnonzero(wanted) + k + 1
-            if len(at):
-                differ = np.bitwise_count(bits[at] ^ bits[k]).sum(axis=1, dtype=np.int64)
-                at = at[(n[at] + n[k] - differ) // 2 >= _required(n[at], n[k], percent)]
-                left += [uid[k]] * len(at)
-                right += uid[at].tolist()
-        a, b = np.array(left, np.int64), np.array(right, np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+        new = np.concatenate(([True], np.any([x[1:] != x[:-1] for x in key], axis=0)))
+        tile = np.cumsum(new) - 1
+        split = key[2] != key[3]
+        place = tile * (1 << 32) + n
+        upto = np.searchsorted(place, tile * (1 << 32) + 100 * n // percent, "right")
+        partners = np.maximum(upto - np.arange(len(n)) - 1, 0)
+        ends = np.cumsum(partners)
+        at = 0
+        while at < len(n):
+            stop = max(at + 1, int(np.searchsorted(ends, ends[at] - partners[at] + PAIRS_AT_ONCE, "right")))
+            count = partners[at:stop]
+            x = np.repeat(np.arange(at, stop), count)
+            y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(count) - count, count)
+            at = stop
+            wanted = (root[x] != root[y]) & (within[x] == within[y]) & (home[x] | home[y]) & (~split[x] | (own[x] != own[y]))
+            x, y = x[wanted], y[wanted]
+            pairs = np.sort(np.stack([uid[x], uid[y]], axis=1), axis=1)
+            order = np.lexsort(pairs.T)
+            pairs = pairs[order]
+            once = np.concatenate(([True], (pairs[1:] != pairs[:-1]).any(axis=1)))[: len(pairs)]
+            x, y, pairs = x[order][once], y[order][once], pairs[once]
+            differ = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1, dtype=np.int64)
+            passes = (n[x] + n[y] - differ) // 2 >= _required(n[x], n[y], percent)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[passes, 0]), pa.array(pairs[passes, 1])], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        key = None
+        rows_held, key = 0, None
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -252,16 +369,17 @@ def _tile_pairs(members: DataFrame, percent: int, rows: int) -> DataFrame:
             change = np.zeros(batch.num_rows, bool)
             for x in names:
                 change[1:] |= x[1:] != x[:-1]
-            cuts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
-            for a, b in zip(cuts[:-1], cuts[1:]):
-                this = tuple(x[a] for x in names)
-                if this != key and held:
-                    yield compare(held)
-                    held = []
-                key = this
-                held.append(batch.slice(a, b - a))
-        if held:
-            yield compare(held)
+            change[0] = key is not None and tuple(x[0] for x in names) != key
+            key = tuple(x[-1] for x in names)
+            begin = 0
+            for cut in np.flatnonzero(change).tolist():
+                if rows_held + cut - begin >= 4 * rows:
+                    yield from compare([*held, batch.slice(begin, cut - begin)])
+                    held, rows_held, begin = [], 0, cut
+            held.append(batch.slice(begin))
+            rows_held += batch.num_rows - begin
+        if rows_held:
+            yield from compare([x for x in held if x.num_rows])
 
     return map_arrow(ordered, run, "a bigint, b bigint").distinct()
 
@@ -280,30 +398,51 @@ def similar_groups(
     are copies of one another. An empty table gives an empty result; other columns are
     not read."""
     scratch = Scratch(documents.sparkSession, "ngram-join")
-    sets = scratch.write(shingle_sets(documents, width).withColumn("uid", F.monotonically_increasing_id()), "sets")
+    common = common_shingles(documents, width)
+    sets = scratch.write(described(documents, common, width, percent).withColumn("uid", F.monotonically_increasing_id()), "sets")
     classes = scratch.write(
         sets.where("n > 0")
         .groupBy("sig_a", "sig_b", "n")
         .agg(F.min("uid").alias("uid"), F.count(F.lit(1)).alias("n_copies")),
         "classes",
     )
-    prefixes = _prefixes(sets, common_shingles(sets), percent).join(classes.select("uid"), "uid")
-    entries = scratch.write(prefixes.select("uid", "n", F.explode("prefix").alias("h")), "entries")
-    shared = entries.groupBy("h").count().where("count > 1").select("h")
-    meets = scratch.write(entries.join(shared, "h"), "meets")
-    scratch.drop(entries)
-    links = scratch.write(
-        documents.sparkSession.createDataFrame([], "a bigint, b bigint"), "links"
-    )
-    members = scratch.write(meets.withColumn("root", F.col("uid")), "members")
-    for number in range(HUB_ROUNDS):
-        members, links = _hub_round(sets, members, links, percent, number, scratch)
-        if not members.limit(1).count():
-            break
-    if members.limit(1).count():
-        with_bits = members.join(sets.select("uid", "bits"), "uid")
-        more = scratch.write(_verified(_tile_pairs(with_bits, percent, tile_rows), sets, percent), "tile_links")
-        links = scratch.write(links.unionAll(more), "links")
+    found = scratch.write(shared_prefixes(sets), "found")
+    known = scratch.write(sets.drop("rare", "often"), "known")
+    scratch.drop(sets)
+    scratch.release()
+    sets = known
+    # Of equal sets one is compared; shingles of one set only are dropped again.
+    single = found.join(classes.select("uid", "n"), "uid")
+    several = single.groupBy("h").agg(F.min("uid").alias("x"), F.max("uid").alias("y")).where("x <> y").select("h")
+    meets = scratch.write(single.join(several, "h"), "meets")
+    scratch.drop(found)
+    members = meets
+    # First by signatures alone: each document with the hub of its shingle and band, and
+    # what that leaves apart with one another.
+    near_hub = scratch.write(_possible(_hub_pairs(members, percent), sets, percent), "near_hub")
+    loose = scratch.write(_rooted(members, near_hub, scratch, "within"), "loose")
+    apart = loose.withColumn("root", F.col("within")).withColumn("within", F.lit(0).cast("bigint"))
+    scratch.release()
+    across = scratch.write(_tile_pairs(apart, sets, percent, tile_rows), "across")
+    scratch.release()
+    # Only documents of possible pairs are looked up again, and compared exactly.
+    possible = near_hub.unionAll(across)
+    active = possible.select(F.col("a").alias("uid")).unionAll(possible.select("b")).distinct()
+    active = sets.select("uid", "doc_id", "text_hash").join(active, "uid")
+    # A repeated row brings its set twice; its links are then found twice.
+    texts = _hashed(documents)
+    same = texts["doc_id"].eqNullSafe(active["doc_id"]) & (texts["text_hash"] == active["text_hash"])
+    contents = scratch.write(set_contents(texts.join(active, same).select("uid", "text"), width), "contents")
+    scratch.release()
+    links = scratch.write(_verified(possible, contents, percent, scratch), "links")
+    scratch.release()
+    # A hub that seemed near may be none: then those it held together are compared.
+    split = _rooted(loose, links, scratch, "root")
+    scratch.release()
+    inside = scratch.write(_tile_pairs(split, sets, percent, tile_rows), "inside")
+    scratch.release()
+    links = scratch.write(links.unionAll(_verified(inside, contents, percent, scratch)), "links")
+    scratch.drop(contents)
     roots = connected_components(links, scratch)
     class_root = classes.join(roots.withColumnRenamed("v", "uid"), "uid", "left").select(
         "sig_a", "sig_b", "n", "n_copies", F.coalesce("root", "uid").alias("root")
@@ -324,33 +463,31 @@ def similar_groups(
     )
 
 
-def _hub_round(sets, members, links, percent, number, scratch):
-    """Compare each member with the hub of its shingle and size band, drop the
-    shingles whose members are all in one component now."""
+def _hub_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Each member with one member of its shingle and size band, the same for all."""
     banded = members.withColumn("band", _band(F.col("n"), percent))
-    hub = F.min(F.struct(F.xxhash64("root", F.lit(number)).alias("o"), "uid", "n", "root"))
-    hubs = banded.groupBy("h", "band").agg(hub.alias("hub"))
-    pairs = (
+    hubs = banded.groupBy("h", "band").agg(F.min(F.struct(F.xxhash64("uid").alias("o"), "uid")).alias("hub"))
+    return (
         banded.join(hubs, ["h", "band"])
-        .where("root <> hub.root")
+        .where("uid <> hub.uid")
         .select(F.least("uid", "hub.uid").alias("a"), F.greatest("uid", "hub.uid").alias("b"))
         .distinct()
     )
-    links = scratch.write(links.unionAll(_verified(pairs, sets, percent)), "links")
-    roots = scratch.write(connected_components(links, scratch), "roots").withColumnRenamed("v", "uid")
-    named = members.select("h", "uid", "n").join(roots, "uid", "left").withColumn("root", F.coalesce("root", "uid"))
-    open_h = named.groupBy("h").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("h")
-    return scratch.write(named.join(open_h, "h"), "members"), links
+
+
+def _rooted(members: DataFrame, links: DataFrame, scratch: Scratch, into: str) -> DataFrame:
+    """`members` with the component of each under `links`."""
+    roots = connected_components(links, scratch).select(F.col("v").alias("uid"), F.col("root").alias(into))
+    return members.join(roots, "uid", "left").withColumn(into, F.coalesce(into, "uid"))
 
 
 def drop_similar(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of `documents` that stay, one of each component, with all columns."""
-    own = documents.columns
     kept = similar_groups(documents, percent).where("kept")
-    kept = kept.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    marked = documents.withColumn("_id", F.col("doc_id")).withColumn("_hash", F.xxhash64("text"))
-    match = marked["_id"].eqNullSafe(kept["_id"]) & (marked["_hash"] == kept["_hash"])
-    return marked.join(kept, match, "left_semi").dropDuplicates(["_id", "_hash"]).select(*own)
+    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"))
+    marked = documents.select("doc_id", F.xxhash64("text").alias("hash"), F.struct("*").alias("whole"))
+    match = marked["doc_id"].eqNullSafe(kept["kept_id"]) & (marked["hash"] == kept["kept_hash"])
+    return marked.join(kept, match, "left_semi").dropDuplicates(["doc_id", "hash"]).select("whole.*")
 
 
 @register("op3_ngram_jaccard")

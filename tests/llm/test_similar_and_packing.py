@@ -44,7 +44,6 @@ def expected_groups(corpus) -> list[tuple]:
 
 @pytest.mark.parametrize("common, tile_rows", [(0.001, 2_000), (0.5, 3)])
 def test_components_equal_brute_force(documents, corpus, monkeypatch, common, tile_rows):
-    monkeypatch.setattr(ngram_join, "HUB_ROUNDS", 1)
     monkeypatch.setattr(ngram_join, "COMMON_SHARE", common)
     rows = similar_groups(documents, tile_rows=tile_rows).collect()
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in rows) == Counter(expected_groups(corpus))
