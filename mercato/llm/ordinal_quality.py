@@ -20,11 +20,11 @@ from mercato.llm.registry import register, table
 from mercato.llm.shipping import map_arrow
 
 # Bounded sample of rated rows that the model is fitted on.
-TRAINING_ROWS = 12_000
+TRAINING_ROWS = 6_000
 FEATURE_BITS = 18
 MIN_DOCUMENTS = 5
 # A feature is used if its share differs between grades by so many standard errors.
-MIN_DEVIATIONS = 12.0
+MIN_DEVIATIONS = 8.0
 EPOCHS = 60
 TAIL_PROBABILITY = 0.75
 SHAPE_BINS = 16
@@ -175,7 +175,9 @@ def training_examples(rated: DataFrame, rows: int = TRAINING_ROWS) -> list[tuple
                 )
 
     got = map_arrow(chosen.select("text", "grade"), featured, "grade int, features array<int>").toArrow()
-    return [(g, np.asarray(f, np.int64)) for g, f in zip(got["grade"].to_pylist(), got["features"].to_pylist())]
+    lists = got["features"].combine_chunks()
+    flat, cuts = lists.values.to_numpy(), lists.offsets.to_numpy()
+    return [(g, flat[a:b]) for g, a, b in zip(got["grade"].to_pylist(), cuts[:-1], cuts[1:])]
 
 
 def scored(documents: DataFrame, model: OrdinalModel, tail: float = TAIL_PROBABILITY) -> DataFrame:
