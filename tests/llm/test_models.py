@@ -141,6 +141,20 @@ def test_kneser_ney_probabilities_sum_to_one():
         assert abs(p.sum() - 1) < 0.05
 
 
+def test_a_model_holds_all_counts(spark):
+    pick = random.Random(11)
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 2_000)]
+    rows = [(i, "".join(pick.choices(letters, k=100)), "zz") for i in range(1_700)]
+    codes = np.concatenate([language_id.grams([t])[0] for _, t, _ in rows])
+    values, counts = np.unique(codes, return_counts=True)
+    assert len(values) > 150_000
+    (model,) = language_id.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).models
+    whole = language_id.KneserNey(values, counts)
+    for (seen, heads), (seen_in_all, heads_in_all) in zip(model.levels, whole.levels):
+        assert np.array_equal(seen.codes, seen_in_all.codes) and np.allclose(seen.values, seen_in_all.values)
+        assert np.array_equal(heads.codes, heads_in_all.codes) and np.allclose(heads.values, heads_in_all.values)
+
+
 def test_nothing_learned(spark, text_of):
     model = language_id.train(spark.createDataFrame([(1, None, None)], "doc_id bigint, text string, lang string"))
     assert language_id.predicted(text_of((1, "some text")), model).first().lang_pred == "und"
