@@ -49,6 +49,26 @@ def test_grades_are_learned(rated, documents, no_documents, monkeypatch):
     assert ordinal_quality.scored(no_documents, model).count() == 0
 
 
+def test_rare_markers_get_weight(spark, some_text):
+    """Each of six words marks six of 360 rated documents; held-out ones are turned away."""
+    markers = ["scoundrel", "wretch", "knave", "villain", "rascal", "brute"]
+    docs, labels = [], []
+    for i in range(480):
+        words = some_text(i, 80).split(" ")
+        if i % 10 == 1:
+            words[i % 40] = markers[i // 10 % 6]
+        if i % 10 == 2:
+            words = [f"{w.upper()}!!" for w in words]
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(i % 10 != 2), int(i % 10 == 1)))
+    docs = spark.createDataFrame(docs, "doc_id bigint, text string")
+    labels = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    model = ordinal_quality.fit_on_labels(docs.where("doc_id < 360"), labels)
+    held = ordinal_quality.scored(docs.where("doc_id >= 360"), model).collect()
+    assert not any(r.kept for r in held if r.doc_id % 10 in (1, 2))
+    assert np.mean([r.kept for r in held if r.doc_id % 10 not in (1, 2)]) > 0.9
+
+
 def test_without_ratings_nothing_is_known(rated):
     docs, labels = rated
     row = ordinal_quality.graded(docs.limit(1), labels.limit(0)).first()
