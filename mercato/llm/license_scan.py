@@ -2,13 +2,15 @@
 
 Texts and templates are sequences of lower-cased letter and digit runs. Hashes of
 three words in a row are winnowed for templates: of each few neighbours the smallest
-is kept. All texts are looked up in the inverted index of these fingerprints; each
+is kept. Templates too short for that at the asked coverage have all their runs, as
+short as needed. All texts are looked up in the inverted index of these fingerprints; each
 hit names a template and a diagonal. Around the diagonals of a template the words are
 aligned in a band, which tolerates changed, missing and added words, and gives how
 much of the template is covered and by what span of the text."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Mapping
 
 import numpy as np
@@ -85,20 +87,35 @@ def winnowed(hashes: np.ndarray, neighbours: int = NEIGHBOURS) -> np.ndarray:
     return np.unique(np.arange(n) + neighbours - 1 - windows[:, ::-1].argmin(axis=1))
 
 
+def unbroken(size: int, min_coverage: float) -> int:
+    """Words in a row that stay together in any text that has `min_coverage` of a
+    template of `size` words, the others changed or missing."""
+    needed = min(size, max(1, math.ceil(min_coverage * size)))
+    return -(-needed // (size - needed + 1))
+
+
 class TemplateIndex:
     """Templates as word hashes, and their fingerprints: sorted hashes with template
-    number and place."""
-
-    def __init__(self, templates: Mapping[str, str], words: int = WORDS, neighbours: int = NEIGHBOURS):
+    number and place. `widths` has the words of a fingerprint by template: at most those
+    that stay together at `min_coverage`, and winnowed only if one is then left."""
+
+    def __init__(
+        self,
+        templates: Mapping[str, str],
+        words: int = WORDS,
+        neighbours: int = NEIGHBOURS,
+        min_coverage: float = MIN_COVERAGE,
+    ):
         self.names = sorted(templates)
-        self.words = words
-        self.sequences, found = [], []
+        self.sequences, self.widths, found = [], [], []
         for k, name in enumerate(self.names):
             piece = next(tb.slices(pa.array([templates[name]])))
             hashes = tokens(piece)[2]
             self.sequences.append(hashes)
-            joined = tb.shingles(hashes, min(words, len(hashes)))
-            at = winnowed(joined, neighbours) if len(hashes) > words else np.arange(len(joined))
+            together = unbroken(len(hashes), min_coverage) if len(hashes) else 0
+            self.widths.append(min(words, together))
+            joined = tb.shingles(hashes, self.widths[-1]) if together else hashes
+            at = winnowed(joined, neighbours) if together >= words + neighbours - 1 else np.arange(len(joined))
             found += [(int(joined[i]), k, int(i)) for i in at]
         found.sort()
         self.hashes = np.array([f[0] for f in found], tb.U64)
@@ -159,18 +176,31 @@ def _stretches(diagonals: np.ndarray, size: int, band: int) -> list[tuple[int, i
     return [(a - band, b + size + band) for a, b in out]
 
 
+def _apart(spans: dict[tuple[int, int], int]) -> dict[tuple[int, int], int]:
+    """Of spans of one template that overlap, the one with most matched words: the
+    others are parts of the same occurrence."""
+    kept: dict[tuple[int, int], int] = {}
+    for (x, y), n in sorted(spans.items(), key=lambda s: (-s[1], s[0][1] - s[0][0], s[0])):
+        if all(y <= a or b <= x for a, b in kept):
+            kept[(x, y)] = n
+    return kept
+
+
 def scanned(documents: DataFrame, templates: Mapping[str, str] = TEMPLATES, min_coverage: float = MIN_COVERAGE) -> DataFrame:
     """`documents` with `licenses`: for each template found its `name`, `coverage`
     (matched words by words of the template), `start` and `end` (UTF-8 bytes of the text),
     by start and name. A template is found as often as it stands in a text; where one
     template contains another, both are reported.
 
-    A template of fewer words than a fingerprint is looked up whole. A null, empty or
+    A text that has `min_coverage` of a template is found whichever words are changed or
+    missing. Words added within it can hide it if with the changed ones they leave no
+    fingerprint together: two words for templates of five, three or four for longer ones.
+    A null, empty or
     unlicensed text has an empty list; repeated rows have equal lists. An empty table
     or no templates give no matches. A column named `licenses` is replaced. The index
     is as large as the templates, not the data."""
     docs = documents.drop("licenses")
-    index = TemplateIndex(templates)
+    index = TemplateIndex(templates, min_coverage=min_coverage)
     shared = documents.sparkSession.sparkContext.broadcast(index)
     item = T.StructType().add("name", "string").add("coverage", "double").add("start", "long").add("end", "long")
     schema = T.StructType(list(docs.schema)).add("licenses", T.ArrayType(item))
@@ -178,7 +208,7 @@ def scanned(documents: DataFrame, templates: Mapping[str, str] = TEMPLATES, min_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = shared.value
-        lengths = sorted({min(ix.words, len(s)) for s in ix.sequences if len(s)})
+        lengths = sorted(set(ix.widths) - {0})
         for batch in batches:
             found: list[list[dict]] = [[] for _ in range(batch.num_rows)]
             for piece in tb.slices(batch.column(batch.schema.get_field_index("text"))):
@@ -204,7 +234,7 @@ def scanned(documents: DataFrame, templates: Mapping[str, str] = TEMPLATES, min_
                             spans[span] = max(matched, spans.get(span, 0))
                     found[piece.first + r] += [
                         {"name": ix.names[k], "coverage": n / len(sequence), "start": x, "end": y}
-                        for (x, y), n in spans.items()
+                        for (x, y), n in _apart(spans).items()
                     ]
             for each in found:
                 each.sort(key=lambda m: (m["start"], m["name"], m["end"]))

@@ -202,3 +202,25 @@ def test_licenses_are_found_with_changes(documents, text_of, no_documents):
     found = {r.doc_id: [m.name for m in r.licenses] for r in license_scan.scanned(documents).collect()}
     assert found[90] == ["MIT", "Apache-2.0"]
     assert license_scan.scanned(no_documents).count() == 0
+
+
+def test_short_licenses_equal_alignment_with_any_word_changed(text_of):
+    hashes = lambda text: license_scan.tokens(next(license_scan.tb.slices(license_scan.pa.array([text]))))[2]
+    short = {k: t for k, t in license_scan.TEMPLATES.items() if len(hashes(t)) < 20}
+    texts = ["Released under an MIT License.", "Licensed under CC NN-NC 4.0."]
+    for template in short.values():
+        words = re.findall("[A-Za-z0-9]+", template)
+        for k in range(len(words)):
+            texts += [" ".join(["so", "it", "is", *words[:k], *new, *words[k + 1 :], "we", "say"]) for new in (["other"], [])]
+    rows = license_scan.scanned(text_of(*enumerate(texts)), short).collect()
+    for r in rows:
+        text = hashes(texts[r.doc_id])
+        want = {}
+        for name, template in short.items():
+            sequence = hashes(template)
+            matched = license_scan.aligned(text, sequence, len(text) + len(sequence))[0]
+            if matched >= license_scan.MIN_COVERAGE * len(sequence):
+                want[name] = matched / len(sequence)
+        assert sorted((m.name, m.coverage) for m in r.licenses) == sorted(want.items()), texts[r.doc_id]
+    found = {r.doc_id: [m.name for m in r.licenses] for r in rows}
+    assert found[0] == ["MIT"] and found[1] == ["CC-BY-NC-4.0"]
