@@ -9,7 +9,9 @@ differ bound the overlap from above; what passes is intersected exactly.
 Each document of a tile is first compared with one hub. Documents that seem to belong
 together need no further comparison with one another; only where a tile still holds
 several groups are rows of different groups compared. What is possible by signature
-is looked up and intersected, and groups that fall apart then are compared again."""
+is looked up and intersected, and groups that fall apart then are compared again. That
+finds the components. Where the links themselves are asked for, no hub stands in: all
+pairs of a tile are bounded by signature, and intersected in cells of two blocks."""
 
 from __future__ import annotations
 
@@ -288,6 +290,48 @@ def _verified(pairs: DataFrame, contents: DataFrame, percent: int, scratch: Scra
     return map_arrow(_paired(near, contents, "hashes"), exact, "a bigint, b bigint")
 
 
+def _verified_in_blocks(pairs: DataFrame, contents: DataFrame, percent: int, rows: int, scratch: Scratch) -> DataFrame:
+    """The pairs that are links, by exact intersection. Pairs lie within the components
+    that they make; one of more than `rows` sets is dealt to blocks of about that many.
+    A cell, two blocks of a component, gets each set that it has pairs of once, so that
+    a group of many pairs does not send its sets once for each pair."""
+    roots = scratch.write(connected_components(pairs, scratch), "pair_roots")
+    sizes = roots.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int").alias("own")
+    placed = scratch.write(roots.join(sizes, "root").select("v", "root", own), "placed")
+    of_a = placed.select(F.col("v").alias("a"), "root", F.col("own").alias("own_a"))
+    of_b = placed.select(F.col("v").alias("b"), F.col("own").alias("own_b"))
+    i, j = F.least("own_a", "own_b").alias("i"), F.greatest("own_a", "own_b").alias("j")
+    cells = scratch.write(pairs.join(of_a, "a").join(of_b, "b").select("root", i, j, "a", "b"), "cells")
+    keys = ["root", "i", "j"]
+    wanted = cells.select(*keys, F.col("a").alias("uid")).unionAll(cells.select(*keys, "b")).distinct()
+    nothing = F.lit(None)
+    sent = wanted.join(contents, "uid").select(*keys, F.col("uid").alias("a"), nothing.cast("bigint").alias("b"), "hashes")
+    asked = cells.select(*keys, "a", "b", nothing.cast("binary").alias("hashes"))
+    ordered = sent.unionAll(asked).repartition(*keys).sortWithinPartitions(*keys, F.col("b").isNotNull(), "a")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        cell = None
+        for batch in batches:
+            a, b = [], []
+            for *key, x, y, hashes in zip(*(batch.column(k).to_pylist() for k in range(6))):
+                if key != cell:
+                    held, cell = {}, key
+                if y is None:
+                    held[x] = np.frombuffer(hashes, tb.U64)
+                    continue
+                left, right = held[x], held[y]
+                at = np.minimum(np.searchsorted(right, left), len(right) - 1)
+                overlap = int((right[at] == left).sum())
+                if 100 * overlap >= percent * (len(left) + len(right) - overlap):
+                    a.append(x)
+                    b.append(y)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return map_arrow(ordered, run, "a bigint, b bigint")
+
+
 def _band(n: Column, percent: int) -> Column:
     """Sets that can be similar are in the same or neighbouring bands."""
     return F.floor(F.log(n.cast("double")) / F.lit(-math.log(percent / 100)) + 1e-9).cast("int")
@@ -385,11 +429,17 @@ def _tile_pairs(members: DataFrame, sets: DataFrame, percent: int, rows: int) ->
 
 
 def similar_groups(
-    documents: DataFrame, percent: int = PERCENT, width: int = SHINGLE_WORDS, tile_rows: int = TILE_ROWS
+    documents: DataFrame,
+    percent: int = PERCENT,
+    width: int = SHINGLE_WORDS,
+    tile_rows: int = TILE_ROWS,
+    with_links: bool = False,
 ) -> DataFrame:
     """One row for each row of `documents`: `doc_id`, `n_shingles`, `component_id` (the
     smallest doc_id that links reach), `n_copies` (rows with the same set), `kept`
-    (one row of each component: the smallest doc_id), `text_hash`.
+    (one row of each component: the smallest doc_id), `text_hash`; `with_links` also
+    `class_id` (the smallest doc_id with the same set) and `n_links` (the other sets,
+    each counted once, that are linked with this one).
 
     Links are between sets with 100 * intersection >= percent * union. A text of fewer
     words than a shingle is one shingle; a null or empty text, or one of white space,
@@ -403,7 +453,7 @@ def similar_groups(
     classes = scratch.write(
         sets.where("n > 0")
         .groupBy("sig_a", "sig_b", "n")
-        .agg(F.min("uid").alias("uid"), F.count(F.lit(1)).alias("n_copies")),
+        .agg(F.min("uid").alias("uid"), F.count(F.lit(1)).alias("n_copies"), F.min("doc_id").alias("class_id")),
         "classes",
     )
     found = scratch.write(shared_prefixes(sets), "found")
@@ -417,16 +467,21 @@ def similar_groups(
     meets = scratch.write(single.join(several, "h"), "meets")
     scratch.drop(found)
     members = meets
-    # First by signatures alone: each document with the hub of its shingle and band, and
-    # what that leaves apart with one another.
-    near_hub = scratch.write(_possible(_hub_pairs(members, percent), sets, percent), "near_hub")
-    loose = scratch.write(_rooted(members, near_hub, scratch, "within"), "loose")
-    apart = loose.withColumn("root", F.col("within")).withColumn("within", F.lit(0).cast("bigint"))
-    scratch.release()
-    across = scratch.write(_tile_pairs(apart, sets, percent, tile_rows), "across")
-    scratch.release()
+    if with_links:
+        alone = members.withColumn("root", F.col("uid")).withColumn("within", F.lit(0).cast("bigint"))
+        possible = scratch.write(_tile_pairs(alone, sets, percent, tile_rows), "possible")
+        scratch.release()
+    else:
+        # First by signatures alone: each document with the hub of its shingle and band, and
+        # what that leaves apart with one another.
+        near_hub = scratch.write(_possible(_hub_pairs(members, percent), sets, percent), "near_hub")
+        loose = scratch.write(_rooted(members, near_hub, scratch, "within"), "loose")
+        apart = loose.withColumn("root", F.col("within")).withColumn("within", F.lit(0).cast("bigint"))
+        scratch.release()
+        across = scratch.write(_tile_pairs(apart, sets, percent, tile_rows), "across")
+        scratch.release()
+        possible = near_hub.unionAll(across)
     # Only documents of possible pairs are looked up again, and compared exactly.
-    possible = near_hub.unionAll(across)
     active = possible.select(F.col("a").alias("uid")).unionAll(possible.select("b")).distinct()
     active = sets.select("uid", "doc_id", "text_hash").join(active, "uid")
     # A repeated row brings its set twice; its links are then found twice.
@@ -434,19 +489,29 @@ def similar_groups(
     same = texts["doc_id"].eqNullSafe(active["doc_id"]) & (texts["text_hash"] == active["text_hash"])
     contents = scratch.write(set_contents(texts.join(active, same).select("uid", "text"), width), "contents")
     scratch.release()
-    links = scratch.write(_verified(possible, contents, percent, scratch), "links")
-    scratch.release()
-    # A hub that seemed near may be none: then those it held together are compared.
-    split = _rooted(loose, links, scratch, "root")
-    scratch.release()
-    inside = scratch.write(_tile_pairs(split, sets, percent, tile_rows), "inside")
-    scratch.release()
-    links = scratch.write(links.unionAll(_verified(inside, contents, percent, scratch)), "links")
+    if with_links:
+        links = scratch.write(_verified_in_blocks(possible, contents.select("uid", "hashes"), percent, tile_rows, scratch), "links")
+        scratch.drop(possible)
+    else:
+        links = scratch.write(_verified(possible, contents, percent, scratch), "links")
+        scratch.release()
+        # A hub that seemed near may be none: then those it held together are compared.
+        split = _rooted(loose, links, scratch, "root")
+        scratch.release()
+        inside = scratch.write(_tile_pairs(split, sets, percent, tile_rows), "inside")
+        scratch.release()
+        links = scratch.write(links.unionAll(_verified(inside, contents, percent, scratch)), "links")
     scratch.drop(contents)
     roots = connected_components(links, scratch)
     class_root = classes.join(roots.withColumnRenamed("v", "uid"), "uid", "left").select(
-        "sig_a", "sig_b", "n", "n_copies", F.coalesce("root", "uid").alias("root")
+        "uid", "sig_a", "sig_b", "n", "n_copies", "class_id", F.coalesce("root", "uid").alias("root")
     )
+    extra = []
+    if with_links:
+        ends = links.select(F.col("a").alias("uid")).unionAll(links.select("b"))
+        class_root = class_root.join(ends.groupBy("uid").agg(F.count(F.lit(1)).alias("n_links")), "uid", "left")
+        extra = [F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links")]
+    class_root = class_root.drop("uid")
     rows = sets.select("uid", "doc_id", "text_hash", "n", "sig_a", "sig_b")
     found = rows.join(class_root, ["sig_a", "sig_b", "n"], "left").withColumn("root", F.coalesce("root", "uid"))
     found = scratch.write(found, "found")
@@ -460,6 +525,7 @@ def similar_groups(
         F.coalesce("n_copies", F.lit(1)).cast("bigint").alias("n_copies"),
         (F.col("first.uid") == F.col("uid")).alias("kept"),
         "text_hash",
+        *extra,
     )
 
 
@@ -492,4 +558,4 @@ def drop_similar(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 @register("op3_ngram_jaccard")
 def op3_ngram_jaccard(spark, sf_dir):
-    return similar_groups(table(spark, sf_dir, "documents")).drop("text_hash")
+    return similar_groups(table(spark, sf_dir, "documents"), with_links=True).drop("text_hash")

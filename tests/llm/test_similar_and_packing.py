@@ -51,6 +51,18 @@ def test_components_equal_brute_force(documents, corpus, monkeypatch, common, ti
     assert all(r.doc_id == r.component_id for r in kept)
 
 
+@pytest.mark.parametrize("tile_rows", [2_000, 3])
+def test_links_of_classes_equal_brute_force(documents, corpus, tile_rows):
+    sets = [shingles(r[1]) for r in corpus]
+    classes = [s for s in set(sets) if s]
+    links = {a: sum(a != b and 100 * len(a & b) >= 80 * len(a | b) for b in classes) for a in classes}
+    first = {a: min((r[0] for r, s in zip(corpus, sets) if s == a and r[0] is not None), default=None) for a in classes}
+    want = [(r[0], first.get(s, r[0]), links.get(s, 0), c) for r, s, (_, _, c) in zip(corpus, sets, expected_groups(corpus))]
+    assert max(links.values()) > 2
+    got = similar_groups(documents, tile_rows=tile_rows, with_links=True).collect()
+    assert Counter((r.doc_id, r.class_id, r.n_links, r.component_id) for r in got) == Counter(want)
+
+
 def test_links_at_the_threshold(text_of):
     words = [f"w{i}" for i in range(104)]
     a = " ".join(words)
