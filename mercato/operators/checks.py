@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 RESULT_COLUMNS = ("test", "value", "expected", "passed")
@@ -42,15 +42,47 @@ def violations(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     )
 
 
-def enforce(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
-    """The frame itself, or CheckFailed naming each broken rule and its count."""
-    counts = violations(df, rules).first().asDict()
+def refuse(counts: Mapping[str, int]) -> None:
+    """CheckFailed naming each broken rule and its count, if there is one."""
     broken = {name: n for name, n in counts.items() if n}
     if broken:
         raise CheckFailed("rows break rules: " + ", ".join(f"{k} ({v})" for k, v in broken.items()))
+
+
+def enforce(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    """The frame itself, or CheckFailed naming each broken rule and its count."""
+    refuse(violations(df, rules).first().asDict())
     return df
 
 
+class Observed:
+    """Row rules and measures of a frame, taken while it is written.
+
+    They are watched at the top of the plan, in the tasks that write: Spark counts such
+    a task once, also when it is run again after a loss."""
+
+    def __init__(self, rules: Mapping[str, Column], measures: Mapping[str, Column]):
+        self.rules, self.measures = rules, measures
+        self.observation = Observation()
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        broken = [F.count_if(~F.coalesce(r, F.lit(False))).alias(f"rule.{n}") for n, r in self.rules.items()]
+        taken = [m.alias(f"measure.{n}") for n, m in self.measures.items()]
+        return df.observe(self.observation, *broken, *taken) if broken or taken else df
+
+    def _found(self, kind: str) -> dict:
+        return {k.removeprefix(kind): v for k, v in self.observation.get.items() if k.startswith(kind)}
+
+    def enforce(self) -> None:
+        if self.rules:
+            refuse(self._found("rule."))
+
+    def notes(self) -> dict[str, str]:
+        """Measures as text, to be kept with the version; those without a value left out."""
+        found = self._found("measure.") if self.measures else {}
+        return {f"measure.{k}": str(v) for k, v in found.items() if v is not None}
+
+
 def result(test: str, value: Column, expected: Column | str, passed: Column) -> list[Column]:
     wanted = F.lit(expected) if isinstance(expected, str) else expected
     return [

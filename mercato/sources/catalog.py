@@ -1,5 +1,5 @@
-"""Tables, views and comments in the session catalog. The only place that writes
-tables."""
+"""Tables, views and comments in the session catalog. Published tables are versions
+behind a name (`versions`); logs are plain tables that grow."""
 
 from __future__ import annotations
 
@@ -9,8 +9,10 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.operators.checks import enforce
+from mercato.operators.checks import Observed
 from mercato.plans.descriptions import COLUMNS, TABLES
+from mercato.sources import versions
+from mercato.sources.versions import quoted
 
 LAYERS = {
     "bronze": "Landing files as they came, all text.",
@@ -19,10 +21,6 @@ LAYERS = {
 }
 
 
-def quoted(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _short(name: str) -> str:
     return name.rsplit(".", 1)[-1]
 
@@ -55,53 +53,35 @@ def publish_table(
     comment: str | None = None,
     partition_by: Sequence[str] = (),
     rules: Mapping[str, Column] | None = None,
+    measures: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Replace a table by a frame, which may read the table itself.
 
-    Written under a staging name, checked there, then swapped in: bad rows are
-    never published and a failed write leaves the old table. Partitioned output
-    is rebalanced by the partition columns, where Spark splits a large partition
-    over several tasks instead of giving it to one."""
-    spark = df.sparkSession
-    staging = f"{name}__staging"
+    The frame becomes a new version; the name is pointed at it when it is written and its
+    rows keep the rules, so bad rows are never published and a failed write leaves the
+    old version. Broken rules are counted, and `measures` (aggregates by name) taken,
+    while the rows are written, without a second scan; measures stay with the version
+    (`measures_of`). Partitioned output is rebalanced by the partition columns, where
+    Spark splits a large partition over several tasks instead of giving it to one."""
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    writer = with_comments(df).write.mode("overwrite").format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    spark.sql(f"DROP TABLE IF EXISTS {staging}")
-    writer.saveAsTable(staging)
-    if rules:
-        enforce(spark.table(staging), rules)
-    text = comment or TABLES.get(_short(name))
-    if text:
-        comment_table(spark, staging, text)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
-    if partition_by:
-        _point_partitions(spark, name)
-    return spark.table(name)
+    df = with_comments(df)
+    observed = Observed(rules or {}, measures or {})
+    return versions.publish(
+        observed.watch(df), name, comment or TABLES.get(_short(name)), partition_by,
+        check=lambda written: observed.enforce(), notes=observed.notes,
+    )
 
 
-def _point_partitions(spark: SparkSession, name: str) -> None:
-    """Some catalogs move the folder of a renamed table but keep the old location of
-    its partitions. Catalog entries only, one per partition."""
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
-    for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
-        steps = row["partition"].split("/")
-        spec = ", ".join(f"{k} = {quoted(v)}" for k, v in (s.split("=", 1) for s in steps))
-        where = quoted(f"{described['data_type']}/{row['partition']}")
-        spark.sql(f"ALTER TABLE {name} PARTITION ({spec}) SET LOCATION {where}")
+def measures_of(spark: SparkSession, name: str) -> dict[str, str]:
+    """What was measured while the current version was written, as text."""
+    noted = versions.properties(spark, versions.current_table(spark, name))
+    return {k.removeprefix("measure."): v for k, v in noted.items() if k.startswith("measure.")}
 
 
 def replace_partitions(df: DataFrame, name: str) -> DataFrame:
-    """Overwrite only the partitions the frame has rows for."""
-    spark = df.sparkSession
-    target = spark.table(name)
-    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
-    ordered = df.select(*target.columns).hint("rebalance", *[F.col(c) for c in parts])
-    ordered.write.mode("overwrite").insertInto(name)
-    return spark.table(name)
+    """Overwrite only the partitions the frame has rows for, in one step for readers."""
+    return versions.replace_partitions(with_comments(df), name)
 
 
 def append_log(df: DataFrame, name: str, comment: str | None = None) -> DataFrame:

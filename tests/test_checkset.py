@@ -54,5 +54,9 @@ def test_same_rows(spark, folder, other, key):
 
 def test_registry_is_consistent(spark):
     assert set(SQL) <= set(QUERIES) and len(QUERIES) > 200
-    assert entry.queries().keys() == QUERIES.keys() and entry.oracle_sql() == SQL
+    queries, sql = entry.queries(), entry.oracle_sql()
+    assert QUERIES.items() <= queries.items() and SQL.items() <= sql.items()
+    assert set(sql) <= set(queries)
+    # What else there is belongs to the training-text operators, which may be absent.
+    assert all(key == "pipeline" or key.startswith("op") for key in set(queries) - set(QUERIES))
     assert entry.entry(spark).count() == 25
