@@ -29,7 +29,7 @@ DISTANCE = 2
 SEED = 42
 # Fingerprints in a part of the Gray order; parts grow once there are MAX_PARTS, as the
 # root of each comes to the driver.
-PART_CODES = 16_384
+PART_CODES = 100_000
 MAX_PARTS = 4_096
 FANOUT = 4
 # Pairs of nodes opened at once.
@@ -196,32 +196,38 @@ def merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             label = further
 
 
-def _cells(roots: pa.Table, distance: int) -> pa.Table:
-    """Pairs of parts that can hold close codes: a row for each part of each, with the
-    other part's agreed bits. The rows of `roots` are at most MAX_PARTS."""
-    part = roots["part"].to_numpy()
-    ones, some = (roots[c].to_numpy().view(U64) for c in ("ones", "some"))
+def _parts(count: np.ndarray, parts: int) -> np.ndarray:
+    """Part of each slice of the order: neighbours go together, about evenly."""
+    middle = np.cumsum(count) - count / 2
+    return np.unique((middle * parts / max(1, count.sum())).astype(np.int64), return_inverse=True)[1]
+
+
+def _cells(slices: pa.Table, parts: int, distance: int) -> pa.Table:
+    """Pairs of parts that can hold close codes: a row for each slice of each, with the
+    other part's agreed bits. `slices` has about as many rows as there are parts."""
+    slices = slices.sort_by("slice")
+    part = _parts(slices["n"].to_numpy(), parts)
+    cuts = np.flatnonzero(np.diff(part, prepend=-1))
+    ones, some = (slices[c].to_numpy().view(U64) for c in ("ones", "some"))
+    ones, some = np.bitwise_and.reduceat(ones, cuts), np.bitwise_or.reduceat(some, cuts)
     mask = ~(some ^ ones)
     value = ones & mask
-    i, j = [], []
-    for k in range(len(part)):
-        apart = np.bitwise_count((value[k] ^ value[k:]) & mask[k] & mask[k:])
-        near = k + np.flatnonzero(apart <= distance)
-        i.append(np.full(len(near), k))
-        j.append(near)
-    i, j = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (i, j))
-    cell = np.arange(len(i), dtype=np.int64)
-    two = i != j
-    own, other = np.concatenate([i, j[two]]), np.concatenate([j, i[two]])
-    columns = {
-        "cell": np.concatenate([cell, cell[two]]),
-        "part": part[own].astype(np.int32),
-        "side": np.concatenate([np.zeros(len(i), np.int32), np.ones(int(two.sum()), np.int32)]),
-        "other_value": value[other].view(np.int64),
-        "other_mask": mask[other].view(np.int64),
-        "lone": np.concatenate([~two, np.zeros(int(two.sum()), bool)]),
-    }
-    return pa.table(columns)
+    rows = {c: [] for c in ("cell", "slice", "side", "other_value", "other_mask", "lone")}
+    number = slices["slice"].to_numpy()
+    of = [number[part == k] for k in range(len(cuts))]
+    cell = 0
+    for i in range(len(cuts)):
+        apart = np.bitwise_count((value[i] ^ value[i:]) & mask[i] & mask[i:])
+        for j in (i + np.flatnonzero(apart <= distance)).tolist():
+            for side, own, other in ((0, i, j), (1, j, i))[: 1 + (i != j)]:
+                n = len(of[own])
+                rows["slice"].append(of[own])
+                for c, v in (("cell", cell), ("side", side), ("lone", i == j)):
+                    rows[c].append(np.full(n, v))
+                rows["other_value"].append(np.full(n, value[other]).view(np.int64))
+                rows["other_mask"].append(np.full(n, mask[other]).view(np.int64))
+            cell += 1
+    return pa.table({c: np.concatenate(x) for c, x in rows.items()})
 
 
 def close_codes(codes: DataFrame, scratch: Scratch, distance: int = DISTANCE, part_codes: int = PART_CODES) -> DataFrame:
@@ -229,17 +235,22 @@ def close_codes(codes: DataFrame, scratch: Scratch, distance: int = DISTANCE, pa
     connect exactly what all pairs at most `distance` bits apart connect."""
     spark = codes.sparkSession
     ship(spark)
-    parts = max(1, min(MAX_PARTS, math.ceil(codes.count() / part_codes)))
+    total = codes.count()
+    if not total:
+        return spark.createDataFrame([], "a bigint, b bigint")
+    parts = max(1, min(MAX_PARTS, math.ceil(total / part_codes)))
     placed = scratch.write(
         codes.select("code", gray_rank(F.col("code")).alias("gray"))
         .repartitionByRange(parts, "gray")
-        .withColumn("part", F.spark_partition_id()),
+        .withColumn("slice", F.spark_partition_id().cast("bigint")),
         "gray",
     )
-    roots = placed.groupBy("part").agg(F.bit_and("code").alias("ones"), F.bit_or("code").alias("some"))
-    cells = spark.createDataFrame(_cells(roots.toArrow(), distance))
+    slices = placed.groupBy("slice").agg(
+        F.bit_and("code").alias("ones"), F.bit_or("code").alias("some"), F.count(F.lit(1)).alias("n")
+    )
+    cells = spark.createDataFrame(_cells(slices.toArrow(), parts, distance))
     apart = F.bit_count(F.col("code").bitwiseXOR(F.col("other_value")).bitwiseAND(F.col("other_mask")))
-    sent = placed.join(cells, "part").where(apart <= distance).select("cell", "side", "lone", "code", "gray")
+    sent = placed.join(cells, "slice").where(apart <= distance).select("cell", "side", "lone", "code", "gray")
 
     def run(group: pa.Table) -> pa.Table:
         group = group.sort_by([("side", "ascending"), ("gray", "ascending")])
