@@ -1,18 +1,22 @@
 """The daily run: fifteen steps from landing files to the call queue. A step reads
-and writes tables only, so any one of them can be run alone."""
+and writes tables only, so any one of them can be run alone. A ledger holds the versions
+that each step read and wrote; a resumed run leaves out what it shows as unchanged."""
 
 from __future__ import annotations
 
 import os
+import time
+import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mercato import ledger
 from mercato.operators.checks import gate, row_rules
 from mercato.operators.running import roc_auc
 from mercato.parameters import AT_RISK_DAYS, LAUNCH_DAYS, RunParameters
@@ -37,22 +41,44 @@ class Lake:
     prefix: str = ""
     location: str | None = None
     timings: dict[str, float] = field(default_factory=dict)
+    # What became of each step of the last run: done, unchanged or failed.
+    outcomes: dict[str, str] = field(default_factory=dict)
+    record: ledger.StepRecord = field(default_factory=ledger.StepRecord)
 
     def name(self, layer: str, table: str) -> str:
         return f"{self.prefix}{layer}.{table}"
 
+    def read(self, layer: str, table: str) -> DataFrame:
+        name = self.name(layer, table)
+        self.record.reads[name] = ledger.state(self.spark, name)
+        return self.spark.table(name)
+
     def silver(self, table: str) -> DataFrame:
-        return self.spark.table(self.name("silver", table))
+        return self.read("silver", table)
 
     def gold(self, table: str) -> DataFrame:
-        return self.spark.table(self.name("gold", table))
+        return self.read("gold", table)
 
     def raw(self, table: str) -> DataFrame:
         file = next(f for f in self.files if f.table == table)
+        self.read("bronze", table)
         return landing.raw_frame(self.spark, f"{self.prefix}bronze", file)
 
+    def wrote(self, layer: str, table: str) -> None:
+        name = self.name(layer, table)
+        # What a step makes itself is no input of it.
+        self.record.reads.pop(name, None)
+        self.record.writes[name] = ledger.state(self.spark, name)
+
     def publish(self, df: DataFrame, layer: str, table: str, **options) -> DataFrame:
-        return catalog.publish_table(df, self.name(layer, table), **options)
+        out = catalog.publish_table(df, self.name(layer, table), **options)
+        self.wrote(layer, table)
+        return out
+
+    def measures(self, layer: str, table: str) -> dict[str, str]:
+        """What was measured while a table was written."""
+        self.read(layer, table)
+        return catalog.measures_of(self.spark, self.name(layer, table))
 
 
 def side_by_side(lake: Lake, *jobs: Callable[[], object]) -> list[object]:
@@ -68,6 +94,7 @@ def arrival_step(lake: Lake) -> None:
     catalog.create_schemas(lake.spark, lake.prefix, lake.location)
     checked = landing.arrival_check(lake.spark, lake.landing, lake.files)
     landing.arrival_log(checked, lake.name("bronze", "arrival_log"))
+    lake.wrote("bronze", "arrival_log")
 
 
 def bronze_step(lake: Lake) -> None:
@@ -75,6 +102,8 @@ def bronze_step(lake: Lake) -> None:
     side_by_side(lake, *[partial(landing.bronze_ingest, lake.spark, lake.landing, f, database) for f in lake.files])
     log = lake.spark.table(lake.name("bronze", "arrival_log"))
     landing.reconcile_gate(landing.row_count_reconcile(lake.spark, database, lake.files, log))
+    for file in lake.files:
+        lake.wrote("bronze", file.table)
 
 
 def silver_clients_step(lake: Lake) -> None:
@@ -88,7 +117,7 @@ def silver_clients_step(lake: Lake) -> None:
 
 def silver_orders_step(lake: Lake) -> None:
     orders = silver.silver_orders(lake.raw("order"), lake.parameters.words)
-    lake.publish(orders, "silver", "orders", rules=row_rules()["orders"])
+    lake.publish(orders, "silver", "orders", rules=row_rules()["orders"], measures=quality.order_measures())
 
 
 def silver_products_step(lake: Lake) -> None:
@@ -124,7 +153,7 @@ def dimensions_step(lake: Lake) -> None:
     dim_client = gold.dim_client(clients, merges, orders, lake.parameters.as_of)
     side_by_side(
         lake,
-        lambda: lake.publish(dim_client, "gold", "dim_client"),
+        lambda: lake.publish(dim_client, "gold", "dim_client", measures=quality.client_measures()),
         lambda: lake.publish(gold.dim_product(products), "gold", "dim_product"),
         lambda: lake.publish(gold.dim_rep(reps), "gold", "dim_rep"),
         lambda: lake.publish(gold.dim_calendar(orders), "gold", "dim_calendar"),
@@ -136,7 +165,7 @@ def fact_step(lake: Lake) -> None:
         lake.silver("lines"), lake.silver("orders"), lake.silver("clients"),
         lake.silver("client_merges"), lake.silver("products"),
     )
-    lake.publish(fact, "gold", "fact_sales", partition_by=("year", "month"))
+    lake.publish(fact, "gold", "fact_sales", partition_by=("year", "month"), measures=quality.fact_measures())
 
 
 def marts_step(lake: Lake) -> None:
@@ -145,14 +174,20 @@ def marts_step(lake: Lake) -> None:
     side_by_side(
         lake,
         lambda: lake.publish(gold.mart_rep_month(fact, reps), "gold", "mart_rep_month"),
-        lambda: lake.publish(gold.mart_product_month(fact), "gold", "mart_product_month"),
+        lambda: lake.publish(
+            gold.mart_product_month(fact), "gold", "mart_product_month", measures=quality.mart_measures()
+        ),
         lambda: lake.publish(gold.mart_receivables(payments, words), "gold", "mart_receivables"),
     )
 
 
 def tests_step(lake: Lake) -> None:
-    report = quality.dq_report(
-        lake.gold("fact_sales"), lake.silver("orders"), lake.silver("clients"),
+    measured = {
+        "fact": lake.measures("gold", "fact_sales"), "orders": lake.measures("silver", "orders"),
+        "mart": lake.measures("gold", "mart_product_month"), "clients": lake.measures("gold", "dim_client"),
+    }
+    report = quality.measured_report(
+        measured, lake.gold("fact_sales"), lake.silver("orders"), lake.silver("clients"),
         lake.gold("dim_client"), lake.gold("mart_product_month"), lake.parameters.fact_rows,
     )
     gate(report)
@@ -176,6 +211,7 @@ def view_queries(lake: Lake) -> dict[str, str]:
 def views_step(lake: Lake) -> None:
     for name, query in view_queries(lake).items():
         catalog.create_commented_view(lake.spark, lake.name("gold", name), query)
+        lake.wrote("gold", name)
 
 
 def audit_step(lake: Lake) -> None:
@@ -188,10 +224,14 @@ def features_step(lake: Lake) -> None:
         lake.gold("fact_sales"), lake.silver("visits"), lake.silver("opportunities"), lake.gold("dim_client")
     )
     options = {"recent_days": p.recent_days, "words": p.words, "stage_as_of_cutoff": p.stage_as_of_cutoff}
+    # The fact is read once, up to the last day that either cutoff or the label asks for.
+    fact, *others = inputs
+    wanted = features.up_to_label(fact, (p.train_cutoff, p.score_cutoff), p.horizon_days)
+    orders = materialize(features.client_orders(wanted), "orders")
     train = features.features_train(
-        *inputs, p.train_cutoff, p.horizon_days, p.label_includes_cutoff, **options
+        orders, *others, p.train_cutoff, p.horizon_days, p.label_includes_cutoff, **options
     )
-    current = features.client_features(*inputs, p.score_cutoff, **options)
+    current = features.client_features(orders, *others, p.score_cutoff, **options)
     side_by_side(
         lake,
         lambda: lake.publish(train, "gold", "features_train"),
@@ -207,7 +247,7 @@ def model_step(lake: Lake) -> None:
     judged = materialize(propensity.score(model, test).select("client_id", label, "score"), "judged")
     auc = roc_auc(judged, "score", label).first()["auc"]
     lift = propensity.lift_at_k(judged, p.queue_size).first()
-    propensity.model_gate(auc, lift["lift"], p.auc_bounds)
+    propensity.model_gate(auc, lift["lift"], p.auc_bounds, p.lift_floor)
 
     by_hand = {r["name"]: r["auc"] for r in propensity.baselines(test).collect()}
     drops = propensity.permutation_importance(model, test)
@@ -266,32 +306,62 @@ STEPS: tuple[dict[str, Callable[[Lake], None]], ...] = (
 STEP_NAMES = tuple(name for line in STEPS for name in line)
 
 
-def _timed(lake: Lake, name: str, step: Callable[[Lake], None]) -> None:
-    import time
+# Steps that depend on the landing files, not on tables alone.
+FROM_LANDING = ("arrival", "bronze")
+
 
-    lake.spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
-    start = time.monotonic()
+def _inputs(lake: Lake, name: str) -> str:
+    """What a step depends on besides tables."""
+    files = landing.fingerprint(lake.spark, lake.landing) if name in FROM_LANDING else None
+    return ledger.digest(lake.parameters, lake.files, lake.landing, files)
+
+
+def _run(lake: Lake, run_id: str, done: dict | None, name: str, step: Callable[[Lake], None]) -> None:
+    """One step, timed and entered in the ledger; left out if `done` shows that it would
+    repeat what is there."""
+    spark, database = lake.spark, f"{lake.prefix}bronze"
+    inputs = _inputs(lake, name)
+    if done is not None and ledger.unchanged(spark, done.get(name), inputs):
+        lake.outcomes[name] = "unchanged"
+        return
+    own = replace(lake, record=ledger.StepRecord())
+    spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+    start, outcome, error = time.monotonic(), "done", None
     try:
-        step(lake)
+        step(own)
+    except Exception as failure:
+        outcome, error = "failed", str(failure)[:1000]
+        raise
     finally:
         lake.timings[name] = time.monotonic() - start
-        lake.spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+        lake.outcomes[name] = outcome
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+        ledger.note(spark, database, run_id, name, outcome, lake.timings[name], inputs, own.record, error)
+
 
+def run_all(lake: Lake, only: Iterable[str] | None = None, resume: bool = False) -> Lake:
+    """Run all steps, or the named ones over the tables already there. A failing step
+    raises, and no later step runs.
 
-def run_all(lake: Lake, only: Iterable[str] | None = None) -> Lake:
-    """Run all steps, or the named ones over the tables already there. A failing
-    step raises, and no later step runs."""
+    With `resume`, steps are left out whose parameters, landing files, and versions
+    read and written are those of the last time they ended well: a run that failed goes
+    on where it stopped, and after a change only what depends on it runs. Changes of
+    the code are not seen; run without `resume` after them."""
     configure(lake.spark)
     wanted = set(only) if only is not None else set(STEP_NAMES)
     unknown = wanted - set(STEP_NAMES)
     if unknown:
         raise ValueError(f"no such step: {', '.join(sorted(unknown))}")
+    catalog.create_schemas(lake.spark, lake.prefix, lake.location)
+    lake.outcomes.clear()
+    run_id = uuid.uuid4().hex
+    done = ledger.last_done(lake.spark, f"{lake.prefix}bronze") if resume else None
     for line in STEPS:
         chosen = [(n, s) for n, s in line.items() if n in wanted]
         if len(chosen) == 1:
-            _timed(lake, *chosen[0])
+            _run(lake, run_id, done, *chosen[0])
         elif chosen:
-            side_by_side(lake, *[partial(_timed, lake, n, s) for n, s in chosen])
+            side_by_side(lake, *[partial(_run, lake, run_id, done, n, s) for n, s in chosen])
     return lake
 
 
@@ -299,5 +369,10 @@ def run_step(lake: Lake, name: str) -> Lake:
     return run_all(lake, [name])
 
 
+def run_log(lake: Lake) -> DataFrame:
+    """The ledger: `run_id`, `step`, `status`, `finished_at`, `seconds`, `reads`, `writes`, `error`."""
+    return lake.spark.table(f"{lake.prefix}bronze.{ledger.TABLE}")
+
+
 def model_home(lake_location: str) -> str:
     return os.path.join(lake_location, "models")

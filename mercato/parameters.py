@@ -41,3 +41,5 @@ class RunParameters:
     stage_as_of_cutoff: bool = True
     auc_bounds: tuple[float, float] = (AUC_FLOOR, AUC_CEILING)
     boosting_rounds: int = BOOSTING_ROUNDS
+    # A ranking must find buyers this many times as often as chance.
+    lift_floor: float = 1.0

@@ -36,6 +36,7 @@ TABLES = {
     "model_metrics": "One row per training: AUC, lift, baselines, version.",
     "model_versions": "Saved models and where they are.",
     "model_aliases": "Which version an alias means; the newest row holds.",
+    "run_ledger": "One row per step run: how it ended, the versions it read and wrote.",
     "weekly_queue": "The best clients to call this week, only for reps still employed.",
 }
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions.columns import day, safe_ratio
 from mercato.parameters import RECENT_DAYS
+from mercato.session import materialize
 from mercato.vocabulary import ENGLISH, Vocabulary
 
 NUMERIC_FEATURES = (
@@ -53,23 +57,49 @@ def _recent(date: str, cutoff: str, days: int) -> Column:
     return F.col(date) > F.date_sub(day(cutoff), days)
 
 
-def order_features(fact: DataFrame, cutoff: str, recent_days: int = RECENT_DAYS) -> DataFrame:
-    """Recency, frequency, value, cycle, recent activity, channels, units, returns.
-
-    Lines become orders first, which makes the order count a plain count and
-    spreads a large client over its orders."""
+def client_orders(fact: DataFrame) -> DataFrame:
+    """The state from which features at any cutoff are answered: what each client bought
+    in an order on a day. Sums add up and minima, maxima and `seen` (the few pairs of
+    category and brand in an order) combine, so rows of new fact partitions are simply
+    added. It is as large as there are orders and is made in one scan of the fact; a
+    large client is spread over its orders."""
     sold = F.when(~F.col("is_return"), F.col("quantity")).otherwise(0)
-    recent = _recent("ordered_on", cutoff, recent_days)
-    orders = until(fact, "ordered_on", cutoff).groupBy("client_id", "order_id").agg(
-        F.min("ordered_on").alias("first_on"),
-        F.max("ordered_on").alias("last_on"),
+    return fact.groupBy("client_id", "order_id", "ordered_on").agg(
         F.min("channel").alias("first_channel"),
         F.max("channel").alias("last_channel"),
         F.sum("revenue").alias("revenue"),
-        F.sum(F.when(recent, F.col("revenue"))).alias("recent_revenue"),
         F.sum(sold).alias("units"),
         F.count(F.lit(1)).alias("lines"),
         F.count_if("is_return").alias("returned"),
+        F.collect_set(F.struct("category", "brand")).alias("seen"),
+    )
+
+
+def _orders(fact_or_orders: DataFrame) -> DataFrame:
+    """Fact lines become orders; orders stay what they are."""
+    return fact_or_orders if "seen" in fact_or_orders.columns else client_orders(fact_or_orders)
+
+
+def up_to_label(fact: DataFrame, cutoffs: Sequence[str], horizon_days: int) -> DataFrame:
+    """The rows that features at the cutoffs, or a label after them, ask for."""
+    last = max(date.fromisoformat(c) + timedelta(days=horizon_days) for c in cutoffs)
+    return until(fact, "ordered_on", last.isoformat())
+
+
+def order_features(fact: DataFrame, cutoff: str, recent_days: int = RECENT_DAYS) -> DataFrame:
+    """Recency, frequency, value, cycle, recent activity, channels, units, returns, from
+    fact lines or `client_orders`. An order that stands under several days counts once."""
+    recent = _recent("ordered_on", cutoff, recent_days)
+    orders = _orders(until(fact, "ordered_on", cutoff)).groupBy("client_id", "order_id").agg(
+        F.min("ordered_on").alias("first_on"),
+        F.max("ordered_on").alias("last_on"),
+        F.min("first_channel").alias("first_channel"),
+        F.max("last_channel").alias("last_channel"),
+        F.sum("revenue").alias("revenue"),
+        F.sum(F.when(recent, F.col("revenue"))).alias("recent_revenue"),
+        F.sum("units").alias("units"),
+        F.sum("lines").alias("lines"),
+        F.sum("returned").alias("returned"),
     )
     return orders.groupBy("client_id").agg(
         F.max("last_on").alias("last_order_on"),
@@ -87,8 +117,10 @@ def order_features(fact: DataFrame, cutoff: str, recent_days: int = RECENT_DAYS)
 
 
 def variety_features(fact: DataFrame, cutoff: str) -> DataFrame:
-    """Distinct categories and brands, from the few distinct pairs of a client."""
-    pairs = until(fact, "ordered_on", cutoff).select("client_id", "category", "brand").distinct()
+    """Distinct categories and brands, from the few distinct pairs of a client; from fact
+    lines or `client_orders`."""
+    orders = _orders(until(fact, "ordered_on", cutoff))
+    pairs = orders.select("client_id", F.explode("seen").alias("s")).select("client_id", "s.*").distinct()
     return pairs.groupBy("client_id").agg(
         F.countDistinct("category").alias("distinct_categories"),
         F.countDistinct("brand").alias("distinct_brands"),
@@ -133,7 +165,8 @@ def client_features(
     fact: DataFrame, visits: DataFrame, opportunities: DataFrame, clients: DataFrame, cutoff: str,
     recent_days: int = RECENT_DAYS, words: Vocabulary = ENGLISH, stage_as_of_cutoff: bool = True,
 ) -> DataFrame:
-    """One row per client with a sale up to the cutoff."""
+    """One row per client with a sale up to the cutoff, from fact lines or
+    `client_orders`. Orders and variety share one scan and shuffle of the fact."""
     profile = clients.select("client_id", "segment", "registered_on")
     joined = (
         order_features(fact, cutoff, recent_days)
@@ -176,8 +209,11 @@ def features_train(
     fact: DataFrame, visits: DataFrame, opportunities: DataFrame, clients: DataFrame, cutoff: str,
     horizon_days: int, label_includes_cutoff: bool = False, **options,
 ) -> DataFrame:
-    features = client_features(fact, visits, opportunities, clients, cutoff, **options)
-    label = label_buys_next(fact, cutoff, horizon_days, label_includes_cutoff)
+    """Features and label, from fact lines or `client_orders`. Fact lines are made into
+    orders, and written, first, so that the fact is read once."""
+    orders = fact if "seen" in fact.columns else materialize(client_orders(up_to_label(fact, [cutoff], horizon_days)), "orders")
+    features = client_features(orders, visits, opportunities, clients, cutoff, **options)
+    label = label_buys_next(orders, cutoff, horizon_days, label_includes_cutoff)
     return features.join(label, "client_id", "left").withColumn(
         LABEL, F.coalesce(LABEL, F.lit(0)).cast("int")
     )

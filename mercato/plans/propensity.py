@@ -183,7 +183,9 @@ def score_bands(scored: DataFrame, labels: Sequence[str] = ENGLISH.bands) -> Dat
     return quartile_band(scored, "score", labels)
 
 
-def model_gate(auc: float, lift: float, bounds: tuple[float, float] = (AUC_FLOOR, AUC_CEILING)) -> None:
+def model_gate(
+    auc: float, lift: float, bounds: tuple[float, float] = (AUC_FLOOR, AUC_CEILING), lift_floor: float = 1.0
+) -> None:
     """A model must beat chance and must not be too good to be true."""
     low, high = bounds
     problems = []
@@ -191,7 +193,7 @@ def model_gate(auc: float, lift: float, bounds: tuple[float, float] = (AUC_FLOOR
         problems.append(f"AUC {auc:.4f} reaches the ceiling of {high}, which a sound split cannot")
     if not auc > low:
         problems.append(f"AUC {auc:.4f} stays within the floor of {low}")
-    if not lift > 1:
+    if not lift > lift_floor:
         problems.append(f"the first clients of the ranking buy no more often than others (lift {lift:.2f})")
     if problems:
         raise CheckFailed("; ".join(problems))

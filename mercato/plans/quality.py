@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions.columns import total
@@ -101,3 +102,85 @@ def dq_report(
         tax_id_length(client_dim),
     ]
     return union_all(tests).orderBy("test")
+
+
+# -- from what was measured while the tables were written -------------------------------
+
+def _sum(column: str) -> Column:
+    return F.coalesce(total(F.col(column)), F.lit(0).cast("decimal(38,2)"))
+
+
+def fact_measures() -> dict[str, Column]:
+    return {
+        "revenue": _sum("revenue"),
+        "rows": F.count(F.lit(1)),
+        "negative_sales": F.count_if((F.col("revenue") < 0) & ~F.col("is_return")),
+    }
+
+
+def order_measures() -> dict[str, Column]:
+    return {"net_value": _sum("net_value"), "without_date": F.count_if(F.col("ordered_on").isNull())}
+
+
+def mart_measures() -> dict[str, Column]:
+    return {"revenue": _sum("revenue")}
+
+
+def client_measures() -> dict[str, Column]:
+    return {"wrong_length": F.count_if(F.length("tax_id") != 14)}
+
+
+def measured(table: DataFrame, noted: Mapping[str, str], measures: Mapping[str, Column]) -> dict[str, str]:
+    """The noted measures; taken from the table where they were not noted."""
+    if set(measures) <= set(noted):
+        return {k: noted[k] for k in measures}
+    row = table.agg(*[m.alias(k) for k, m in measures.items()]).first()
+    return {k: str(row[k]) for k in measures}
+
+
+def _orphans(keys: DataFrame, parents: DataFrame, key: str) -> DataFrame:
+    per_key = keys.groupBy(key).agg(F.sum("n").alias("n"))
+    left = per_key.join(parents.select(key), key, "left_anti")
+    return zero_result(left.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")), f"no_orphan_{key.removesuffix('_id')}", "n")
+
+
+def measured_report(
+    noted: Mapping[str, Mapping[str, str]], fact: DataFrame, orders: DataFrame, silver_clients: DataFrame,
+    client_dim: DataFrame, product_mart: DataFrame, fact_rows: tuple[int, int],
+) -> DataFrame:
+    """The rows of `dq_report`. Sums, counts and violations come from `noted`, the
+    measures of `fact`, `orders`, `clients` and `mart` as taken while these were written.
+    Only the keys of the fact are read, once, for both orphan tests."""
+    known = {
+        "fact": measured(fact, noted.get("fact", {}), fact_measures()),
+        "orders": measured(orders, noted.get("orders", {}), order_measures()),
+        "mart": measured(product_mart, noted.get("mart", {}), mart_measures()),
+        "clients": measured(client_dim, noted.get("clients", {}), client_measures()),
+    }
+    one = fact.sparkSession.range(1)
+
+    def money(table: str, name: str) -> Column:
+        return F.lit(known[table][name]).cast("decimal(38,2)")
+
+    def equal(test: str, found: Column, wanted: Column) -> DataFrame:
+        near = F.abs(found - wanted) <= F.lit(REVENUE_TOLERANCE).cast("decimal(3,2)")
+        return one.select(*result(test, found, wanted, near))
+
+    def none(test: str, table: str, name: str) -> DataFrame:
+        return zero_result(one.select(F.lit(known[table][name]).cast("bigint").alias("n")), test, "n")
+
+    low, high = fact_rows
+    rows = F.lit(known["fact"]["rows"]).cast("bigint")
+    keys = fact.groupBy("order_id", "client_id").agg(F.count(F.lit(1)).alias("n"))
+    tests = [
+        equal("revenue_match", money("fact", "revenue"), money("orders", "net_value")),
+        equal("mart_equals_fact", money("mart", "revenue"), money("fact", "revenue")),
+        none("order_date_present", "orders", "without_date"),
+        none("negative_only_returns", "fact", "negative_sales"),
+        none("tax_id_length", "clients", "wrong_length"),
+        one.select(*result("fact_volume", rows, f"{low} to {high}", rows.between(low, high))),
+        tax_id_unique(silver_clients),
+        _orphans(keys, orders, "order_id"),
+        _orphans(keys, silver_clients, "client_id"),
+    ]
+    return union_all(tests).orderBy("test")

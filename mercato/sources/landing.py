@@ -145,6 +145,20 @@ def arrivals(spark: SparkSession, base: str, expected: tuple[LandingFile, ...])
     )
 
 
+def fingerprint(spark: SparkSession, base: str) -> tuple[int, int, int]:
+    """Number, bytes and a hash of path, size and time of all landing files, from their
+    listing; it changes when a file does."""
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(base)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0, 0, 0
+    each = F.xxhash64("path", "length", "modificationTime")
+    row = files.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0)), F.coalesce(F.bit_xor(each), F.lit(0))).first()
+    return tuple(row)
+
+
 def arrival_check(spark: SparkSession, base: str, expected: tuple[LandingFile, ...]) -> DataFrame:
     """One row per expected file, or CheckFailed listing all missing and all empty
     ones. As many rows as there are files, so they pass through the driver."""

@@ -9,10 +9,12 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from mercato.daily_run import Lake, run_all, run_step
+from mercato import daily_run
+from mercato.daily_run import STEP_NAMES, Lake, run_all, run_log, run_step
 from mercato.operators.checks import CheckFailed
 from mercato.parameters import RunParameters
 from mercato.plans import audit, model_versions
+from mercato.session import materialize
 from mercato.sources import catalog, landing, sample_tables, versions
 from mercato.sources.landing_writer import write_landing
 
@@ -161,3 +163,100 @@ def test_single_steps(lake):
     run_step(lake, "marts")
     with pytest.raises(ValueError, match="no such step"):
         run_step(lake, "nonsense")
+
+
+def test_ledger_names_versions_read_and_written(lake):
+    run_all(lake, ["fact", "marts"])
+    log = run_log(lake).where("status = 'done'")
+    last = {r["step"]: r for r in log.orderBy("finished_at").collect()}
+    assert set(STEP_NAMES) <= set(last)
+    fact = f"v{versions.current(lake.spark, 'run_gold.fact_sales')}"
+    assert last["fact"]["writes"] == {"run_gold.fact_sales": fact}
+    assert set(last["fact"]["reads"]) == {f"run_silver.{t}" for t in ("lines", "orders", "clients", "client_merges", "products")}
+    assert last["marts"]["reads"]["run_gold.fact_sales"] == fact
+    assert last["silver_products"]["reads"].keys() == {"run_bronze.product", "run_bronze.line"}
+
+
+def test_resume_goes_on_at_the_failed_step_and_skips_what_is_unchanged(lake, monkeypatch):
+    upto = ["silver_clients", "silver_orders", "silver_products", "silver_crm", "dimensions", "fact", "marts", "tests", "views", "audit", "features"]
+    run_all(lake, upto)
+
+    def broken(lake):
+        raise CheckFailed("broken on purpose")
+
+    line = next(s for s in daily_run.STEPS if "marts" in s)
+    # One table changes, and the step that makes the marts fails.
+    lake.publish(lake.silver("orders"), "silver", "orders")
+    with monkeypatch.context() as patch:
+        patch.setitem(line, "marts", broken)
+        with pytest.raises(CheckFailed, match="on purpose"):
+            run_all(lake, upto, resume=True)
+    assert lake.outcomes["silver_clients"] == lake.outcomes["silver_products"] == lake.outcomes["silver_crm"] == "unchanged"
+    # Its own table was replaced by somebody else, so the step runs.
+    assert lake.outcomes["silver_orders"] == lake.outcomes["dimensions"] == lake.outcomes["fact"] == "done"
+    assert lake.outcomes["marts"] == "failed" and "tests" not in lake.outcomes
+    failed = run_log(lake).where("status = 'failed' and step = 'marts'").first()
+    assert "on purpose" in failed["error"]
+    made = versions.current(lake.spark, "run_gold.fact_sales")
+    run_all(lake, upto, resume=True)
+    assert lake.outcomes["fact"] == lake.outcomes["dimensions"] == lake.outcomes["silver_orders"] == "unchanged"
+    assert lake.outcomes["marts"] == lake.outcomes["tests"] == lake.outcomes["features"] == "done"
+    assert versions.current(lake.spark, "run_gold.fact_sales") == made
+    # Other parameters: what depends on them runs again.
+    other = replace(lake, parameters=replace(PARAMETERS, as_of="2001-08-02"), outcomes={})
+    run_all(other, ["dimensions"], resume=True)
+    assert other.outcomes["dimensions"] == "done"
+    run_all(lake, ["dimensions"])
+
+
+def test_landing_files_are_told_apart(lake, folder):
+    before = landing.fingerprint(lake.spark, lake.landing)
+    assert before == landing.fingerprint(lake.spark, lake.landing) and before[0] > 0
+    assert landing.fingerprint(lake.spark, os.path.join(folder, "nothing")) == (0, 0, 0)
+    with open(os.path.join(folder, "more.csv"), "w") as out:
+        out.write("a\n1\n")
+    assert landing.fingerprint(lake.spark, folder)[:2] == (1, 4)
+
+
+def scans(df, table):
+    """Reads of a table that a plan carries out; reused results count once."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return sum(table in line for line in plan.splitlines() if "FileScan" in line and "ReusedExchange" not in line)
+
+
+def test_report_reads_the_fact_once_and_equals_a_full_one(lake):
+    from mercato.plans import quality
+
+    name = {"fact": ("gold", "fact_sales"), "orders": ("silver", "orders"), "mart": ("gold", "mart_product_month"), "clients": ("gold", "dim_client")}
+    noted = {k: catalog.measures_of(lake.spark, lake.name(*v)) for k, v in name.items()}
+    assert set(noted["fact"]) == {"revenue", "rows", "negative_sales"}
+    frames = (lake.gold("fact_sales"), lake.silver("orders"), lake.silver("clients"), lake.gold("dim_client"), lake.gold("mart_product_month"))
+    report = quality.measured_report(noted, *frames, PARAMETERS.fact_rows)
+    full = quality.dq_report(*frames, PARAMETERS.fact_rows)
+    assert sorted(map(tuple, report.collect())) == sorted(map(tuple, full.collect()))
+    # What was not measured is taken from the table.
+    assert sorted(map(tuple, quality.measured_report({}, *frames, PARAMETERS.fact_rows).collect())) == sorted(map(tuple, full.collect()))
+    keys = frames[0].groupBy("order_id", "client_id").count()
+    columns = keys._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<order_id:string,client_id:string>" in columns
+    bad = {**noted, "fact": {**noted["fact"], "revenue": "1.00", "negative_sales": "3"}}
+    failed = {r["test"] for r in quality.measured_report(bad, *frames, PARAMETERS.fact_rows).where("not passed").collect()}
+    assert failed == {"revenue_match", "mart_equals_fact", "negative_only_returns"}
+
+
+def test_features_of_any_cutoff_come_from_one_state(lake):
+    from mercato.plans import features
+
+    fact = lake.gold("fact_sales")
+    others = (lake.silver("visits"), lake.silver("opportunities"), lake.gold("dim_client"))
+    # Two batches of the state, as after new partitions of the fact.
+    state = features.client_orders(fact.where("year < 1997")).unionByName(features.client_orders(fact.where("year >= 1997")))
+    state = materialize(state, "state")
+    for cutoff in ("1996-05-17", "2001-06-01", "2001-07-15"):
+        mine = features.client_features(state, *others, cutoff)
+        assert scans(mine, "fact_sales") == 0
+        assert mine.exceptAll(features.client_features(fact, *others, cutoff)).count() == 0
+        assert mine.count() == features.until(fact, "ordered_on", cutoff).select("client_id").distinct().count()
+    train = features.features_train(state, *others, "2001-06-01", 30)
+    assert train.exceptAll(features.features_train(fact, *others, "2001-06-01", 30)).count() == 0
+    assert scans(features.features_train(fact, *others, "2001-06-01", 30), "fact_sales") == 0
