@@ -4,16 +4,18 @@ keeping them as bronze tables."""
 from __future__ import annotations
 
 import os
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from mercato.operators.checks import CheckFailed
-from mercato.sources.catalog import append_log, publish_table
+from mercato.session import materialize
+from mercato.sources.catalog import append_log, measures_of, publish_table
 
 
 @dataclass(frozen=True)
@@ -176,6 +178,90 @@ def arrival_log(checked: DataFrame, table: str) -> DataFrame:
     return append_log(checked, table, "One row per landing file and run: size, rows, time of the check.")
 
 
+# -- rejected rows --------------------------------------------------------------------
+
+REJECTED = "rejected"
+HEADER, SHORT, LONG, UNREADABLE = "other header", "missing fields", "extra fields", "unreadable"
+
+
+def numbered_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """All lines of a file, or of a folder of parts, as `value`, `file`, `line` (from 1) and
+    `header` (the first line of that file); and one row for each block of a file with its
+    first line and number of lines. Lines are numbered within a block as they are read, and
+    the blocks before it are added; blocks are as many as tasks, whatever the rows."""
+    lines = spark.read.option("recursiveFileLookup", True).text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+    )
+    blocks = materialize(
+        lines.groupBy("file", "block").agg(
+            F.count(F.lit(1)).alias("n"), F.min("at").alias("first_at"), F.min_by("value", "at").alias("first"),
+            F.count_if(F.trim("value") == "").alias("blank"),
+        ),
+        "blocks",
+    )
+    order = Window.partitionBy("file").orderBy("block")
+    before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    header = F.first("first").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    known = blocks.select("file", "block", "first_at", before.alias("before"), header.alias("header"))
+    placed = lines.join(known, ["file", "block"])
+    return placed.select("value", "file", (F.col("before") + F.col("at") - F.col("first_at") + 1).alias("line"), "header"), blocks
+
+
+def sorted_out(spark: SparkSession, path: str, columns: Sequence[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows of a landing file that fit its header `columns`, those that do not, and the
+    blocks of `numbered_lines`.
+
+    A part whose first line is not that header is rejected with all its rows, as its
+    values cannot be told apart; in other parts a row with a missing or an extra field,
+    or with quotes that do not close, is. Rejected rows have `file`, `line`, `reason` and
+    `value`, the line as it stands. Blank lines are no rows. No value moves to another
+    column, and every line but headers and blanks is in one of the two."""
+    placed, blocks = numbered_lines(spark, path)
+    rows = placed.where((F.col("line") > 1) & (F.trim("value") != ""))
+    fits = F.trim(F.replace(F.col("header"), F.lit('"'), F.lit(""))) == F.lit(",".join(columns))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    text = lambda names: ", ".join(f"`{c}` string" for c in [*names, "_corrupt"])
+    parsed = rows.withColumn("parsed", F.from_csv("value", text(columns), options))
+    whole = fits & F.col("parsed._corrupt").isNull()
+    good = parsed.where(whole).select(*[F.col("parsed")[c].alias(c) for c in columns], "file")
+    # With one field more than there should be, an extra field fits.
+    wider = F.from_csv("value", text(f"c{k}" for k in range(len(columns) + 1)), options)
+    extra = wider["_corrupt"].isNull() | wider[f"c{len(columns)}"].isNotNull()
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    reason = F.when(~fits, HEADER).when(quotes % 2 == 1, UNREADABLE).when(extra, LONG).otherwise(SHORT)
+    bad = parsed.where(~whole).select("file", "line", reason.alias("reason"), "value")
+    return good, bad, blocks
+
+
+def bronze_quarantine(
+    spark: SparkSession, base: str, file: LandingFile, database: str, max_share: float = 0.01
+) -> DataFrame:
+    """A landing file as a bronze table, rows that do not fit it as `<table>_rejected` with
+    file, line and reason. If more than `max_share` of the rows are rejected, CheckFailed:
+    the rejected rows can be looked at, and the bronze table stays as it was. Both are
+    counted while they are written; together they are all rows that arrived."""
+    good, bad, blocks = sorted_out(spark, file.path(base), list(file.columns))
+    name, counted = f"{database}.{file.table}", {"rows": F.count(F.lit(1))}
+    place = F.regexp_extract(F.col("file"), r"/([^/]+\.csv)(?:/.*)?$", 1)
+    stamped = [F.current_timestamp().alias("ingested_at"), place.alias("source_file")]
+    publish_table(
+        bad.select(*stamped, "*"), f"{name}_{REJECTED}", f"Rows of {file.system}/{file.file} that do not fit it.", measures=counted
+    )
+    rejected = int(measures_of(spark, f"{name}_{REJECTED}")["rows"])
+    lines = blocks.agg(F.sum("n"), F.sum("blank"), F.countDistinct("file")).first()
+    arrived = (lines[0] or 0) - (lines[1] or 0) - lines[2]
+    if rejected > max_share * arrived:
+        raise CheckFailed(f"{file.system}/{file.file}: {rejected} of {arrived} rows do not fit, more than {max_share:.2%}")
+    out = publish_table(
+        good.select(*file.columns, *stamped), name, f"Copy of {file.system}/{file.file}, all text, nothing cleaned.", measures=counted
+    )
+    kept = int(measures_of(spark, name)["rows"])
+    if kept + rejected != arrived:
+        raise CheckFailed(f"{file.system}/{file.file}: {kept} rows and {rejected} rejected are not the {arrived} that arrived")
+    return out
+
+
 # -- bronze ------------------------------------------------------------------------
 
 def bronze_ingest(spark: SparkSession, base: str, file: LandingFile, database: str) -> DataFrame:
@@ -185,13 +271,21 @@ def bronze_ingest(spark: SparkSession, base: str, file: LandingFile, database: s
     )
 
 
+def _kept_and_rejected(spark: SparkSession, name: str) -> DataFrame:
+    kept = spark.table(name).select(F.lit(1).alias("one"))
+    if spark.catalog.tableExists(f"{name}_{REJECTED}"):
+        kept = kept.unionAll(spark.table(f"{name}_{REJECTED}").select(F.lit(1)))
+    return kept
+
+
 def row_count_reconcile(
     spark: SparkSession, database: str, expected: tuple[LandingFile, ...], log: DataFrame
 ) -> DataFrame:
-    """(table, bronze, raw, match) against the latest check of each file."""
+    """(table, bronze, raw, match) against the latest check of each file. Rows in
+    quarantine count as arrived."""
     latest = log.groupBy("system", "file").agg(F.max_by("rows", "checked_at").alias("raw"))
     counts = reduce(DataFrame.unionByName, [
-        spark.table(f"{database}.{f.table}").agg(F.count(F.lit(1)).alias("bronze")).select(
+        _kept_and_rejected(spark, f"{database}.{f.table}").agg(F.count(F.lit(1)).alias("bronze")).select(
             F.lit(f.table).alias("table"), F.lit(f.system).alias("system"), F.lit(f.file).alias("file"), "bronze"
         )
         for f in expected
