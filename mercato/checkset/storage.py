@@ -18,7 +18,7 @@ from mercato.daily_run import Lake, run_all, run_step
 from mercato.functions.columns import total
 from mercato.operators.checks import CheckFailed
 from mercato.parameters import SEED, RunParameters
-from mercato.plans import audit, features, gold, model_versions, propensity, quality, trips
+from mercato.plans import audit, features, gold, model_versions, propensity, quality, trips, upkeep
 from mercato.session import fresh_folder
 from mercato.sources import catalog, landing, sample_tables, versions
 from mercato.sources.landing_writer import write_landing
@@ -367,6 +367,21 @@ def _(x: Frames):
     return quality.measured_report(noted, fact, orders, clients, dim, mart, (LOW, HIGH))
 
 
+@check("mart_upkeep", "SELECT sku, year, month, revenue, margin, margin_pct, quantity, abc_class, 3 AS months_written FROM (SELECT * FROM product_month)")
+def _(x: Frames):
+    """The product mart after three months of the fact came late, one of them new."""
+    name, sums = (f"{_schema(x)}.{t}" for t in ("fact_sales", "product_month_sums"))
+    at = F.col("year") * 12 + F.col("month")
+    first = x.stored_fact.agg(F.min(at)).first()[0]
+    early = x.stored_fact.where((at != first) & (~at.between(first + 1, first + 2) | (F.col("quantity") > 20)))
+    fact = catalog.publish_table(early, name, partition_by=("year", "month"))
+    upkeep.refresh(x.spark, name, sums, gold.product_months)
+    catalog.replace_partitions(x.stored_fact.where(at <= first + 2), name)
+    mart = gold.product_mart(upkeep.refresh(x.spark, name, sums, gold.product_months))
+    written = versions.properties(x.spark, versions.current_table(x.spark, sums))["partitions_written"]
+    return mart.withColumn("months_written", F.lit(int(written)))
+
+
 # -- the daily run ----------------------------------------------------------------------
 
 # The given tables are random: no ranking of them beats chance, and the gate on that has

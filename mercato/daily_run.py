@@ -21,7 +21,7 @@ from mercato.operators.checks import gate, row_rules
 from mercato.operators.running import roc_auc
 from mercato.parameters import AT_RISK_DAYS, LAUNCH_DAYS, RunParameters
 from mercato.plans import (
-    audit, call_queue, features, gold, model_versions, propensity, quality, silver, table_functions, views,
+    audit, call_queue, features, gold, model_versions, propensity, quality, silver, table_functions, upkeep, views,
 )
 from mercato.session import configure, materialize
 from mercato.sources import catalog, landing
@@ -169,14 +169,23 @@ def fact_step(lake: Lake) -> None:
 
 
 def marts_step(lake: Lake) -> None:
-    fact, reps, payments = lake.gold("fact_sales"), lake.gold("dim_rep"), lake.silver("payments")
-    words = lake.parameters.words
+    """Sums of changed months are made anew, the marts from all sums."""
+    reps, payments, words = lake.gold("dim_rep"), lake.silver("payments"), lake.parameters.words
+    lake.gold("fact_sales")
+
+    def summed(table: str, add_up: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        out = upkeep.refresh(lake.spark, lake.name("gold", "fact_sales"), lake.name("silver", table), add_up)
+        lake.wrote("silver", table)
+        return out
+
+    def products() -> None:
+        mart = gold.product_mart(summed("product_month_sums", gold.product_months))
+        lake.publish(mart, "gold", "mart_product_month", measures=quality.mart_measures())
+
     side_by_side(
         lake,
-        lambda: lake.publish(gold.mart_rep_month(fact, reps), "gold", "mart_rep_month"),
-        lambda: lake.publish(
-            gold.mart_product_month(fact), "gold", "mart_product_month", measures=quality.mart_measures()
-        ),
+        lambda: lake.publish(gold.rep_mart(summed("rep_month_sums", gold.rep_months), reps), "gold", "mart_rep_month"),
+        products,
         lambda: lake.publish(gold.mart_receivables(payments, words), "gold", "mart_receivables"),
     )
 

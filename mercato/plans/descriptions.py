@@ -20,6 +20,8 @@ TABLES = {
     "dim_rep": "One row per rep: team, target, whether still employed.",
     "dim_calendar": "One row per day from the first to the last order.",
     "fact_sales": "Sales at order-line grain. Cancelled orders are out, returns are in and negative.",
+    "rep_month_sums": "Sums of each rep and month, kept up from the changed months of the sales.",
+    "product_month_sums": "Sums of each product and month, kept up from the changed months of the sales.",
     "mart_rep_month": "Rep by month: sales against target.",
     "mart_product_month": "Product by month: sales and ABC class.",
     "mart_receivables": "Month due: what is owed, what came in, how late, what fees cost.",

@@ -128,17 +128,20 @@ def dropped_lines(lines: DataFrame, orders: DataFrame, fact: DataFrame) -> DataF
     )
 
 
-def mart_rep_month(fact: DataFrame, reps: DataFrame) -> DataFrame:
-    """Lines become one row per order first, then per client, so that both distinct
-    counts are plain counts and no row of the fact is copied."""
+def rep_months(fact: DataFrame) -> DataFrame:
+    """Sums of each rep and month. Lines become one row per order first, then per client,
+    so that both distinct counts are plain counts and no row of the fact is copied."""
     month = ["rep_id", "year", "month"]
     added = [total(F.col("revenue")).alias("revenue"), total(F.col("margin")).alias("margin")]
     orders = fact.groupBy(*month, "client_id", "order_id").agg(*added)
     clients = orders.groupBy(*month, "client_id").agg(*added, F.count("order_id").alias("orders"))
-    sums = clients.groupBy(*month).agg(
+    return clients.groupBy(*month).agg(
         *added, F.count("client_id").alias("clients"), F.sum("orders").alias("orders")
     )
-    return sums.join(reps.select("rep_id", "monthly_target"), "rep_id").select(
+
+
+def rep_mart(months: DataFrame, reps: DataFrame) -> DataFrame:
+    return months.join(reps.select("rep_id", "monthly_target"), "rep_id").select(
         "rep_id", "year", "month", "revenue", "margin", "monthly_target",
         money_ratio(F.col("revenue"), F.col("monthly_target"), 3).alias("attainment"),
         "clients",
@@ -146,6 +149,10 @@ def mart_rep_month(fact: DataFrame, reps: DataFrame) -> DataFrame:
     )
 
 
+def mart_rep_month(fact: DataFrame, reps: DataFrame) -> DataFrame:
+    return rep_mart(rep_months(fact), reps)
+
+
 def product_months(fact: DataFrame) -> DataFrame:
     return fact.groupBy("sku", "year", "month").agg(
         total(F.col("revenue")).alias("revenue"),
@@ -167,10 +174,7 @@ def abc_class(sales: DataFrame, limits: Sequence[float] = ABC_LIMITS) -> DataFra
     )
 
 
-def mart_product_month(fact: DataFrame, limits: Sequence[float] = ABC_LIMITS) -> DataFrame:
-    """The monthly sums are written once and serve both the classes and the rows, so
-    the fact is read a single time."""
-    months = materialize(product_months(fact), "product-months")
+def product_mart(months: DataFrame, limits: Sequence[float] = ABC_LIMITS) -> DataFrame:
     return months.join(abc_class(months, limits), "sku").select(
         "sku", "year", "month", "revenue", "margin",
         pct_ratio(F.col("margin"), F.col("revenue")).alias("margin_pct"),
@@ -178,6 +182,12 @@ def mart_product_month(fact: DataFrame, limits: Sequence[float] = ABC_LIMITS) ->
     )
 
 
+def mart_product_month(fact: DataFrame, limits: Sequence[float] = ABC_LIMITS) -> DataFrame:
+    """The monthly sums are written once and serve both the classes and the rows, so
+    the fact is read a single time."""
+    return product_mart(materialize(product_months(fact), "product-months"), limits)
+
+
 def mart_receivables(payments: DataFrame, words: Vocabulary = ENGLISH) -> DataFrame:
     late = F.col("payment_status") == words.paid_late
     received = F.col("payment_status").isin(words.paid, words.paid_late)

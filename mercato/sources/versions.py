@@ -189,9 +189,13 @@ def partition_clause(partition: str, kinds: Mapping[str, str]) -> str:
     return f"PARTITION ({', '.join(parts)})"
 
 
-def replace_partitions(df: DataFrame, name: str, operation: str = "replace partitions", notes: Mapping[str, object] | None = None) -> DataFrame:
+def replace_partitions(
+    df: DataFrame, name: str, operation: str = "replace partitions", notes: Mapping[str, object] | None = None,
+    without: Sequence[str] = (),
+) -> DataFrame:
     """A version in which the partitions that the frame has rows for hold these rows
-    alone; all others stay, unwritten. Five statements, however many partitions."""
+    alone, and those named in `without` (`year=1997/month=4`) are gone; all others stay,
+    unwritten. The number of statements is the same for any number of partitions."""
     spark = df.sparkSession
     old = current_table(spark, name)
     parts = partition_columns(spark, old)
@@ -202,7 +206,7 @@ def replace_partitions(df: DataFrame, name: str, operation: str = "replace parti
     call(spark, f"CREATE TABLE {new} LIKE {old} USING parquet LOCATION {quoted(folder)}")
     call(spark, f"ALTER TABLE {new} RECOVER PARTITIONS")
     written = {r["partition"] for r in spark.sql(f"SHOW PARTITIONS {new}").collect()}
-    kept = {p: place for p, place in folders(spark, old, len(parts)).items() if p not in written}
+    kept = {p: place for p, place in folders(spark, old, len(parts)).items() if p not in written and unquote(p) not in without}
     if kept:
         kinds = {f.name: f.dataType.simpleString() for f in target.schema.fields}
         listed = " ".join(f"{partition_clause(p, kinds)} LOCATION {quoted(place)}" for p, place in sorted(kept.items()))

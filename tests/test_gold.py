@@ -258,3 +258,43 @@ def test_marketplace(spark):
     mart = fact.groupBy("sku").agg(F.sum("revenue").alias("revenue"))
     result = marketplace.quality(fact, lines, lines.select("order_id"), kept.withColumn("score", F.lit(6)), mart, (1, 5))
     assert {r["test"] for r in result.where("not passed").collect()} == {"mkt_rating_range"}
+
+
+def test_kept_up_sums_equal_a_full_rebuild(spark, folder):
+    from mercato.plans import upkeep
+    from mercato.sources import catalog, versions
+
+    schema = f"u_{folder.rsplit('/', 1)[-1].replace('-', '_')}"
+    spark.sql(f"CREATE DATABASE {schema} LOCATION '{folder}/db'")
+    fact, sums = f"{schema}.fact_sales", f"{schema}.product_month_sums"
+    money = "revenue decimal(18,2), margin decimal(18,2)"
+
+    def sales(*rows):
+        return spark.createDataFrame([(s, y, m, Decimal(r), Decimal(r) / 2, q) for s, y, m, r, q in rows], f"sku string, year int, month int, {money}, quantity int")
+
+    def kept_up():
+        found = upkeep.refresh(spark, fact, sums, gold.product_months)
+        whole = gold.product_months(spark.table(fact))
+        assert sorted(map(tuple, found.select(whole.columns).collect())) == sorted(map(tuple, whole.collect()))
+        return versions.current(spark, sums), versions.properties(spark, versions.current_table(spark, sums))
+
+    catalog.publish_table(sales(("a", 2000, 1, 10, 1), ("a", 2000, 2, 20, 2), ("b", 2000, 2, 5, 1), ("b", 2000, 3, 7, 1)), fact, partition_by=("year", "month"))
+    assert kept_up()[0] == 1
+    # Nothing has changed: no version is made.
+    assert kept_up()[0] == 1
+    # A late order and a return in an old month, and a month that is new.
+    catalog.replace_partitions(sales(("a", 2000, 1, 10, 1), ("a", 2000, 1, -4, -1), ("c", 2000, 1, 9, 3), ("a", 2000, 4, 1, 1)), fact)
+    number, notes = kept_up()
+    assert number == 2 and (notes["partitions_written"], notes["partitions_kept"]) == ("2", "2")
+    # Two changes between refreshes, one of which takes a product out of a month.
+    catalog.replace_partitions(sales(("a", 2000, 2, 20, 2)), fact)
+    catalog.replace_partitions(sales(("b", 2000, 3, 8, 1)), fact)
+    assert kept_up()[1]["partitions_written"] == "2"
+    # A month that is gone.
+    versions.replace_partitions(sales(("a", 2000, 2, 1, 1)), fact, without=["year=2000/month=1"])
+    number, notes = kept_up()
+    assert notes["partitions_kept"] == "2" and spark.table(sums).where("month = 1").count() == 0
+    # The whole fact anew.
+    catalog.publish_table(sales(("a", 2001, 1, 10, 1)), fact, partition_by=("year", "month"))
+    kept_up()
+    assert spark.table(sums).count() == 1
