@@ -15,6 +15,7 @@ from mercato.operators.checks import CheckFailed
 from mercato.operators.running import roc_auc
 from mercato.parameters import AUC_CEILING, AUC_FLOOR
 from mercato.plans import call_queue, features, marketplace, measures, propensity, trips, views
+from mercato.plans.client_search import client_grams
 from mercato.plans.table_functions import create_functions
 from mercato.session import materialize
 from mercato.sources import sample_tables
@@ -236,6 +237,7 @@ def _functions(x: Frames, *needed: str) -> str:
     tag = f"t{uuid.uuid4().hex[:12]}"
     frames = {
         "queue": x.queue, "scores": x.scores, "clients": x.dim_client, "features": x.stored_score_features,
+        "grams": client_grams(x.dim_client),
     }
     names = {}
     for name, frame in frames.items():

@@ -21,7 +21,7 @@ from mercato.operators.checks import gate, row_rules
 from mercato.operators.running import roc_auc
 from mercato.parameters import AT_RISK_DAYS, LAUNCH_DAYS, RunParameters
 from mercato.plans import (
-    audit, call_queue, features, gold, model_versions, propensity, quality, silver, table_functions, upkeep, views,
+    audit, call_queue, client_search, features, gold, model_versions, propensity, quality, silver, table_functions, upkeep, views,
 )
 from mercato.session import configure, materialize
 from mercato.sources import catalog, landing
@@ -151,9 +151,14 @@ def dimensions_step(lake: Lake) -> None:
     clients, merges, orders = lake.silver("clients"), lake.silver("client_merges"), lake.silver("orders")
     products, reps = lake.silver("products"), lake.silver("reps")
     dim_client = gold.dim_client(clients, merges, orders, lake.parameters.as_of)
+
+    def clients_and_index() -> None:
+        known = lake.publish(dim_client, "gold", "dim_client", measures=quality.client_measures())
+        lake.publish(client_search.client_grams(known), "gold", "client_grams", partition_by=("slot",))
+
     side_by_side(
         lake,
-        lambda: lake.publish(dim_client, "gold", "dim_client", measures=quality.client_measures()),
+        clients_and_index,
         lambda: lake.publish(gold.dim_product(products), "gold", "dim_product"),
         lambda: lake.publish(gold.dim_rep(reps), "gold", "dim_rep"),
         lambda: lake.publish(gold.dim_calendar(orders), "gold", "dim_calendar"),
@@ -287,6 +292,7 @@ def queue_step(lake: Lake) -> None:
     lake.publish(queue, "gold", "weekly_queue")
     sources = {
         "queue": "weekly_queue", "scores": "propensity_scores", "clients": "dim_client", "features": "features_score",
+        "grams": "client_grams",
     }
     table_functions.create_functions(
         lake.spark, {k: lake.name("gold", v) for k, v in sources.items()}, prefix=f"{lake.prefix}gold."

@@ -16,6 +16,7 @@ OVERDUE_RATIO = 1.5
 ABC_LIMITS = (0.80, 0.95)
 QUEUE_SIZE = 200
 SEARCH_SIZE = 20
+SEARCH_MAX = 1_000
 HOLDOUT = 0.3
 SEED = 42
 BOOSTING_ROUNDS = 20

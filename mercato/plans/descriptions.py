@@ -16,6 +16,7 @@ TABLES = {
     "opportunities": "Sales opportunities, typed, won and lost from the closed stages.",
     "stock": "Stock snapshots, typed, with stock-outs.",
     "dim_client": "One row per client: profile, buying history, days since the last order.",
+    "client_grams": "Search index: each client under all runs of three letters of its name and city.",
     "dim_product": "One row per product: catalogue attributes and whether it is discontinued.",
     "dim_rep": "One row per rep: team, target, whether still employed.",
     "dim_calendar": "One row per day from the first to the last order.",
@@ -43,6 +44,8 @@ TABLES = {
 }
 
 COLUMNS = {
+    "slot": "Part of the search index, by a hash of the run of letters.",
+    "gram": "Run of three letters of the name or city, lower case, without accents.",
     "line_id": "Order line, the grain of the sales table.",
     "order_id": "Order.",
     "client_id": "Client, after merging of duplicate registrations.",
