@@ -45,10 +45,19 @@ def corpus() -> list[tuple]:
 
 @pytest.fixture(scope="session")
 def documents(spark, corpus):
-    spark.conf.set("spark.sql.shuffle.partitions", "3")
     return spark.createDataFrame(corpus, SCHEMA)
 
 
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """Another number of partitions than the rest of the tests have, put back after
+    each test."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @pytest.fixture(scope="session")
 def no_documents(spark):
     return spark.createDataFrame([], SCHEMA)
