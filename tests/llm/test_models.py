@@ -33,9 +33,8 @@ def rated(spark, some_text):
     )
 
 
-def test_grades_are_learned(rated, documents, no_documents, monkeypatch):
+def test_grades_are_learned(rated, documents, no_documents):
     docs, labels = rated
-    monkeypatch.setattr(ordinal_quality, "MIN_DEVIATIONS", 5.0)
     learn, held = docs.where("doc_id < 200"), docs.where("doc_id >= 200")
     model = ordinal_quality.fit_on_labels(learn, labels)
     assert np.all(np.diff(model.thresholds) >= 0)
