@@ -43,14 +43,16 @@ class Lake:
     timings: dict[str, float] = field(default_factory=dict)
     # What became of each step of the last run: done, unchanged or failed.
     outcomes: dict[str, str] = field(default_factory=dict)
-    record: ledger.StepRecord = field(default_factory=ledger.StepRecord)
+    # Within a step, what it has read and written.
+    record: ledger.StepRecord | None = None
 
     def name(self, layer: str, table: str) -> str:
         return f"{self.prefix}{layer}.{table}"
 
     def read(self, layer: str, table: str) -> DataFrame:
         name = self.name(layer, table)
-        self.record.reads[name] = ledger.state(self.spark, name)
+        if self.record is not None:
+            self.record.reads[name] = ledger.state(self.spark, name)
         return self.spark.table(name)
 
     def silver(self, table: str) -> DataFrame:
@@ -66,9 +68,10 @@ class Lake:
 
     def wrote(self, layer: str, table: str) -> None:
         name = self.name(layer, table)
-        # What a step makes itself is no input of it.
-        self.record.reads.pop(name, None)
-        self.record.writes[name] = ledger.state(self.spark, name)
+        if self.record is not None:
+            # What a step makes itself is no input of it.
+            self.record.reads.pop(name, None)
+            self.record.writes[name] = ledger.state(self.spark, name)
 
     def publish(self, df: DataFrame, layer: str, table: str, **options) -> DataFrame:
         out = catalog.publish_table(df, self.name(layer, table), **options)
