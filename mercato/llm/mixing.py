@@ -121,7 +121,9 @@ def mix(
 
 def mixed_documents(documents: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """The rows of the mix with the columns of `documents`: each as often as it is
-    taken. Texts are not cut, so the last one of a source's budget is whole."""
+    taken. Texts are not cut, so the last one of a source's budget is whole. Null texts,
+    and those without words, are not taken; nulls in other columns and columns of any
+    name pass through; no documents give none."""
     rows = documents.select("doc_id", "text", "source", F.struct("*").alias("whole"))
     mixed = mix(rows, weights, max_epochs).where("times > 0")
     return mixed.select("whole", F.explode(F.sequence(F.lit(1), F.col("times")))).select("whole.*")
