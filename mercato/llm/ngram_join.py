@@ -10,8 +10,9 @@ Each document of a tile is first compared with one hub. Documents that seem to b
 together need no further comparison with one another; only where a tile still holds
 several groups are rows of different groups compared. What is possible by signature
 is looked up and intersected, and groups that fall apart then are compared again. That
-finds the components. Where the links themselves are asked for, no hub stands in: all
-pairs of a tile are bounded by signature, and intersected in cells of two blocks."""
+finds the components. All links lie within them, so where links are asked for, the
+sets of a component are compared with one another in cells of two blocks. A cell counts
+the links of each set; no pair leaves it."""
 
 from __future__ import annotations
 
@@ -27,7 +28,7 @@ from mercato.llm import textbytes as tb
 from mercato.llm.components import connected_components
 from mercato.llm.registry import register, table
 from mercato.llm.scratch import Scratch
-from mercato.llm.shipping import map_arrow
+from mercato.llm.shipping import map_arrow, ship
 
 SHINGLE_WORDS = 5
 PERCENT = 80
@@ -37,6 +38,12 @@ SIGNATURE_BITS = 1024
 COMMON_SHARE = 0.001
 COUNTED_AT_ONCE = 2_000_000
 TILE_ROWS = 2_000
+# Shingles of a block of a component, of a stripe of a block, and sets in a stripe.
+BLOCK_SHINGLES = 4_000_000
+STRIPE_SHINGLES = 1 << 20
+STRIPE_SETS = 256
+# Prefix shingles that are brought together at once.
+PART_SHINGLES = 4_000_000
 SET_SCHEMA = "doc_id {id}, text_hash bigint, n int, sig_a bigint, sig_b bigint, bits binary, rare binary, often binary"
 PAIRS_AT_ONCE = 500_000
 
@@ -180,8 +187,11 @@ def shared_prefixes(sets: DataFrame) -> DataFrame:
     Rare shingles are dealt out by their leading bits, packed: each is in a small share
     of the sets, so the parts are even. Within a part 32 more bits stand for a shingle;
     two that agree in them meet for nothing, and the comparison of their sets tells.
-    Common shingles are shared anyway and are not dealt out."""
-    parts = max(1, int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    Common shingles are shared anyway and are not dealt out. A part has about
+    PART_SHINGLES at most, and a task brings one part after the other together."""
+    shuffled = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = sets.agg(F.sum(F.octet_length("rare"))).first()[0] or 0
+    parts = max(1, shuffled, math.ceil(total / 8 / PART_SHINGLES))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -204,17 +214,7 @@ def shared_prefixes(sets: DataFrame) -> DataFrame:
             columns += [_packed([short[x] for x in at]), _packed([ahead[row[x]] for x in at])]
             yield pa.RecordBatch.from_arrays(columns, ["part", "base", "h", "uid"])
 
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, uids = [], []
-        for batch in batches:
-            for part, base, h, uid in zip(*(batch.column(k) for k in range(4))):
-                short = np.frombuffer(h.as_buffer(), np.uint32)
-                wide = len(uid.as_buffer()) // max(1, len(short))
-                hashes.append(short.astype(np.int64) | part.as_py() << 32)
-                ahead = np.frombuffer(uid.as_buffer(), np.int32 if wide == 4 else np.int64)
-                uids.append(ahead.astype(np.int64) + base.as_py())
-        if not hashes:
-            return
+    def met(hashes: list[np.ndarray], uids: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         h, uid = np.concatenate(hashes), np.concatenate(uids)
         order = np.argsort(h, kind="stable")
         same = h[order][1:] == h[order][:-1]
@@ -223,6 +223,22 @@ def shared_prefixes(sets: DataFrame) -> DataFrame:
             x = twice[k : k + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(h[x]), pa.array(uid[x])], ["h", "uid"])
 
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, uids, here = [], [], None
+        for batch in batches:
+            for part, base, h, uid in zip(*(batch.column(k) for k in range(4))):
+                if part.as_py() != here and hashes:
+                    yield from met(hashes, uids)
+                    hashes, uids = [], []
+                here = part.as_py()
+                short = np.frombuffer(h.as_buffer(), np.uint32)
+                wide = len(uid.as_buffer()) // max(1, len(short))
+                hashes.append(short.astype(np.int64) | here << 32)
+                ahead = np.frombuffer(uid.as_buffer(), np.int32 if wide == 4 else np.int64)
+                uids.append(ahead.astype(np.int64) + base.as_py())
+        if hashes:
+            yield from met(hashes, uids)
+
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             each = [np.frombuffer(v.as_buffer(), np.int64) for v in batch.column(1)]
@@ -232,7 +248,7 @@ def shared_prefixes(sets: DataFrame) -> DataFrame:
 
     rows = "h bigint, uid bigint"
     dealt = map_arrow(sets.select("uid", "rare").where("length(rare) > 0"), deal, "part int, base bigint, h binary, uid binary")
-    rare = map_arrow(dealt.repartition(parts, "part"), meet, rows)
+    rare = map_arrow(dealt.repartition(parts, "part").sortWithinPartitions("part"), meet, rows)
     common = map_arrow(sets.select("uid", "often").where("length(often) > 0"), unpack, rows)
     return rare.unionAll(common)
 
@@ -290,46 +306,85 @@ def _verified(pairs: DataFrame, contents: DataFrame, percent: int, scratch: Scra
     return map_arrow(_paired(near, contents, "hashes"), exact, "a bigint, b bigint")
 
 
-def _verified_in_blocks(pairs: DataFrame, contents: DataFrame, percent: int, rows: int, scratch: Scratch) -> DataFrame:
-    """The pairs that are links, by exact intersection. Pairs lie within the components
-    that they make; one of more than `rows` sets is dealt to blocks of about that many.
-    A cell, two blocks of a component, gets each set that it has pairs of once, so that
-    a group of many pairs does not send its sets once for each pair."""
-    roots = scratch.write(connected_components(pairs, scratch), "pair_roots")
-    sizes = roots.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int").alias("own")
-    placed = scratch.write(roots.join(sizes, "root").select("v", "root", own), "placed")
-    of_a = placed.select(F.col("v").alias("a"), "root", F.col("own").alias("own_a"))
-    of_b = placed.select(F.col("v").alias("b"), F.col("own").alias("own_b"))
-    i, j = F.least("own_a", "own_b").alias("i"), F.greatest("own_a", "own_b").alias("j")
-    cells = scratch.write(pairs.join(of_a, "a").join(of_b, "b").select("root", i, j, "a", "b"), "cells")
-    keys = ["root", "i", "j"]
-    wanted = cells.select(*keys, F.col("a").alias("uid")).unionAll(cells.select(*keys, "b")).distinct()
-    nothing = F.lit(None)
-    sent = wanted.join(contents, "uid").select(*keys, F.col("uid").alias("a"), nothing.cast("bigint").alias("b"), "hashes")
-    asked = cells.select(*keys, "a", "b", nothing.cast("binary").alias("hashes"))
-    ordered = sent.unionAll(asked).repartition(*keys).sortWithinPartitions(*keys, F.col("b").isNotNull(), "a")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
-        cell = None
-        for batch in batches:
-            a, b = [], []
-            for *key, x, y, hashes in zip(*(batch.column(k).to_pylist() for k in range(6))):
-                if key != cell:
-                    held, cell = {}, key
-                if y is None:
-                    held[x] = np.frombuffer(hashes, tb.U64)
-                    continue
-                left, right = held[x], held[y]
-                at = np.minimum(np.searchsorted(right, left), len(right) - 1)
-                overlap = int((right[at] == left).sum())
-                if 100 * overlap >= percent * (len(left) + len(right) - overlap):
-                    a.append(x)
-                    b.append(y)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-    return map_arrow(ordered, run, "a bigint, b bigint")
+def _stripes(sizes: np.ndarray) -> list[tuple[int, int]]:
+    """Cuts rows into runs of at most STRIPE_SETS sets and about STRIPE_SHINGLES."""
+    out, begin, held = [], 0, 0
+    for k, n in enumerate(sizes.tolist()):
+        if k > begin and (held + n > STRIPE_SHINGLES or k - begin >= STRIPE_SETS):
+            out.append((begin, k))
+            begin, held = k, 0
+        held += n
+    return [*out, (begin, len(sizes))] if len(sizes) else out
+
+
+def links_of_two(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many sets of `right` each of `left` is linked with, and the other way round;
+    without `right`, how many others of `left`. The shingles that are found twice
+    become bits, one row of them for each set, and common bits are counted."""
+    both = left if right is None else left + right
+    sizes = np.array([len(x) for x in both], np.int64)
+    values = np.concatenate(both)
+    order = np.argsort(values, kind="stable")
+    new = np.concatenate(([True], values[order][1:] != values[order][:-1]))
+    place = np.cumsum(new) - 1
+    shared = np.bincount(place) > 1
+    column = np.empty(len(values), np.int64)
+    column[order] = np.where(shared[place], (np.cumsum(shared) - 1)[place], -1)
+    row = np.repeat(np.arange(len(both)), sizes)
+    used = column >= 0
+    bits = np.zeros((len(both), -(-max(1, int(shared.sum())) // 64)), np.uint64)
+    np.bitwise_or.at(bits, (row[used], column[used] >> 6), tb.U64(1) << (column[used] & 63).astype(tb.U64))
+    first = 0 if right is None else len(left)
+    counts = np.zeros(len(both), np.int64)
+    for i in range(len(left)):
+        others = np.arange(i + 1 if right is None else first, len(both))
+        n = np.minimum(sizes[others], sizes[i])
+        others = others[100 * n >= percent * np.maximum(sizes[others], sizes[i])]
+        if not len(others):
+            continue
+        overlap = np.bitwise_count(bits[others] & bits[i]).sum(axis=1, dtype=np.int64)
+        linked = others[100 * overlap >= percent * (sizes[others] + sizes[i] - overlap)]
+        counts[i] += len(linked)
+        counts[linked] += 1
+    return counts[: len(left)], counts[len(left) :]
+
+
+def link_counts(roots: DataFrame, contents: DataFrame, percent: int, block: int = BLOCK_SHINGLES) -> DataFrame:
+    """`uid`, `n_links` of the sets of components (`v`, `root`) that are linked with
+    others. A component of more than `block` shingles is dealt to blocks of about that
+    many; a set is sent once to each pair of blocks that it is in."""
+    ship(roots.sparkSession)
+    sized = roots.withColumnRenamed("v", "uid").join(contents.select("uid", "n"), "uid")
+    blocks = sized.groupBy("root").agg(F.ceil(F.sum("n") / block).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int").alias("own")
+    placed = sized.join(blocks, "root").select("uid", "root", "blocks", own)
+    cells = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "uid", "root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own"
+    )
+    sent = cells.join(contents.select("uid", "hashes"), "uid")
+
+    def run(group: pa.Table) -> pa.Table:
+        own, i, j = (group[c].to_numpy() for c in ("own", "i", "j"))
+        uid = group["uid"].to_numpy()
+        sets = [np.frombuffer(v.as_buffer(), tb.U64) for v in group["hashes"]]
+        counts = np.zeros(len(uid), np.int64)
+        parts = [np.flatnonzero(own == i[0])] if i[0] == j[0] else [np.flatnonzero(own == i[0]), np.flatnonzero(own == j[0])]
+        # By size, so that stripes that are too far apart in it have no pairs.
+        sizes = np.array([len(x) for x in sets])
+        parts = [p[np.argsort(sizes[p], kind="stable")] for p in parts]
+        stripes = [[p[a:b] for a, b in _stripes(sizes[p])] for p in parts]
+        for k, x in enumerate(stripes[0]):
+            for y in stripes[-1][k if len(parts) == 1 else 0 :]:
+                if x is y:
+                    counts[x] += links_of_two([sets[r] for r in x], None, percent)[0]
+                elif 100 * sizes[x].max() >= percent * sizes[y].min() and 100 * sizes[y].max() >= percent * sizes[x].min():
+                    of_x, of_y = links_of_two([sets[r] for r in x], [sets[r] for r in y], percent)
+                    counts[x] += of_x
+                    counts[y] += of_y
+        return pa.table({"uid": uid, "n_links": counts})
+
+    counted = sent.groupBy("root", "i", "j").applyInArrow(run, "uid bigint, n_links bigint")
+    return counted.groupBy("uid").agg(F.sum("n_links").alias("n_links"))
 
 
 def _band(n: Column, percent: int) -> Column:
@@ -434,6 +489,7 @@ def similar_groups(
     width: int = SHINGLE_WORDS,
     tile_rows: int = TILE_ROWS,
     with_links: bool = False,
+    block_shingles: int = BLOCK_SHINGLES,
 ) -> DataFrame:
     """One row for each row of `documents`: `doc_id`, `n_shingles`, `component_id` (the
     smallest doc_id that links reach), `n_copies` (rows with the same set), `kept`
@@ -467,49 +523,44 @@ def similar_groups(
     meets = scratch.write(single.join(several, "h"), "meets")
     scratch.drop(found)
     members = meets
-    if with_links:
-        alone = members.withColumn("root", F.col("uid")).withColumn("within", F.lit(0).cast("bigint"))
-        possible = scratch.write(_tile_pairs(alone, sets, percent, tile_rows), "possible")
-        scratch.release()
-    else:
-        # First by signatures alone: each document with the hub of its shingle and band, and
-        # what that leaves apart with one another.
-        near_hub = scratch.write(_possible(_hub_pairs(members, percent), sets, percent), "near_hub")
-        loose = scratch.write(_rooted(members, near_hub, scratch, "within"), "loose")
-        apart = loose.withColumn("root", F.col("within")).withColumn("within", F.lit(0).cast("bigint"))
-        scratch.release()
-        across = scratch.write(_tile_pairs(apart, sets, percent, tile_rows), "across")
-        scratch.release()
-        possible = near_hub.unionAll(across)
+    # First by signatures alone: each document with the hub of its shingle and band, and
+    # what that leaves apart with one another.
+    near_hub = scratch.write(_possible(_hub_pairs(members, percent), sets, percent), "near_hub")
+    loose = scratch.write(_rooted(members, near_hub, scratch, "within"), "loose")
+    apart = loose.withColumn("root", F.col("within")).withColumn("within", F.lit(0).cast("bigint"))
+    scratch.release()
+    across = scratch.write(_tile_pairs(apart, sets, percent, tile_rows), "across")
+    scratch.release()
+    possible = near_hub.unionAll(across)
     # Only documents of possible pairs are looked up again, and compared exactly.
     active = possible.select(F.col("a").alias("uid")).unionAll(possible.select("b")).distinct()
-    active = sets.select("uid", "doc_id", "text_hash").join(active, "uid")
-    # A repeated row brings its set twice; its links are then found twice.
+    active = scratch.write(sets.select("uid", "doc_id", "text_hash").join(active, "uid"), "active")
     texts = _hashed(documents)
     same = texts["doc_id"].eqNullSafe(active["doc_id"]) & (texts["text_hash"] == active["text_hash"])
     contents = scratch.write(set_contents(texts.join(active, same).select("uid", "text"), width), "contents")
     scratch.release()
+    if contents.count() > active.count():
+        # A repeated row brought its set twice.
+        contents = scratch.write(contents.dropDuplicates(["uid"]), "contents")
+    links = scratch.write(_verified(possible, contents, percent, scratch), "links")
+    scratch.release()
+    # A hub that seemed near may be none: then those it held together are compared.
+    split = _rooted(loose, links, scratch, "root")
+    scratch.release()
+    inside = scratch.write(_tile_pairs(split, sets, percent, tile_rows), "inside")
+    scratch.release()
+    links = scratch.write(links.unionAll(_verified(inside, contents, percent, scratch)), "links")
+    roots = scratch.write(connected_components(links, scratch), "roots")
+    scratch.release()
     if with_links:
-        links = scratch.write(_verified_in_blocks(possible, contents.select("uid", "hashes"), percent, tile_rows, scratch), "links")
-        scratch.drop(possible)
-    else:
-        links = scratch.write(_verified(possible, contents, percent, scratch), "links")
-        scratch.release()
-        # A hub that seemed near may be none: then those it held together are compared.
-        split = _rooted(loose, links, scratch, "root")
-        scratch.release()
-        inside = scratch.write(_tile_pairs(split, sets, percent, tile_rows), "inside")
-        scratch.release()
-        links = scratch.write(links.unionAll(_verified(inside, contents, percent, scratch)), "links")
+        counts = scratch.write(link_counts(roots, contents, percent, block_shingles), "counts")
     scratch.drop(contents)
-    roots = connected_components(links, scratch)
     class_root = classes.join(roots.withColumnRenamed("v", "uid"), "uid", "left").select(
         "uid", "sig_a", "sig_b", "n", "n_copies", "class_id", F.coalesce("root", "uid").alias("root")
     )
     extra = []
     if with_links:
-        ends = links.select(F.col("a").alias("uid")).unionAll(links.select("b"))
-        class_root = class_root.join(ends.groupBy("uid").agg(F.count(F.lit(1)).alias("n_links")), "uid", "left")
+        class_root = class_root.join(counts, "uid", "left")
         extra = [F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links")]
     class_root = class_root.drop("uid")
     rows = sets.select("uid", "doc_id", "text_hash", "n", "sig_a", "sig_b")
