@@ -12,7 +12,6 @@ import math
 import os
 import re
 import zlib
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,11 +28,16 @@ from mercato.llm.shipping import map_arrow, ship
 SEQUENCE_TOKENS = 2048
 END_TOKEN = 0
 BLOCK_PIECES = 20_000
-# Words whose ids a worker remembers before it starts anew.
-REMEMBERED_WORDS = 1_500_000
+# Bytes of words and parts whose ids a worker remembers before it starts anew, with what
+# each entry takes besides.
+REMEMBERED_BYTES = 160 << 20
+ENTRY_BYTES = 200
+# Texts tokenised at once; the words of a longer one are read one by one.
+TEXT_BYTES = 1 << 19
 # From this fill on a bin is left alone between rounds.
 GOOD_FILL = 0.995
-MAX_ROUNDS = 4
+# Rounds go on as long as one settles this share of the pieces that were open.
+WORTH_A_ROUND = 0.05
 
 
 def default_vocabulary() -> str:
@@ -46,15 +50,18 @@ CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 ASCII_PARTS = re.compile(CONTRACTIONS + r"|[a-z]+|[0-9]|[^\sa-z0-9]+")
 PARTS = regex.compile(CONTRACTIONS + r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 END_OF_PART = "</w>"
+WORDS = re.compile(rb"[^ \t-\r]+")
+END_OF_TEXT = np.zeros(1, np.int64)
 
 
 class Numbers(dict):
     """Numbers 0, 1, ... given to keys when first asked for; `new` are those since."""
 
     def __init__(self, first: int):
-        self.next, self.new = first, []
+        self.next, self.new, self.held = first, [], 0
 
     def __missing__(self, key):
+        self.held += len(key) + ENTRY_BYTES
         self[key] = number = self.next
         self.next += 1
         self.new.append(key)
@@ -140,16 +147,16 @@ class WordIds:
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each with its end token, and where each text begins."""
-        if len(self.words) > REMEMBERED_WORDS:
+        if self.words.held + self.parts.held > REMEMBERED_BYTES:
             self.restart()
-        numbers: list[int] = []
+        numbers: list[np.ndarray] = []
         ends = [0]
         for text in texts:
-            numbers += map(self.words.__getitem__, text.split())
-            numbers.append(0)
-            ends.append(len(numbers))
+            words = text.split() if len(text) <= TEXT_BYTES else (m[0] for m in WORDS.finditer(text))
+            numbers += [np.fromiter(map(self.words.__getitem__, words), np.int64), END_OF_TEXT]
+            ends.append(ends[-1] + len(numbers[-2]) + 1)
         self._learn()
-        parts, word_at = self.parts_of_words.expand(np.array(numbers, np.int64))
+        parts, word_at = self.parts_of_words.expand(np.concatenate(numbers) if numbers else END_OF_TEXT[:0])
         ids, part_at = self.ids_of_parts.expand(parts)
         return ids, part_at[word_at[ends]]
 
@@ -175,7 +182,7 @@ def tokenised_pieces(documents: DataFrame, vocabulary: str, tokens: int = SEQUEN
         words = word_ids(vocabulary)
         for batch in batches:
             doc_ids = batch.column(batch.schema.get_field_index("doc_id"))
-            for part in tb.slices(batch.column(batch.schema.get_field_index("text")), 1 << 21):
+            for part in tb.slices(batch.column(batch.schema.get_field_index("text")), TEXT_BYTES):
                 data = part.data.tobytes()
                 ids, begin = words.encode([data[a:b] for a, b in zip(part.offsets[:-1], part.offsets[1:])])
                 pieces = -(-np.diff(begin) // tokens)
@@ -217,54 +224,105 @@ def best_fit(lengths: np.ndarray, size: int) -> list[list[int]]:
     return bins
 
 
-def local_search(bins: list[list[int]], lengths: np.ndarray, size: int, max_passes: int = 30) -> list[list[int]]:
+class Offers:
+    """What underfull bins could take, by the length it would take: the free space of a
+    bin, alone or with one or two of its items given back. Items of equal length are
+    alike, so a bin has at most as many offers as pairs of different lengths. Offers of
+    one `limit` are ordered by what is given back; a bin that is `out` has none left."""
+
+    def __init__(self, size: int, bins: list[dict[int, int]], fill: list[int], order: list[int]):
+        limits, backs, owners, firsts = [], [], [], []
+        for b in order:
+            rest = size - fill[b]
+            kinds = np.array(sorted(bins[b]), np.int64)
+            twice = kinds[[bins[b][k] > 1 for k in kinds.tolist()]]
+            i, j = np.triu_indices(len(kinds), 1)
+            first = np.concatenate(([0], kinds, kinds[i], twice))
+            back = first + np.concatenate(([0], np.zeros(len(kinds), np.int64), kinds[j], twice))
+            limits.append(rest + back)
+            backs.append(back)
+            firsts.append(first)
+            owners.append(np.full(len(back), b))
+        limit, back = np.concatenate(limits), np.concatenate(backs)
+        by = np.lexsort((back, limit))
+        self.back, self.first = back[by].tolist(), np.concatenate(firsts)[by].tolist()
+        self.owner = np.concatenate(owners)[by].tolist()
+        cuts = np.searchsorted(limit[by], np.arange(size + 2))
+        self.at, self.end = cuts[:-1].tolist(), cuts[1:].tolist()
+        self.none = size + 1
+        # The least that is given back in any offer of a limit.
+        self.least = np.full(size + 1, self.none, np.int64)
+        some = np.flatnonzero(np.diff(cuts))
+        self.least[some] = back[by][cuts[some]]
+
+    def find(self, need: int, out: list[bool]) -> tuple[int, int, list[int]] | None:
+        """Bin, limit and given lengths of the tightest offer that takes an item of
+        `need` for less; None if there is none."""
+        while True:
+            good = self.least[need:] < need
+            k = int(good.argmax())
+            if not good[k]:
+                return None
+            limit = need + k
+            at, end = self.at[limit], self.end[limit]
+            while at < end and out[self.owner[at]]:
+                at += 1
+            self.at[limit] = at
+            self.least[limit] = self.back[at] if at < end else self.none
+            if at < end and self.back[at] < need:
+                first, back = self.first[at], self.back[at]
+                return self.owner[at], limit, [x for x in (first, back - first) if x]
+
+
+def local_search(bins: list[list[int]], lengths: np.ndarray, size: int) -> list[list[int]]:
     """Take items from the emptiest bins and put them into fuller ones: into the space
-    left there (move), or in exchange for one or two shorter items. A pass tries each
-    item of each underfull bin; it ends when a pass changes nothing."""
+    left there (move), or in exchange for one or two items that are shorter together.
+    The fuller bin gains, so the sum of squared fills rises with each step, and the
+    search ends. A pass goes through all underfull bins, from the emptiest on, and tries
+    each length in it against all offers of the fuller ones; a bin that has gained waits
+    for the next pass. It ends when a pass changes nothing."""
     length = lengths.tolist()
-    bins = [list(b) for b in bins]
+    held: list[dict[int, int]] = []
+    for b in bins:
+        kinds: dict[int, int] = {}
+        for i in b:
+            kinds[length[i]] = kinds.get(length[i], 0) + 1
+        held.append(kinds)
     fill = [sum(length[i] for i in b) for b in bins]
-    for _ in range(max_passes):
-        underfull = sorted((b for b in range(len(bins)) if 0 < fill[b] < size), key=lambda b: fill[b])
-        if len(underfull) < 2:
-            break
-        # (what the bin could take, bin, items given back), by what it could take.
-        offers: list[tuple[int, int, tuple[int, ...]]] = []
-        for b in underfull:
-            rest, items = size - fill[b], bins[b]
-            offers.append((rest, b, ()))
-            for k, i in enumerate(items):
-                offers.append((rest + length[i], b, (i,)))
-                offers += [(rest + length[i] + length[j], b, (i, j)) for j in items[k + 1 :]]
-        offers.sort()
-        limits = [o[0] for o in offers]
-        rank = {b: r for r, b in enumerate(underfull)}
-        touched: set[int] = set()
+
+    def take(b: int, kind: int) -> None:
+        held[b][kind] -= 1
+        if not held[b][kind]:
+            del held[b][kind]
+
+    changed = True
+    while changed:
         changed = False
-        for b in underfull[: max(1, len(underfull) // 2)]:
-            if b in touched:
-                continue
-            for i in sorted(bins[b], key=lambda i: -length[i]):
-                need = length[i]
-                at = bisect_left(limits, need)
-                for limit, c, given in offers[at : at + 24]:
-                    back = sum(length[j] for j in given)
-                    # Bin c must be the fuller one and gain, so squared fill rises.
-                    if c == b or c in touched or rank[c] < rank[b] or back >= need or fill[c] < fill[b]:
-                        continue
-                    bins[b].remove(i)
-                    for j in given:
-                        bins[c].remove(j)
-                        bins[b].append(j)
-                    bins[c].append(i)
-                    fill[c] += need - back
-                    fill[b] -= need - back
-                    touched.add(c)
-                    changed = True
-                    break
-        if not changed:
+        order = sorted((b for b in range(len(bins)) if 0 < fill[b] < size), key=lambda b: fill[b])
+        if len(order) < 2:
             break
-    return [b for b in bins if b]
+        offers = Offers(size, held, fill, order)
+        out = [False] * len(bins)
+        for b in order:
+            if out[b]:
+                continue
+            out[b] = True
+            for need in sorted(held[b], reverse=True):
+                while held[b].get(need) and (found := offers.find(need, out)):
+                    c, _, given = found
+                    take(b, need)
+                    for kind in given:
+                        take(c, kind)
+                        held[b][kind] = held[b].get(kind, 0) + 1
+                    held[c][need] = held[c].get(need, 0) + 1
+                    fill[c] += need - sum(given)
+                    fill[b] -= need - sum(given)
+                    out[c] = changed = True
+    # Items of one length are alike: they are dealt out by number.
+    items: dict[int, list[int]] = {}
+    for i in range(len(length) - 1, -1, -1):
+        items.setdefault(length[i], []).append(i)
+    return [[items[kind].pop() for kind in sorted(b, reverse=True) for _ in range(b[kind])] for b in held if b]
 
 
 def pack(lengths: np.ndarray, size: int) -> list[list[int]]:
@@ -295,22 +353,17 @@ def _block_packer(tokens: int, first_block: int, final: bool):
 def placed_pieces(pieces: DataFrame, scratch: Scratch, tokens: int = SEQUENCE_TOKENS, block: int = BLOCK_PIECES) -> DataFrame:
     """`pid`, `sequence_id`, `offset` for `pid`, `length`. Pieces of a whole sequence
     are one each. Blocks have about `block` pieces, whatever the input; a round deals
-    the pieces of underfull bins anew."""
+    the pieces of underfull bins anew, until a round settles few of them."""
     spark = pieces.sparkSession
     ship(spark)
     done = [
         pieces.where(F.col("length") == tokens).select("pid", F.col("pid").alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
     ]
     open_pieces = pieces.where(F.col("length") < tokens).select("pid", "length")
-    used = 0
-    before = -1
-    for round_number in range(MAX_ROUNDS):
-        n = open_pieces.count()
-        if not n:
-            break
+    used, before, round_number = 0, None, 0
+    while n := open_pieces.count():
         blocks = max(1, math.ceil(n / block))
-        final = blocks == 1 or round_number == MAX_ROUNDS - 1 or n == before
-
+        final = blocks == 1 or before is not None and n > (1 - WORTH_A_ROUND) * before
         salted = open_pieces.withColumn("block", F.pmod(F.xxhash64("pid", F.lit(round_number)), F.lit(blocks)))
         packed = scratch.write(
             salted.repartition(blocks, "block").groupBy("block").applyInArrow(
@@ -320,8 +373,7 @@ def placed_pieces(pieces: DataFrame, scratch: Scratch, tokens: int = SEQUENCE_TO
         )
         done.append(packed.where("settled").select("pid", "sequence_id", "offset"))
         open_pieces = packed.where("not settled").select("pid", "length")
-        used += blocks
-        before = n
+        used, before, round_number = used + blocks, n, round_number + 1
         if final:
             break
     placed = done[0]
