@@ -1,6 +1,7 @@
 """N-gram Jaccard join: exact links between documents by their sets of word shingles.
 
-Sets are sorted arrays of 64-bit shingle hashes with a 1024-bit signature. Two sets
+Sets are sorted arrays of 64-bit shingle hashes with a signature of 1024 bits, or of half
+as many bits as a large set has shingles, in powers of two. Two sets
 with Jaccard similarity of at least t share one of the first n - ceil(t n) + 1
 shingles in any common order, so only documents that meet there are compared, in
 tiles of one shingle and neighbouring size bands. The bits in which two signatures
@@ -63,11 +64,47 @@ def document_sets(piece: tb.Slice, width: int) -> list[np.ndarray]:
     return out
 
 
-def _signature(hashes: np.ndarray) -> bytes:
+def _parities(hashes: np.ndarray, size: int) -> np.ndarray:
     """Each bit is the parity of the members that fall on it, so each member in which
-    two sets differ changes one bit."""
-    parity = np.bincount((hashes >> tb.U64(64 - 10)).astype(np.int64), minlength=SIGNATURE_BITS) & 1
-    return np.packbits(parity.astype(np.uint8)).tobytes()
+    two sets differ changes one bit. Folded in two, it is the signature of half the size."""
+    parity = np.bincount((hashes & tb.U64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(parity.astype(np.uint8)).view(np.uint64)
+
+
+def _signature(hashes: np.ndarray) -> np.ndarray:
+    """At least half a bit for each member: sets that have nothing in common differ in
+    half of the bits, which is more than similar ones may differ in."""
+    return _parities(hashes, max(SIGNATURE_BITS, 1 << max(0, len(hashes) // 2 - 1).bit_length()))
+
+
+def _folded(signatures: np.ndarray, width: int) -> np.ndarray:
+    while signatures.shape[-1] > width:
+        half = signatures.shape[-1] // 2
+        signatures = signatures[..., :half] ^ signatures[..., half:]
+    return signatures
+
+
+def differences(signatures: list[bytes], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Bits in which the signatures of each pair of rows differ, the longer one folded
+    to the shorter."""
+    width = np.array([len(v) // 8 for v in signatures], np.int64)
+    place = np.empty(len(width), np.int64)
+    rows: dict[int, np.ndarray] = {}
+    for w in np.unique(width).tolist():
+        own = np.flatnonzero(width == w)
+        place[own] = np.arange(len(own))
+        rows[w] = np.frombuffer(b"".join(signatures[i] for i in own.tolist()), np.uint64).reshape(-1, w)
+    out = np.zeros(len(x), np.int64)
+    kind = width[x] * (int(width.max(initial=0)) + 1) + width[y]
+    for k in np.unique(kind).tolist():
+        pairs = np.flatnonzero(kind == k)
+        wx, wy = int(width[x[pairs[0]]]), int(width[y[pairs[0]]])
+        left, right = _folded(rows[wx], min(wx, wy)), _folded(rows[wy], min(wx, wy))
+        step = max(1, (4 << 20) // min(wx, wy))
+        for at in range(0, len(pairs), step):
+            p = pairs[at : at + step]
+            out[p] = np.bitwise_count(left[place[x[p]]] ^ right[place[y[p]]]).sum(axis=1, dtype=np.int64)
+    return out
 
 
 def _hashed(documents: DataFrame) -> DataFrame:
@@ -140,7 +177,7 @@ def described(documents: DataFrame, common: np.ndarray, width: int, percent: int
                         pa.array([len(s) for s in sets], pa.int32()),
                         pa.array(np.array(a, np.uint64).astype(np.int64)),
                         pa.array(np.array(b, np.uint64).astype(np.int64)),
-                        pa.array([_signature(s) for s in sets], pa.binary()),
+                        _packed([_signature(s) for s in sets]),
                         _packed(rare),
                         _packed(often),
                     ],
@@ -152,18 +189,13 @@ def described(documents: DataFrame, common: np.ndarray, width: int, percent: int
 
 def _wide_signature(hashes: np.ndarray) -> np.ndarray:
     """Parities as in `_signature`, at least four for each member, in a power of two."""
-    size = max(SIGNATURE_BITS, 1 << int(4 * len(hashes)).bit_length())
-    parity = np.bincount((hashes & tb.U64(size - 1)).astype(np.int64), minlength=size) & 1
-    return np.packbits(parity.astype(np.uint8)).view(np.uint64)
+    return _parities(hashes, max(SIGNATURE_BITS, 1 << int(4 * len(hashes)).bit_length()))
 
 
 def _wide_difference(x: np.ndarray, y: np.ndarray) -> int:
     """Bits in which two wide signatures differ, the longer one folded to the shorter."""
-    if len(x) < len(y):
-        x, y = y, x
-    while len(x) > len(y):
-        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
-    return int(np.bitwise_count(x ^ y).sum())
+    width = min(len(x), len(y))
+    return int(np.bitwise_count(_folded(x, width) ^ _folded(y, width)).sum())
 
 
 def set_contents(documents: DataFrame, width: int) -> DataFrame:
@@ -272,8 +304,8 @@ def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             n1, n2 = (batch.column(i).to_numpy().astype(np.int64) for i in (2, 4))
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(-1, 16) for i in (3, 5))
-            differ = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            rows = np.arange(batch.num_rows)
+            differ = differences(batch.column(3).to_pylist() + batch.column(5).to_pylist(), rows, rows + len(rows))
             passes = (n1 + n2 - differ) // 2 >= _required(n1, n2, percent)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(passes))
 
@@ -431,7 +463,7 @@ def _tile_pairs(members: DataFrame, sets: DataFrame, percent: int, rows: int) ->
         uid, n, root, within, own, home, *key = (
             t.column(c).to_numpy() for c in ("uid", "n", "root", "within", "own", "home", *keys)
         )
-        bits = np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(-1, 16)
+        bits = t.column("bits").to_pylist()
         n = n.astype(np.int64)
         new = np.concatenate(([True], np.any([x[1:] != x[:-1] for x in key], axis=0)))
         tile = np.cumsum(new) - 1
@@ -454,8 +486,7 @@ def _tile_pairs(members: DataFrame, sets: DataFrame, percent: int, rows: int) ->
             pairs = pairs[order]
             once = np.concatenate(([True], (pairs[1:] != pairs[:-1]).any(axis=1)))[: len(pairs)]
             x, y, pairs = x[order][once], y[order][once], pairs[once]
-            differ = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1, dtype=np.int64)
-            passes = (n[x] + n[y] - differ) // 2 >= _required(n[x], n[y], percent)
+            passes = (n[x] + n[y] - differences(bits, x, y)) // 2 >= _required(n[x], n[y], percent)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[passes, 0]), pa.array(pairs[passes, 1])], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -581,15 +612,12 @@ def similar_groups(
 
 
 def _hub_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Each member with one member of its shingle and size band, the same for all."""
+    """Each member with one member of its shingle and size band, the same for all: the
+    one of the smallest number, so that in a large group nearly all shingles have one
+    hub, to which all others move in one round of contraction."""
     banded = members.withColumn("band", _band(F.col("n"), percent))
-    hubs = banded.groupBy("h", "band").agg(F.min(F.struct(F.xxhash64("uid").alias("o"), "uid")).alias("hub"))
-    return (
-        banded.join(hubs, ["h", "band"])
-        .where("uid <> hub.uid")
-        .select(F.least("uid", "hub.uid").alias("a"), F.greatest("uid", "hub.uid").alias("b"))
-        .distinct()
-    )
+    hubs = banded.groupBy("h", "band").agg(F.min("uid").alias("hub"))
+    return banded.join(hubs, ["h", "band"]).where("uid <> hub").select(F.col("hub").alias("a"), F.col("uid").alias("b")).distinct()
 
 
 def _rooted(members: DataFrame, links: DataFrame, scratch: Scratch, into: str) -> DataFrame:
@@ -599,7 +627,9 @@ def _rooted(members: DataFrame, links: DataFrame, scratch: Scratch, into: str) -
 
 
 def drop_similar(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows of `documents` that stay, one of each component, with all columns."""
+    """The rows of `documents` that stay, one of each component (the smallest doc_id), with
+    all columns, whatever their names. Texts without words stay, each once for a doc_id;
+    of rows repeated with doc_id and text one stays. No documents give none."""
     kept = similar_groups(documents, percent).where("kept")
     kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"))
     marked = documents.select("doc_id", F.xxhash64("text").alias("hash"), F.struct("*").alias("whole"))

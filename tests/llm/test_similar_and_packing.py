@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 
 from mercato.llm import ngram_join
 from mercato.llm.ngram_join import drop_similar, similar_groups
-from mercato.llm.packing import best_fit, default_vocabulary, local_search, pack_documents
+from mercato.llm.packing import best_fit, default_vocabulary, local_search, pack, pack_documents
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -51,15 +51,16 @@ def test_components_equal_brute_force(documents, corpus, monkeypatch, common, ti
     assert all(r.doc_id == r.component_id for r in kept)
 
 
-@pytest.mark.parametrize("tile_rows", [2_000, 3])
-def test_links_of_classes_equal_brute_force(documents, corpus, tile_rows):
+@pytest.mark.parametrize("tile_rows, block, stripe", [(2_000, 4_000_000, 256), (3, 700, 2)])
+def test_links_of_classes_equal_brute_force(documents, corpus, monkeypatch, tile_rows, block, stripe):
+    monkeypatch.setattr(ngram_join, "STRIPE_SETS", stripe)
     sets = [shingles(r[1]) for r in corpus]
     classes = [s for s in set(sets) if s]
     links = {a: sum(a != b and 100 * len(a & b) >= 80 * len(a | b) for b in classes) for a in classes}
     first = {a: min((r[0] for r, s in zip(corpus, sets) if s == a and r[0] is not None), default=None) for a in classes}
     want = [(r[0], first.get(s, r[0]), links.get(s, 0), c) for r, s, (_, _, c) in zip(corpus, sets, expected_groups(corpus))]
     assert max(links.values()) > 2
-    got = similar_groups(documents, tile_rows=tile_rows, with_links=True).collect()
+    got = similar_groups(documents, tile_rows=tile_rows, with_links=True, block_shingles=block).collect()
     assert Counter((r.doc_id, r.class_id, r.n_links, r.component_id) for r in got) == Counter(want)
 
 
@@ -134,3 +135,59 @@ def test_local_search_raises_squared_fill_and_empties_bins():
     assert all(sum(lengths[i] for i in b) <= 10 for b in better)
     assert fill(better) > fill(poor) and len(better) < len(poor)
     assert len(best_fit(lengths, 10)) <= 4
+
+
+@pytest.mark.parametrize("low, high, spare", [(400, 700, 20), (600, 800, 115), (300, 1100, 25), (1, 2047, 30)])
+def test_search_goes_on_until_no_step_is_left(low, high, spare):
+    """`spare`: sequences above the bound; bins are exchanged until nothing fits better."""
+    lengths = np.random.default_rng(low).integers(low, high + 1, 3000)
+    bins = pack(lengths, 2048)
+    assert sorted(i for b in bins for i in b) == list(range(3000)) and all(sum(lengths[b]) <= 2048 for b in bins)
+    assert len(bins) <= -(-int(lengths.sum()) // 2048) + spare
+    fills = sorted((sum(lengths[b]), k) for k, b in enumerate(bins))
+    rank = {k: r for r, (f, k) in enumerate(fills)}
+    for _, b in fills[:3]:
+        for c in (c for c in rank if rank[c] > rank[b]):
+            rest = 2048 - sum(lengths[bins[c]])
+            for need in lengths[bins[b]].tolist():
+                assert not any(back < need <= rest + back for back in [0, *lengths[bins[c]].tolist()])
+
+
+def test_equal_short_pieces_need_little_memory():
+    import tracemalloc
+
+    tracemalloc.start()
+    assert len(pack(np.full(20_000, 3), 2048)) == 30
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20
+
+
+def test_long_texts_and_a_full_memory_of_words(monkeypatch, some_text):
+    from mercato.llm import packing
+
+    texts = [some_text(1, 400), some_text(2, 900), "", some_text(3, 50)]
+    ids, at = packing.WordIds(default_vocabulary()).encode([t.encode() for t in texts])
+    monkeypatch.setattr(packing, "TEXT_BYTES", 100)
+    monkeypatch.setattr(packing, "REMEMBERED_BYTES", 1_000)
+    words = packing.WordIds(default_vocabulary())
+    for _ in range(2):
+        again, places = words.encode([t.encode() for t in texts])
+        assert again.tolist() == ids.tolist() and places.tolist() == at.tolist()
+
+
+def test_signatures_bound_the_difference_of_sets_of_any_size():
+    pick = np.random.default_rng(5)
+    sets = []
+    for n in (1, 50, 2048, 2049, 3000, 4096, 4097, 20_000):
+        base = pick.integers(0, 1 << 63, n, dtype=np.int64).astype(np.uint64)
+        sets += [np.unique(base), np.unique(np.concatenate([base[n // 8 :], pick.integers(0, 1 << 63, n // 8, dtype=np.int64).astype(np.uint64)]))]
+    x, y = (a.ravel() for a in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    found = ngram_join.differences([ngram_join._signature(s).tobytes() for s in sets], x, y)
+    for a, b, bits in zip(x.tolist(), y.tolist(), found.tolist()):
+        apart = len(np.setxor1d(sets[a], sets[b]))
+        assert bits <= apart and (bits - apart) % 2 == 0 and (a != b or bits == 0)
+        n1, n2 = len(sets[a]), len(sets[b])
+        if n1 > 2000 and 5 * n1 >= 4 * n2 and 5 * n2 >= 4 * n1 and apart == n1 + n2:
+            # Sets without a common member are told apart by their signatures alone.
+            assert (n1 + n2 - bits) // 2 < ngram_join._required(n1, n2, 80)
