@@ -18,7 +18,7 @@ from mercato.daily_run import Lake, run_all, run_step
 from mercato.functions.columns import total
 from mercato.operators.checks import CheckFailed
 from mercato.parameters import SEED, RunParameters
-from mercato.plans import audit, features, gold, model_versions, propensity, quality, trips, upkeep
+from mercato.plans import audit, client_upkeep, features, gold, model_versions, propensity, quality, trips, upkeep
 from mercato.session import fresh_folder
 from mercato.sources import catalog, landing, sample_tables, versions
 from mercato.sources.landing_writer import write_landing
@@ -382,6 +382,22 @@ def _(x: Frames):
     return mart.withColumn("months_written", F.lit(int(written)))
 
 
+@check("client_upkeep", """
+    SELECT client_id, CAST(NULL AS VARCHAR) AS merged_id, tax_id, legal_name, segment, city, registered_on, active, merged_count AS others FROM clients
+    UNION ALL SELECT client_id, merged_id, NULL, legal_name, segment, city, NULL, NULL, merged_rows FROM merges""")
+def _(x: Frames):
+    """Clients and merged ids after three batches, the second of which came wrong at
+    first and the third twice."""
+    schema, raw = _schema(x), x.raw("client")
+    batch = F.pmod(F.xxhash64("client_id"), F.lit(3))
+    parts = [raw.where(batch == n) for n in range(3)]
+    for label, part in (("1", parts[0]), ("2", raw.where(batch < 2)), ("2", parts[1]), ("3", parts[2]), ("3", parts[2])):
+        clients, merges = client_upkeep.apply_batch(part, label, schema, slots=8)
+    about = ["client_id", "merged_id", "tax_id", "legal_name", "segment", "city", "registered_on", "active", "others"]
+    both = clients.withColumn("others", F.col("merged_count")).unionByName(merges.withColumn("others", F.col("merged_rows")), True)
+    return both.select(*about)
+
+
 # -- the daily run ----------------------------------------------------------------------
 
 # The given tables are random: no ranking of them beats chance, and the gate on that has

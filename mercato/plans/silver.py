@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,24 +38,30 @@ def client_groups(typed: DataFrame) -> DataFrame:
     )
 
 
-def client_tables(raw: DataFrame, words: Vocabulary = ENGLISH) -> tuple[DataFrame, DataFrame]:
-    """(clients, merges). Clients: one row each, with the number of ids merged into
-    it. Merges: one row per merged-away id, with what the sales table needs of the
-    client. A group may have any number of ids, so they are rows and no array."""
-    typed = typed_clients(raw, words)
+def survivors(typed: DataFrame, carried: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(clients, merges) of typed rows. Clients: one row each, with the number of ids
+    merged into it. Merges: one row per merged-away id, with what the sales table needs
+    of the client. A group may have any number of ids, so they are rows and no array.
+    `carried` columns, equal in all rows of a client, stay with both."""
     groups = client_groups(typed)
-    kept = [F.col(f"kept.{c}") for c in ("client_id", "legal_name", "segment", "city")]
+    kept = [F.col(f"kept.{c}") for c in ("client_id", "legal_name", "segment", "city", *carried)]
     merged = groups.where("rows > 1").select("same_as", *kept, F.col("rows").alias("merged_rows"))
     ids = typed.select("same_as", F.col("client_id").alias("merged_id"))
     merges = (
         salted_join(ids, merged, "same_as", ["merged_id"])
         .where("merged_id <> client_id")
-        .select("merged_id", "client_id", "legal_name", "segment", "city", "merged_rows")
+        .select("merged_id", "client_id", "legal_name", "segment", "city", "merged_rows", *carried)
     )
     clients = groups.select("kept.*", "rows").select(
         "client_id", "tax_id", "legal_name", "segment", "city", "state", "district",
-        "registered_on", "active", (F.col("rows") - 1).alias("merged_count"),
+        "registered_on", "active", (F.col("rows") - 1).alias("merged_count"), *carried,
     )
+    return clients, merges
+
+
+def client_tables(raw: DataFrame, words: Vocabulary = ENGLISH) -> tuple[DataFrame, DataFrame]:
+    """(clients, merges) of raw rows."""
+    clients, merges = survivors(typed_clients(raw, words))
     return stamped(clients, raw), merges
 
 
