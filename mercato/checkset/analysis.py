@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from pyspark.sql import DataFrame
@@ -187,6 +188,41 @@ def _(x: Frames):
     return drops.select("feature", F.coalesce(F.abs("auc_drop") <= 1, F.lit(False)).alias("is_drop"))
 
 
+# A score of two features that SQL can follow, and the distance of each repeat's donors.
+REPEATS = 3
+STEPS = ", ".join(f"({r}, {int(hashlib.md5(f'{propensity.SEED}|{r}'.encode()).hexdigest()[:12], 16)})" for r in range(1, REPEATS + 1))
+
+
+def _two_features(days: str, multi: str) -> str:
+    return f"{dround(f'1.0 / (1 + {days})', 6)} + CASE WHEN {multi} THEN 0.01 ELSE 0.0 END"
+
+
+_DRAWN = f"""
+    SELECT feature, repeat, a.buys_next AS y, {_two_features(
+        "CASE WHEN feature = 'recency_days' THEN d.recency_days ELSE a.recency_days END",
+        "CASE WHEN feature = 'multichannel' THEN d.multichannel ELSE a.multichannel END")} AS s
+    FROM (SELECT *, row_number() OVER (ORDER BY md5(concat(client_id, '|42')), client_id) AS spot, COUNT(*) OVER () AS n FROM labelled) a
+    CROSS JOIN (SELECT unnest([{', '.join(f"'{c}'" for c in propensity.SWAPPABLE)}]) AS feature)
+    CROSS JOIN (VALUES {STEPS}) t(repeat, step)
+    JOIN (SELECT recency_days, multichannel, row_number() OVER (ORDER BY md5(concat(client_id, '|42')), client_id) AS spot FROM labelled) d
+      ON d.spot = (a.spot + step % greatest(1, n - 1)) % n + 1"""
+_DROPS = AUC_SQL.format(name="feature, repeat, ", key="feature, repeat, ", part="PARTITION BY feature, repeat", source=_DRAWN)
+_BEFORE = AUC_SQL.format(name="", key="", part="", source=f"SELECT buys_next AS y, {_two_features('recency_days', 'multichannel')} AS s FROM labelled")
+
+
+@check("ml_permutation_drops", f"""
+    SELECT feature, {dround('AVG(b.auc - a.auc)', 9)} AS auc_drop
+    FROM ({_DROPS} GROUP BY feature, repeat) a CROSS JOIN ({_BEFORE}) b GROUP BY feature""")
+def _(x: Frames):
+    """The exact drop of every feature under the score that SQL can follow."""
+    def scored(df: DataFrame) -> DataFrame:
+        extra = F.when(F.col("multichannel"), F.lit(0.01)).otherwise(F.lit(0.0))
+        return df.withColumn("score", F.round(1.0 / (1 + F.col("recency_days")), 6) + extra)
+
+    drops = propensity.permutation_drops(scored, x.stored_train_features, REPEATS)
+    return drops.select("feature", F.round("auc_drop", 9).alias("auc_drop"))
+
+
 @check("ml_gate", f"""
     SELECT {dround('auc', 9)} AS auc, {dround('lift', 6)} AS lift,
       auc > {AUC_FLOOR} AND auc < {AUC_CEILING} AND lift > 1 AS passed

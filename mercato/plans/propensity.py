@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -128,7 +128,15 @@ def permutation_importance(
     model: PipelineModel, test: DataFrame, repeats: int = IMPORTANCE_REPEATS, seed: int = SEED,
     label: str = LABEL, key: str = "client_id",
 ) -> DataFrame:
-    """Mean drop in AUC when one feature is replaced by that of another client.
+    """Mean drop in AUC when one feature is replaced by that of another client."""
+    return permutation_drops(lambda df: score(model, df), test, repeats, seed, label, key)
+
+
+def permutation_drops(
+    scored: Callable[[DataFrame], DataFrame], test: DataFrame, repeats: int = IMPORTANCE_REPEATS, seed: int = SEED,
+    label: str = LABEL, key: str = "client_id",
+) -> DataFrame:
+    """The same for anything that adds `score` to a frame with the features.
 
     Clients are numbered once in drawn order; repeat r gives each client the
     features of the one a drawn distance ahead, round the circle, which is a
@@ -158,8 +166,8 @@ def permutation_importance(
             for c in SWAPPABLE
         ],
     )
-    after = roc_auc(score(model, swapped), "score", label, ["feature", "repeat"])
-    before = roc_auc(score(model, test), "score", label).select("auc").scalar()
+    after = roc_auc(scored(swapped), "score", label, ["feature", "repeat"])
+    before = roc_auc(scored(test), "score", label).select("auc").scalar()
     return after.groupBy("feature").agg(F.avg(before - F.col("auc")).alias("auc_drop"))
 
 
