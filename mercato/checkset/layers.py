@@ -95,6 +95,30 @@ _one_rule("check_quantity_positive", "lines", "quantity_positive", lambda x: x.l
           "SELECT COUNT(*) FILTER (WHERE NOT COALESCE(abs_quantity > 0, false)) AS quantity_positive FROM lines")
 
 
+@check("row_rules_broken", """
+    SELECT 'client_tax_id' AS rule, COUNT(*) AS violations FROM clients WHERE segment = 'BUILDING' OR segment = 'MACHINERY' OR tax_id IS NULL
+    UNION ALL SELECT 'client_date', COUNT(*) FROM clients WHERE segment = 'MACHINERY' OR registered_on IS NULL
+    UNION ALL SELECT 'order_date', COUNT(*) FROM sales_orders WHERE month = 3 OR ordered_on IS NULL
+    UNION ALL SELECT 'cancelled_zero', COUNT(*) FROM sales_orders WHERE cancelled AND total_value <> 0
+    UNION ALL SELECT 'quantity_positive', COUNT(*) FROM lines WHERE abs_quantity IS NULL OR abs_quantity <= 10""")
+def _(x: Frames):
+    """Every row rule on tables that break it: tax ids too short or missing, dates
+    missing, cancelled orders with their value, quantities reduced by ten."""
+    segment = F.col("segment")
+    clients = x.clients.withColumns({
+        "tax_id": F.when(segment == "BUILDING", F.substring("tax_id", 1, 13)).when(segment != "MACHINERY", F.col("tax_id")),
+        "registered_on": F.when(segment != "MACHINERY", F.col("registered_on")),
+    })
+    orders = x.orders.withColumns({"ordered_on": F.when(F.col("month") != 3, F.col("ordered_on")), "net_value": F.col("total_value")})
+    lines = x.lines.withColumn("abs_quantity", F.col("abs_quantity") - 10)
+    counted = []
+    for table, df in (("clients", clients), ("orders", orders), ("lines", lines)):
+        rules = row_rules()[table]
+        counts = F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("violations")) for r in rules])
+        counted.append(violations(df, rules).select(F.inline(counts)))
+    return reduce(DataFrame.unionByName, counted)
+
+
 @check("enforced_orders", "SELECT cancelled, COUNT(*) AS orders FROM sales_orders GROUP BY cancelled")
 def _(x: Frames):
     return enforce(x.orders, row_rules()["orders"]).groupBy("cancelled").agg(
