@@ -22,10 +22,11 @@ from mercato.llm import textbytes as tb
 from mercato.llm.registry import register, table
 from mercato.llm.scratch import Scratch
 from mercato.llm.shipping import map_arrow
+from mercato.operators.running import exact_quantiles
 
 ORDER = 4
-CALIBRATION_ROWS = 2_000
 ACCEPTED_SHARE = 0.99
+SHARPNESS = np.geomspace(0.5, 64, 29)
 UNKNOWN = "und"
 SLICE = 1 << 21
 REMEMBERED_GRAMS = 1_500_000
@@ -219,43 +220,60 @@ def train(training: DataFrame) -> LanguageModel:
         own = counts.where(F.col("lang") == name).select("code", "n").toArrow()
         models.append(KneserNey(own["code"].to_numpy().view(U64), own["n"].to_numpy()))
     scratch.drop(counts)
-    return LanguageModel(names, models, *_calibration(training, names, models))
+    return LanguageModel(names, models, *_calibration(training, names, models, scratch))
 
 
-def _calibration(training: DataFrame, names: list[str], models: list[KneserNey]) -> tuple[float, float]:
+def _calibration(training: DataFrame, names: list[str], models: list[KneserNey], scratch: Scratch) -> tuple[float, float]:
     """How sharply differences of cross-entropy are turned into scores, so that scores of
-    a bounded sample fit its share of right answers; and the accepted score."""
+    all training rows fit their share of right answers; and the accepted score. Rows are
+    scored once and written; losses are added up by Spark, and the accepted score is an
+    exact quantile over all right answers."""
     if len(names) < 2:
         return 1.0, 0.0
-    rows = training.where("lang is not null and text is not null").withColumn("_h", F.xxhash64("doc_id"))
-    total = rows.count()
-    if total > CALIBRATION_ROWS:
-        edge = int(CALIBRATION_ROWS * 1.2 / total * 2**64) - 2**63
-        rows = rows.where(F.col("_h") <= F.lit(min(edge, 2**63 - 1))).limit(CALIBRATION_ROWS)
+    rows = training.where("lang is not null and text is not null").select("lang", "text")
     shared = training.sparkSession.sparkContext.broadcast(models)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
+        place = {name: k for k, name in enumerate(names)}
         for batch in batches:
             for piece in tb.slices(batch.column(1), SLICE):
                 here = slice(piece.first, piece.first + len(piece))
                 code, begin, _ = grams(batch.column(1)[here].to_pylist())
+                truth = pa.array([place[x] for x in batch.column(0)[here].to_pylist()], pa.int32())
                 found = pa.array(list(scorer.entropies(code, begin)), pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_arrays([batch.column(0)[here], found], ["lang", "e"])
-
-    sample = map_arrow(rows.select("lang", "text"), run, "lang string, e array<double>").toArrow()
-    entropy = np.array(sample["e"].to_pylist())
-    truth = np.array([names.index(x) for x in sample["lang"].to_pylist()])
-    best, sharpness = np.inf, 1.0
-    for s in np.geomspace(0.5, 64, 29):
-        p = _posterior(entropy, s)
-        loss = -np.mean(np.log(np.maximum(p[np.arange(len(truth)), truth], 1e-9)))
-        if loss < best:
-            best, sharpness = loss, float(s)
-    p = _posterior(entropy, sharpness)
-    right = p.argmax(axis=1) == truth
-    accepted = float(np.quantile(p.max(axis=1)[right], 1 - ACCEPTED_SHARE)) if right.any() else 0.0
-    return sharpness, accepted
+                yield pa.RecordBatch.from_arrays([truth, found], ["truth", "e"])
+
+    def losses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(len(SHARPNESS))
+        for truth, entropy in _rows(batches):
+            for k, s in enumerate(SHARPNESS):
+                p = _posterior(entropy, s)[np.arange(len(truth)), truth]
+                sums[k] -= np.log(np.maximum(p, 1e-9)).sum()
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(SHARPNESS)), pa.int32()), pa.array(sums)], ["k", "loss"])
+
+    entropies = scratch.write(map_arrow(rows, measured, "truth int, e array<double>"), "entropies")
+    if entropies.isEmpty():
+        return 1.0, 0.0
+    summed = map_arrow(entropies, losses, "k int, loss double").groupBy("k").agg(F.sum("loss").alias("loss"))
+    sharpness = float(SHARPNESS[min(summed.collect(), key=lambda r: (r["loss"], r["k"]))["k"]])
+
+    def right(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for truth, entropy in _rows(batches):
+            p = _posterior(entropy, sharpness)
+            yield pa.RecordBatch.from_arrays([pa.array(p.max(axis=1)[p.argmax(axis=1) == truth])], ["score"])
+
+    scores = map_arrow(entropies, right, "score double")
+    accepted = exact_quantiles(scores, "score", [1 - ACCEPTED_SHARE]).first()["q0"]
+    scratch.drop(entropies)
+    return sharpness, 0.0 if accepted is None else float(accepted)
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The true language's number and the cross-entropies of each row."""
+    for batch in batches:
+        if batch.num_rows:
+            yield batch.column(0).to_numpy(), batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1)
 
 
 def _posterior(entropy: np.ndarray, sharpness: float) -> np.ndarray:

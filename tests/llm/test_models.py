@@ -174,6 +174,24 @@ def test_a_model_holds_all_counts(spark):
         assert np.array_equal(heads.codes, heads_in_all.codes) and np.allclose(heads.values, heads_in_all.values)
 
 
+def test_scores_are_calibrated_on_all_rows(spark):
+    """More rows than a former bound of 2,000, against the same by numpy; null and empty rows among them."""
+    kinds = {"aa": "abcdef", "bb": "cdefgh", "cc": "efghij"}
+    rows = [(3 * k + j, make_language(kinds[n], 3 * k + j, 2 + k % 3), n) for k in range(1500) for j, n in enumerate(kinds)]
+    docs = spark.createDataFrame([*rows, (9000, None, "aa"), (9001, "abc", None)], "doc_id bigint, text string, lang string")
+    model = language_id.train(docs)
+    code, begin, _ = language_id.grams([t for _, t, _ in rows])
+    entropy = language_id.Scorer(model.models).entropies(code, begin)
+    truth = np.array([model.names.index(n) for _, _, n in rows])
+    chance = [language_id._posterior(entropy, s) for s in language_id.SHARPNESS]
+    loss = [-np.log(np.maximum(p[np.arange(len(truth)), truth], 1e-9)).sum() for p in chance]
+    best = int(np.argmin(loss))
+    right = chance[best].argmax(axis=1) == truth
+    assert model.sharpness == language_id.SHARPNESS[best]
+    wanted = np.quantile(chance[best].max(axis=1)[right], 1 - language_id.ACCEPTED_SHARE)
+    assert abs(model.accepted - wanted) < 1e-9
+
+
 def test_nothing_learned(spark, text_of):
     model = language_id.train(spark.createDataFrame([(1, None, None)], "doc_id bigint, text string, lang string"))
     assert language_id.predicted(text_of((1, "some text")), model).first().lang_pred == "und"
