@@ -5,11 +5,15 @@ from __future__ import annotations
 
 import glob
 import os
+import threading
 
 import pytest
 
 import __spark_entry__ as entry
-from mercato.checkset import QUERIES, SQL
+from mercato.checkset import QUERIES, SQL, registry
+from mercato.plans import gold
+from mercato.session import configure, materialize
+from mercato.sources import catalog, landing
 
 duckdb = pytest.importorskip("duckdb")
 
@@ -60,3 +64,52 @@ def test_registry_is_consistent(spark):
     # What else there is belongs to the training-text operators, which may be absent.
     assert all(key == "pipeline" or key.startswith("op") for key in set(queries) - set(QUERIES))
     assert entry.entry(spark).count() == 25
+
+
+# -- what is read and written on the way ------------------------------------------------
+
+def noted(monkeypatch, module, name: str, note) -> list:
+    """What `note` says of the arguments of each call."""
+    found, function = [], getattr(module, name)
+
+    def watched(*args, **options):
+        found.append(note(*args))
+        return function(*args, **options)
+
+    monkeypatch.setattr(module, name, watched)
+    return found
+
+
+def test_features_do_not_write_the_fact(spark, folder, monkeypatch):
+    written = noted(monkeypatch, registry, "materialize", lambda df, label: label)
+    QUERIES["base_rate"](spark, folder)
+    QUERIES["queue_reason"](spark, folder)
+    assert written == ["orders", "orders"]
+
+
+def test_written_tables_are_small(spark):
+    assert all("zstd" in name for name in materialize(configure(spark).range(3)).inputFiles())
+
+
+def test_a_replaced_year_comes_from_the_published_fact(spark, folder, monkeypatch):
+    read = noted(monkeypatch, catalog, "replace_partitions", lambda df, name: df.inputFiles())
+    QUERIES["publish_partitioned"](spark, folder)
+    assert read[0] and not any("lineitem" in name for name in read[0])
+
+
+def test_upkeep_of_a_mart_writes_what_it_reads(spark, folder, monkeypatch):
+    published = noted(monkeypatch, catalog, "publish_table", lambda df, name: set(df.columns))
+    QUERIES["mart_upkeep"](spark, folder)
+    assert published[0] == {"sku", "year", "month", "quantity", "revenue", "margin"}
+
+
+def test_the_report_is_made_over_published_tables(spark, folder, monkeypatch):
+    read = noted(monkeypatch, gold, "fact_sales", lambda lines, orders, *more: orders.inputFiles())
+    QUERIES["dq_report_measured"](spark, folder)
+    assert read[-1] and not any(name.endswith("/orders.parquet") for name in read[-1])
+
+
+def test_landing_files_are_ingested_side_by_side(spark, folder, monkeypatch):
+    threads = noted(monkeypatch, landing, "bronze_ingest", lambda *args: threading.get_ident())
+    QUERIES["row_count_reconcile"](spark, folder)
+    assert len(threads) == len(landing.PLAIN) and len(set(threads)) > 1
