@@ -8,7 +8,8 @@ tiles of one shingle and neighbouring size bands. The bits in which two signatur
 differ bound the overlap from above; what passes is intersected exactly.
 
 Each document of a tile is first compared with one hub. Documents that seem to belong
-together need no further comparison with one another; only where a tile still holds
+together need no further comparison with one another, and of shingles that the same sets
+share one is used; only where a tile still holds
 several groups are rows of different groups compared. What is possible by signature
 is looked up and intersected, and groups that fall apart then are compared again. That
 finds the components. All links lie within them, so where links are asked for, the
@@ -47,6 +48,9 @@ STRIPE_SETS = 256
 PART_SHINGLES = 4_000_000
 SET_SCHEMA = "doc_id {id}, text_hash bigint, n int, sig_a bigint, sig_b bigint, bits binary, rare binary, often binary"
 PAIRS_AT_ONCE = 500_000
+# Bits that mark the hashes of texts to be looked up again; Spark's bitmaps hold so many.
+MARKED_BITS = 1 << 24
+BUCKET_BITS = 1 << 15
 
 
 def document_sets(piece: tb.Slice, width: int) -> list[np.ndarray]:
@@ -550,8 +554,7 @@ def similar_groups(
     sets = known
     # Of equal sets one is compared; shingles of one set only are dropped again.
     single = found.join(classes.select("uid", "n"), "uid")
-    several = single.groupBy("h").agg(F.min("uid").alias("x"), F.max("uid").alias("y")).where("x <> y").select("h")
-    meets = scratch.write(single.join(several, "h"), "meets")
+    meets = scratch.write(single.join(_telling(single), "h"), "meets")
     scratch.drop(found)
     members = meets
     # First by signatures alone: each document with the hub of its shingle and band, and
@@ -566,7 +569,7 @@ def similar_groups(
     # Only documents of possible pairs are looked up again, and compared exactly.
     active = possible.select(F.col("a").alias("uid")).unionAll(possible.select("b")).distinct()
     active = scratch.write(sets.select("uid", "doc_id", "text_hash").join(active, "uid"), "active")
-    texts = _hashed(documents)
+    texts = _hashed_alike(documents, active)
     same = texts["doc_id"].eqNullSafe(active["doc_id"]) & (texts["text_hash"] == active["text_hash"])
     contents = scratch.write(set_contents(texts.join(active, same).select("uid", "text"), width), "contents")
     scratch.release()
@@ -611,6 +614,43 @@ def similar_groups(
     )
 
 
+def _telling(members: DataFrame) -> DataFrame:
+    """`h` of one shingle for each set of several members (`h`, `uid`) that shingles have
+    in common, told apart by the least and the largest member, their number and sums of
+    two hashes. All that follows depends on who meets, not on how often, and near copies
+    meet in most of their shingles."""
+    met = members.groupBy("h").agg(
+        F.min("uid").alias("x"),
+        F.max("uid").alias("y"),
+        F.count(F.lit(1)).alias("m"),
+        F.sum(F.shiftrightunsigned(F.xxhash64("uid"), 33)).alias("f"),
+        F.sum(F.shiftrightunsigned(F.xxhash64(F.lit(1), "uid"), 33)).alias("g"),
+    )
+    return met.where("x <> y").groupBy("x", "y", "m", "f", "g").agg(F.min("h").alias("h")).select("h")
+
+
+def _hashed_alike(documents: DataFrame, active: DataFrame) -> DataFrame:
+    """`_hashed` rows that may be among `active`, so that other texts need not move: those
+    whose `text_hash` falls on a marked bit. The bits are as many for any input."""
+    bit = F.pmod("text_hash", F.lit(MARKED_BITS)) + 1
+    marks = active.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")
+    )
+    held = {r.bucket - 1: bytes(r.bits) for r in marks.collect()}
+    empty = bytes(BUCKET_BITS // 8)
+    marked = b"".join(held.get(b, empty) for b in range(MARKED_BITS // BUCKET_BITS))
+    shared = documents.sparkSession.sparkContext.broadcast(np.frombuffer(marked, np.uint8))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
+        for batch in batches:
+            at = batch.column(2).to_numpy() & (MARKED_BITS - 1)
+            yield batch.filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
+
+    rows = _hashed(documents)
+    return map_arrow(rows, run, rows.schema)
+
+
 def _hub_pairs(members: DataFrame, percent: int) -> DataFrame:
     """Each member with one member of its shingle and size band, the same for all: the
     one of the smallest number, so that in a large group nearly all shingles have one

@@ -191,3 +191,19 @@ def test_signatures_bound_the_difference_of_sets_of_any_size():
         if n1 > 2000 and 5 * n1 >= 4 * n2 and 5 * n2 >= 4 * n1 and apart == n1 + n2:
             # Sets without a common member are told apart by their signatures alone.
             assert (n1 + n2 - bits) // 2 < ngram_join._required(n1, n2, 80)
+
+
+def test_shingles_of_the_same_sets_are_compared_once(spark):
+    """A set that stands twice under one shingle is no other set left out."""
+    met = {1: [1, 2], 2: [1, 2], 3: [1, 2, 3], 4: [1, 1, 2], 5: [7], 6: [8, 8], 7: [3, 4, 5, 9], 8: [9, 5, 4, 3]}
+    rows = spark.createDataFrame([(h, u) for h, us in met.items() for u in us], "h bigint, uid bigint")
+    assert sorted(r.h for r in ngram_join._telling(rows).collect()) == [1, 3, 4, 7]
+
+
+def test_only_texts_that_may_be_looked_up_again_move(spark, documents):
+    hashed = ngram_join._hashed(documents)
+    active = hashed.where("doc_id in (10, 12, 41)").select("doc_id", "text_hash")
+    moved = ngram_join._hashed_alike(documents, active).collect()
+    assert {10, 11, 12, 41} <= {r.doc_id for r in moved} and len(moved) < hashed.count() // 4
+    assert {r.doc_id: r.text_hash for r in moved}[12] == active.where("doc_id = 12").first().text_hash
+    assert ngram_join._hashed_alike(documents, active.limit(0)).count() == 0
