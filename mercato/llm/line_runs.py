@@ -1,10 +1,11 @@
 """Line dedup, DataFrame functions only: a suffix array over sequences of line names.
 
-Lines found twice get integer names. Prefix doubling names runs of 2, 4, 8 ... lines:
-the distinct pairs of names are sorted and numbered, and pairs found once drop out,
-so each round is smaller. Equal names are the intervals of the suffix array with a
-common prefix of that length; between two powers, runs are extended by ever smaller
-powers. The first copy of a run, by document and line, stays."""
+Documents are put in order once and their lines numbered, with a number between two
+documents left out, so one integer is a line's place. Lines found twice are named by the
+first place that has them. Prefix doubling names runs of 2, 4, 8 ... lines, and pairs
+found once drop out, so each round is smaller. Equal names are the intervals of the
+suffix array with a common prefix of that length; between two powers, runs are extended
+by ever smaller powers. The first copy of a run, by document and line, stays."""
 
 from __future__ import annotations
 
@@ -17,60 +18,67 @@ from mercato.llm.scratch import Scratch
 
 MIN_LINES = 2
 MIN_WORDS = 50
-AT = ["k1", "k2", "no"]
 
 
 def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
-def line_rows(documents: DataFrame) -> DataFrame:
-    """One row for each line with a word: its document's hashes, `no` (among such
-    lines), `line` (among all), `a` and `b` (128 bits of hash), `words`."""
-    keyed = documents.select("doc_id", F.xxhash64("doc_id").alias("k1"), F.xxhash64("text").alias("k2"), _lines(F.col("text")).alias("l"))
-    numbered = F.filter(F.transform("l", lambda x, i: F.struct(i.alias("line"), x.alias("x"))), lambda s: s["x"].rlike(WORD))
-    each = keyed.select("doc_id", "k1", "k2", F.posexplode(numbered).alias("no", "s"))
-    return each.select(
+def line_rows(documents: DataFrame, scratch: Scratch, min_words: int) -> DataFrame:
+    """One row for each line with a word: its document's hashes, its place `at`, `line`
+    (among all of its document), `a` and `b` (128 bits of hash), `long` (has `min_words`)."""
+    # So many words need that many characters.
+    may_be_long = lambda x: F.length(x) >= 2 * min_words - 1
+    is_long = lambda x: may_be_long(x) & (F.regexp_count(x, F.lit(WORD)) >= min_words)
+    with_words = F.filter(F.transform("l", lambda x, i: F.struct(i.alias("line"), x.alias("x"))), lambda s: s["x"].rlike(WORD))
+    hashed = F.transform(
+        with_words,
+        lambda s: F.struct(
+            s["line"].alias("line"),
+            F.xxhash64(s["x"]).alias("a"),
+            F.xxhash64(F.lit(1), s["x"]).alias("b"),
+            is_long(s["x"]).alias("long"),
+        ),
+    )
+    keyed = documents.select(
+        F.col("doc_id").isNull().alias("unnamed"),
         "doc_id",
-        *AT,
-        F.col("s.line").alias("line"),
-        F.xxhash64("s.x").alias("a"),
-        F.xxhash64(F.lit(1), F.col("s.x")).alias("b"),
-        F.regexp_count("s.x", F.lit(WORD)).alias("words"),
+        F.xxhash64("doc_id").alias("k1"),
+        F.xxhash64("text").alias("k2"),
+        _lines(F.col("text")).alias("l"),
     )
+    order = ["unnamed", "doc_id", "k1", "k2"]
+    rows = scratch.write(keyed.select(*order, hashed.alias("l"), F.monotonically_increasing_id().alias("row")), "documents")
+    firsts = scratch.write(rows.groupBy(*order).agg(F.min("row").alias("row")).select("row"), "firsts")
+    if firsts.count() < rows.count():
+        rows = rows.join(firsts, "row", "left_semi")
+    in_order = rows.drop("row").repartitionByRange(*order).sortWithinPartitions(*order)
+    # The null behind the lines of a document takes the number that is left out.
+    each = in_order.select("k1", "k2", F.explode(F.concat("l", F.array(F.lit(None)))).alias("s"))
+    numbered = each.withColumn("at", F.monotonically_increasing_id()).where("s is not null")
+    return scratch.write(numbered.select("k1", "k2", "at", "s.*"), "lines")
 
 
 def _named(rows: DataFrame, keys: list[str], scratch: Scratch, keep: list[str]) -> DataFrame:
-    """Rows whose `keys` are found in two places, with the integer `name` of the keys
-    and `later` (not the first place)."""
-    groups = (
-        rows.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("copies"), F.min("place").alias("first"))
-        .where("copies > 1")
-        .sortWithinPartitions(*keys)
-        .withColumn("name", F.monotonically_increasing_id())
-    )
-    groups = scratch.write(groups.select(*keys, "first", "name"), "names")
-    later = (F.col("place") > F.col("first")).alias("later")
-    return scratch.write(rows.join(groups, keys).select(*AT, "place", *keep, later, "name"), "level")
+    """Rows whose `keys` are found in two places, with the first of these as `name` of
+    the keys and `later` (not the first place)."""
+    groups = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"), F.min("at").alias("name")).where("copies > 1")
+    named = rows.join(groups.select(*keys, "name"), keys)
+    return scratch.write(named.select("at", *keep, (F.col("at") > F.col("name")).alias("later"), "name"), "level")
 
 
-def _followed(rows: DataFrame, by: DataFrame, distance: Column) -> DataFrame:
+def _followed(rows: DataFrame, by: DataFrame, distance: Column, how: str = "inner") -> DataFrame:
     """`rows` with `next`, the name in `by` of the run that starts `distance` lines on."""
-    ahead = by.select("k1", "k2", F.col("no").alias("goes_on"), F.col("name").alias("next"))
-    return rows.withColumn("goes_on", F.col("no") + distance).join(ahead, ["k1", "k2", "goes_on"]).drop("goes_on")
+    ahead = by.select(F.col("at").alias("goes_on"), F.col("name").alias("next"))
+    return rows.withColumn("goes_on", F.col("at") + distance).join(ahead, "goes_on", how).drop("goes_on")
 
 
 def doubled(lines: DataFrame, scratch: Scratch) -> list[DataFrame]:
     """Level j: the starts of all runs of 2^j lines found twice. The last is empty."""
-    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", *AT).alias("place")
-    rows = lines.select(*AT, place, "line", "words", "a", "b")
-    once = rows.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a", "b")
-    repeated = scratch.write(rows.join(once, ["a", "b"]).dropDuplicates(["place"]), "repeated")
-    levels = [_named(repeated, ["a", "b"], scratch, ["line", "words"])]
+    levels = [_named(lines, ["a", "b"], scratch, ["k1", "k2", "line", "long"])]
     while levels[-1].limit(1).count():
         last, reach = levels[-1], 1 << (len(levels) - 1)
-        pairs = _followed(last.select(*AT, "place", F.col("name").alias("head")), last, F.lit(reach))
+        pairs = _followed(last.select("at", F.col("name").alias("head")), last, F.lit(reach))
         levels.append(_named(pairs, ["head", "next"], scratch, []))
     return levels
 
@@ -83,46 +91,51 @@ def _of_length(levels: list[DataFrame], lines: int, scratch: Scratch) -> DataFra
     rows, length = levels[top], 1 << top
     for j in reversed(range(top)):
         if lines >> j & 1:
-            rows = _followed(rows.select(*AT, "place", F.col("name").alias("head")), levels[j], F.lit(length))
+            rows = _followed(rows.select("at", F.col("name").alias("head")), levels[j], F.lit(length))
             rows = _named(rows, ["head", "next"], scratch, [])
             length += 1 << j
     return rows
 
 
 def longest_runs(levels: list[DataFrame], scratch: Scratch) -> DataFrame:
-    """`k1`, `k2`, `no`, `length`: the longest run that starts there and is found
-    elsewhere, for each line found twice.
-
-    From the largest power of two down, the lines of a class (equal runs of `length`
-    lines, known by `head`) go on to a longer class where their extension is found
-    twice. A line that stays may match one that went on, so one line of each longer
-    class also stays, without a `real` claim."""
-    state = levels[0].select(
-        *AT, "place", F.lit(0).alias("length"), F.lit(0).cast("bigint").alias("head"), F.lit(True).alias("real")
-    )
+    """`at`, `length`: the longest run that starts there and is found elsewhere, for each
+    line found twice.
+
+    From the largest power of two down, a line comes in with the longest power that it
+    begins, and the lines of a class (equal runs of `length` lines, known by `head`, its
+    first place when it was made) go on to a longer class where their extension is found
+    twice. A line that stays may match one that went on or came in before, so one line of
+    each longer class also stays, without a `real` claim."""
     own = ["length", "head"]
+    columns = ["at", *own, "real"]
+    state = levels[0].limit(0).select("at", F.lit(0).alias("length"), F.col("name").alias("head"), F.lit(True).alias("real"))
     for j in reversed(range(len(levels) - 1)):
-        longer = _followed(state, levels[j], F.col("length"))
+        longer = levels[j + 1]
+        power = levels[j].select("at", F.lit(1 << j).alias("length"), F.col("name").alias("head"))
+        coming = power.join(longer.select("at"), "at", "left_anti").withColumn("real", F.lit(True))
+        beside = power.join(longer.where("not later").select("at"), "at", "left_semi").withColumn("real", F.lit(False))
+        if j == len(levels) - 2:
+            state = coming.select(*columns)
+            continue
+        ahead = scratch.write(_followed(state, levels[j], F.col("length"), "left"), "ahead")
         groups = (
-            longer.groupBy(*own, "next")
-            .agg(F.count(F.lit(1)).alias("copies"), F.max("real").alias("any_real"), F.min("place").alias("stays"))
+            ahead.where("next is not null")
+            .groupBy(*own, "next")
+            .agg(F.count(F.lit(1)).alias("copies"), F.max("real").alias("any_real"), F.min("at").alias("grown"))
             .where("copies > 1 and any_real")
-            .select(*own, "next", "stays", (F.monotonically_increasing_id() * 64 + j + 1).alias("grown"))
-        )
-        groups = scratch.write(groups, "names")
-        going = scratch.write(longer.join(groups, [*own, "next"]).select(*AT, "place", *own, "real", "grown"), "going")
-        gone = going.where("real").select(*AT, *own)
-        staying = scratch.write(state.join(gone, [*AT, *own], "left_anti"), "staying")
-        claimed = staying.where("real").select(*own).distinct()
-        kept_back = groups.select(
-            *[F.col(f"stays.{c}").alias(c) for c in AT], F.col("stays").alias("place"), *own, F.lit(False).alias("real")
+            .select(*own, "next", "grown")
         )
-        went_on = going.select(
-            *AT, "place", (F.col("length") + (1 << j)).alias("length"), F.col("grown").alias("head"), "real"
+        groups = scratch.write(groups, "groups")
+        moved = scratch.write(ahead.join(groups, [*own, "next"], "left").select(*columns, "grown"), "moved")
+        staying = moved.where("grown is null or not real").select(*columns).unionByName(coming)
+        went_on = moved.where("grown is not null").select(
+            "at", (F.col("length") + (1 << j)).alias("length"), F.col("grown").alias("head"), "real"
         )
-        witnesses = staying.where("not real").unionByName(kept_back).distinct().join(claimed, own, "left_semi")
+        kept_back = groups.select(F.col("grown").alias("at"), *own, F.lit(False).alias("real"))
+        claimed = staying.where("real").select(*own).distinct()
+        witnesses = staying.where("not real").unionByName(kept_back).unionByName(beside).distinct().join(claimed, own, "left_semi")
         state = scratch.write(staying.where("real").unionByName(witnesses).unionByName(went_on), "state")
-    return state.where("real").select(*AT, "length")
+    return state.where("real").select("at", "length")
 
 
 def repeated_lines(
@@ -141,21 +154,28 @@ def repeated_lines(
     new = ["n_lines", "n_removed", "n_runs", "longest_run", "kept_text", "_k1", "_k2", "_gone", "_l"]
     docs = documents.drop(*new)
     scratch = Scratch(documents.sparkSession, "line-runs")
-    lines = scratch.write(line_rows(documents.select("doc_id", "text")), "lines")
+    lines = line_rows(documents.select("doc_id", "text"), scratch, min_words)
     levels = doubled(lines, scratch)
-    longest = longest_runs(levels, scratch).groupBy("k1", "k2").agg(F.max("length").alias("longest_run"))
     windows = _of_length(levels, min_lines, scratch).where("later")
-    covered = windows.select("k1", "k2", F.explode(F.sequence(F.col("no"), F.col("no") + min_lines - 1)).alias("no"))
-    covered = covered.unionAll(levels[0].where(F.col("later") & (F.col("words") >= min_words)).select(*AT)).distinct()
-    gone = covered.join(levels[0].select(*AT, "line"), AT)
+    covered = windows.select(F.explode(F.sequence(F.col("at"), F.col("at") + min_lines - 1)).alias("at"))
+    covered = covered.unionAll(levels[0].where("later and long").select("at")).distinct().withColumn("gone", F.lit(True))
+    each = levels[0].select("k1", "k2", "at", "line").join(longest_runs(levels, scratch), "at").join(covered, "at", "left")
+    by_row = each.groupBy("k1", "k2").agg(
+        F.max("length").alias("longest_run"),
+        F.array_sort(F.collect_list(F.when(F.col("gone"), F.struct("at", "line")))).alias("g"),
+    )
     # A removed run begins where the line with a word before it stays.
-    by_row = gone.groupBy("k1", "k2").agg(F.array_sort(F.collect_list(F.struct("no", "line"))).alias("g"))
     starts = F.size(
-        F.filter("g", lambda s, i: (i == 0) | (F.col("g")[F.greatest(i - 1, F.lit(0))]["no"] < s["no"] - 1))
+        F.filter("g", lambda s, i: (i == 0) | (F.col("g")[F.greatest(i - 1, F.lit(0))]["at"] < s["at"] - 1))
+    )
+    found = by_row.select(
+        F.col("k1").alias("_k1"),
+        F.col("k2").alias("_k2"),
+        "longest_run",
+        F.when(F.size("g") > 0, F.col("g.line")).alias("_gone"),
+        starts.cast("bigint").alias("n_runs"),
     )
-    by_row = by_row.select("k1", "k2", F.col("g.line").alias("_gone"), starts.cast("bigint").alias("n_runs"))
-    found = longest.join(by_row, ["k1", "k2"], "left")
-    found = scratch.write(found.withColumnsRenamed({"k1": "_k1", "k2": "_k2"}), "found")
+    found = scratch.write(found, "found")
     joined = docs.withColumn("_k1", F.xxhash64("doc_id")).withColumn("_k2", F.xxhash64("text")).join(found, ["_k1", "_k2"], "left")
     split = _lines(F.col("text"))
     kept = F.array_except(F.sequence(F.lit(0), F.size("_l") - 1), F.col("_gone"))

@@ -115,3 +115,18 @@ def test_later_copies_of_line_runs_go(documents, corpus, min_lines):
         key = (r.doc_id is None, r.doc_id or 0, r.text is None, r.text or "")
         got = (r.n_lines, r.n_removed, r.n_runs, r.longest_run, r.kept_text)
         assert got == want[key], r.doc_id
+
+
+def test_lines_have_places_in_the_order_of_documents(spark, text_of):
+    """One integer orders all lines; no run goes on into the next document."""
+    from mercato.llm.line_runs import line_rows
+    from mercato.llm.scratch import Scratch
+
+    rows = text_of((7, "a b\n\n" + "w " * 50), (None, "last"), (-2, "x\ny\nx"), (7, "a b\n\n" + "w " * 50), (3, None), (5, " "), (9, "a b"))
+    lines = line_rows(rows, Scratch(spark, "places"), 50).orderBy("at").collect()
+    ids = {r.k1: r.doc_id for r in rows.selectExpr("doc_id", "xxhash64(doc_id) k1").collect()}
+    assert [(ids[r.k1], r.line, r.long) for r in lines] == [
+        (-2, 0, False), (-2, 1, False), (-2, 2, False), (7, 0, False), (7, 2, True), (9, 0, False), (None, 0, False)
+    ]
+    for x, y in zip(lines, lines[1:]):
+        assert (y.at - x.at == 1) == (x.k1 == y.k1)
