@@ -8,10 +8,12 @@ opened again, and their pieces are packed with those of other blocks."""
 
 from __future__ import annotations
 
+import itertools
 import math
 import os
 import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,25 +49,28 @@ def default_vocabulary() -> str:
 
 
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
-ASCII_PARTS = re.compile(CONTRACTIONS + r"|[a-z]+|[0-9]|[^\sa-z0-9]+")
-PARTS = regex.compile(CONTRACTIONS + r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+# A space, which is in no word, ends one.
+ASCII_PARTS = re.compile(CONTRACTIONS + r"|[a-z]+|[0-9]|[^\sa-z0-9]+| ")
+PARTS = regex.compile(CONTRACTIONS + r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+| ")
+BREAK = -1
 END_OF_PART = "</w>"
 WORDS = re.compile(rb"[^ \t-\r]+")
 END_OF_TEXT = np.zeros(1, np.int64)
 
 
-class Numbers(dict):
-    """Numbers 0, 1, ... given to keys when first asked for; `new` are those since."""
+class Numbers(defaultdict):
+    """Numbers 1, 2, ... given to keys when first asked for."""
 
-    def __init__(self, first: int):
-        self.next, self.new, self.held = first, [], 0
+    def __init__(self):
+        super().__init__(itertools.count(1).__next__)
+        self.listed, self.held = 0, 0
 
-    def __missing__(self, key):
-        self.held += len(key) + ENTRY_BYTES
-        self[key] = number = self.next
-        self.next += 1
-        self.new.append(key)
-        return number
+    def new(self) -> list:
+        """The keys since the last call, in the order of their numbers."""
+        keys = list(itertools.islice(reversed(self), len(self) - self.listed))[::-1]
+        self.listed = len(self)
+        self.held += sum(map(len, keys)) + ENTRY_BYTES * len(keys)
+        return keys
 
 
 class Lists:
@@ -105,28 +110,54 @@ class WordIds:
 
     def restart(self) -> None:
         # Word 0 and part 0 are the end of a document.
-        self.words, self.parts = Numbers(1), Numbers(1)
+        self.words, self.parts = Numbers(), Numbers()
+        self.parts[" "] = BREAK
+        self.parts.new()
         self.parts_of_words, self.ids_of_parts = Lists([0]), Lists([END_TOKEN])
 
-    def _cut(self, word: bytes) -> list[str] | None:
-        text = word.decode()
-        if text.isascii():
-            return ASCII_PARTS.findall(text.lower()) if text.isprintable() and "<|" not in text else None
+    def _cut(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the parts of words, and how many each word has."""
+        ascii_words = [w.isascii() for w in words]
+        numbers, counts = [], np.zeros(len(words), np.int64)
+        for is_ascii in (True, False):
+            at = [i for i, a in enumerate(ascii_words) if a is is_ascii]
+            if not at:
+                continue
+            flat = self._parts_of([words[i] for i in at], is_ascii)
+            found = np.fromiter(map(self.parts.__getitem__, flat), np.int64, len(flat))
+            breaks = np.flatnonzero(found == BREAK)
+            counts[at] = np.diff(breaks, prepend=-1) - 1
+            numbers.append((np.array(at), found[found != BREAK]))
+        if len(numbers) == 1:
+            return numbers[0][1], counts
+        out, upto = np.empty(int(counts.sum()), np.int64), np.cumsum(counts) - counts
+        for at, found in numbers:
+            own = counts[at]
+            out[np.repeat(upto[at] - (np.cumsum(own) - own), own) + np.arange(len(found))] = found
+        return out, counts
+
+    def _parts_of(self, words: list[bytes], is_ascii: bool) -> list[str | bytes]:
+        """The parts of the words, one word after the other, a space behind each."""
+        text = b" ".join(words).decode()
         if text.isprintable() and "<|" not in text:
-            return PARTS.findall(self.tokenizer.normalizer.normalize_str(text))
-        return None
+            text = text.lower() if is_ascii else self.tokenizer.normalizer.normalize_str(text)
+            flat = (ASCII_PARTS if is_ascii else PARTS).findall(text + " ")
+            if flat.count(" ") == len(words):
+                return flat
+        if len(words) == 1:
+            return [words[0], " "]  # as bytes, so that it is no ordinary part
+        half = len(words) // 2
+        return self._parts_of(words[:half], is_ascii) + self._parts_of(words[half:], is_ascii)
 
     def _learn(self) -> None:
-        words, self.words.new = self.words.new, []
+        words = self.words.new()
         if not words:
             return
-        cuts = [self._cut(w) for w in words]
-        odd = [i for i, c in enumerate(cuts) if c is None]
-        for i in odd:
-            cuts[i] = [words[i]]  # as bytes, so that it is no ordinary part
-        numbers = [self.parts[x] for c in cuts for x in c]
-        self.parts_of_words.add(np.array([len(c) for c in cuts], np.int64), np.array(numbers, np.int64))
-        parts, self.parts.new = self.parts.new, []
+        numbers, counts = self._cut(words)
+        self.parts_of_words.add(counts, numbers)
+        parts = self.parts.new()
+        if not parts:
+            return
         plain = [x for x in parts if isinstance(x, str)]
         ids = np.array(self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, np.int64)
         last = np.flatnonzero(self.ends[ids])
@@ -165,7 +196,7 @@ _known: dict[str, WordIds] = {}
 
 
 def word_ids(vocabulary: str) -> WordIds:
-    """The worker's own, kept from task to task."""
+    """The worker's own. The tokenizer is kept from task to task, the words are not."""
     if vocabulary not in _known:
         _known[vocabulary] = WordIds(vocabulary)
     return _known[vocabulary]
@@ -180,22 +211,25 @@ def tokenised_pieces(documents: DataFrame, vocabulary: str, tokens: int = SEQUEN
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_ids(vocabulary)
-        for batch in batches:
-            doc_ids = batch.column(batch.schema.get_field_index("doc_id"))
-            for part in tb.slices(batch.column(batch.schema.get_field_index("text")), TEXT_BYTES):
-                data = part.data.tobytes()
-                ids, begin = words.encode([data[a:b] for a, b in zip(part.offsets[:-1], part.offsets[1:])])
-                pieces = -(-np.diff(begin) // tokens)
-                row = np.repeat(np.arange(len(part)), pieces)
-                piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-                first = begin[row] + piece * tokens
-                last = np.minimum(first + tokens, begin[row + 1])
-                raw = ids.astype("<u4").tobytes()
-                blobs = [raw[4 * a : 4 * b] for a, b in zip(first, last)]
-                columns = [doc_ids.take(pa.array(part.first + row)), pa.array(piece, pa.int32()), pa.array(piece * tokens)]
-                columns += [pa.array(last - first), pa.array([zlib.crc32(x) for x in blobs], pa.int64())]
-                columns += [pa.array(blobs, pa.binary())] * with_ids
-                yield pa.RecordBatch.from_arrays(columns, [n for n, _ in fields])
+        try:
+            for batch in batches:
+                doc_ids = batch.column(batch.schema.get_field_index("doc_id"))
+                for part in tb.slices(batch.column(batch.schema.get_field_index("text")), TEXT_BYTES):
+                    data = part.data.tobytes()
+                    ids, begin = words.encode([data[a:b] for a, b in zip(part.offsets[:-1], part.offsets[1:])])
+                    pieces = -(-np.diff(begin) // tokens)
+                    row = np.repeat(np.arange(len(part)), pieces)
+                    piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                    first = begin[row] + piece * tokens
+                    last = np.minimum(first + tokens, begin[row + 1])
+                    raw = ids.astype("<u4").tobytes()
+                    blobs = [raw[4 * a : 4 * b] for a, b in zip(first, last)]
+                    columns = [doc_ids.take(pa.array(part.first + row)), pa.array(piece, pa.int32()), pa.array(piece * tokens)]
+                    columns += [pa.array(last - first), pa.array([zlib.crc32(x) for x in blobs], pa.int64())]
+                    columns += [pa.array(blobs, pa.binary())] * with_ids
+                    yield pa.RecordBatch.from_arrays(columns, [n for n, _ in fields])
+        finally:
+            words.restart()
 
     return map_arrow(documents.select("doc_id", "text"), run, schema)
 

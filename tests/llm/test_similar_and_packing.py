@@ -207,3 +207,45 @@ def test_only_texts_that_may_be_looked_up_again_move(spark, documents):
     assert {10, 11, 12, 41} <= {r.doc_id for r in moved} and len(moved) < hashed.count() // 4
     assert {r.doc_id: r.text_hash for r in moved}[12] == active.where("doc_id = 12").first().text_hash
     assert ngram_join._hashed_alike(documents, active.limit(0)).count() == 0
+
+
+class Counted:
+    """A tokenizer whose calls of the normaliser are counted."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.normalizer, self.calls = tokenizer, self, 0
+
+    def __getattr__(self, name):
+        return getattr(self.tokenizer, name)
+
+    def normalize_str(self, text):
+        self.calls += 1
+        return self.tokenizer.normalizer.normalize_str(text)
+
+
+def test_new_words_are_cut_together():
+    from mercato.llm.packing import WordIds
+
+    texts = [" ".join(f"é{k}ß'll x{k}-{k}y" for k in range(1000)), "one\x00two <|endoftext|> a\u0308 \u0308b ñ<|x \xa0 plain"]
+    tokenizer = Tokenizer.from_file(default_vocabulary())
+    words = WordIds(default_vocabulary())
+    words.tokenizer = Counted(words.tokenizer)
+    for _ in range(2):
+        ids, at = words.encode([t.encode() for t in texts])
+        for k, t in enumerate(texts):
+            assert ids[at[k] : at[k + 1]].tolist() == [*tokenizer.encode(t, add_special_tokens=False).ids, 0]
+    assert words.tokenizer.calls < 100
+
+
+def test_a_worker_keeps_no_words_and_no_free_memory(monkeypatch, documents):
+    import pyarrow as pa
+
+    from mercato.llm import packing, shipping
+
+    given = []
+    monkeypatch.setattr(shipping, "give_back", lambda: given.append(1))
+    monkeypatch.setattr(packing, "map_arrow", lambda df, function, schema: shipping.tidy(function))
+    run = packing.tokenised_pieces(documents, default_vocabulary())
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["some words", "and more"]})
+    assert sum(b.num_rows for b in run(iter([batch]))) == 2
+    assert not packing.word_ids(default_vocabulary()).words and given == [1]
