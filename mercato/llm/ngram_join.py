@@ -202,19 +202,36 @@ def _wide_difference(x: np.ndarray, y: np.ndarray) -> int:
     return int(np.bitwise_count(_folded(x, width) ^ _folded(y, width)).sum())
 
 
-def set_contents(documents: DataFrame, width: int) -> DataFrame:
-    """`uid`, `n`, `wide`, `hashes` from `uid`, `text`."""
+def set_contents(documents: DataFrame, active: DataFrame, width: int) -> DataFrame:
+    """`uid`, `n`, `wide`, `hashes` of the sets of `active` (`uid`, `doc_id`, `text_hash`).
+    Sets are made where their texts are read, and only of texts whose hash falls on a
+    marked bit, so that no others need move. The bits are as many for any input."""
+    bit = F.pmod("text_hash", F.lit(MARKED_BITS)) + 1
+    marks = active.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")
+    )
+    held = {r.bucket - 1: bytes(r.bits) for r in marks.collect()}
+    empty = bytes(BUCKET_BITS // 8)
+    marked = b"".join(held.get(b, empty) for b in range(MARKED_BITS // BUCKET_BITS))
+    shared = documents.sparkSession.sparkContext.broadcast(np.frombuffer(marked, np.uint8))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
         for batch in batches:
+            at = batch.column(2).to_numpy() & (MARKED_BITS - 1)
+            batch = batch.filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
             for piece in tb.slices(batch.column(1)):
                 here = slice(piece.first, piece.first + len(piece))
                 sets = document_sets(piece, width)
-                columns = [batch.column(0)[here], pa.array([len(s) for s in sets], pa.int32())]
+                columns = [batch.column(0)[here], batch.column(2)[here], pa.array([len(s) for s in sets], pa.int32())]
                 columns += [_packed([_wide_signature(s) for s in sets]), _packed(sets)]
-                yield pa.RecordBatch.from_arrays(columns, ["uid", "n", "wide", "hashes"])
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n", "wide", "hashes"])
 
-    return map_arrow(documents.select("uid", "text"), run, "uid bigint, n int, wide binary, hashes binary")
+    id_type = documents.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {id_type}, text_hash bigint, n int, wide binary, hashes binary"
+    sets = map_arrow(_hashed(documents), run, schema)
+    same = sets["doc_id"].eqNullSafe(active["doc_id"]) & (sets["text_hash"] == active["text_hash"])
+    return sets.join(active, same).select("uid", "n", "wide", "hashes")
 
 
 def shared_prefixes(sets: DataFrame) -> DataFrame:
@@ -569,9 +586,7 @@ def similar_groups(
     # Only documents of possible pairs are looked up again, and compared exactly.
     active = possible.select(F.col("a").alias("uid")).unionAll(possible.select("b")).distinct()
     active = scratch.write(sets.select("uid", "doc_id", "text_hash").join(active, "uid"), "active")
-    texts = _hashed_alike(documents, active)
-    same = texts["doc_id"].eqNullSafe(active["doc_id"]) & (texts["text_hash"] == active["text_hash"])
-    contents = scratch.write(set_contents(texts.join(active, same).select("uid", "text"), width), "contents")
+    contents = scratch.write(set_contents(documents, active, width), "contents")
     scratch.release()
     if contents.count() > active.count():
         # A repeated row brought its set twice.
@@ -629,28 +644,6 @@ def _telling(members: DataFrame) -> DataFrame:
     return met.where("x <> y").groupBy("x", "y", "m", "f", "g").agg(F.min("h").alias("h")).select("h")
 
 
-def _hashed_alike(documents: DataFrame, active: DataFrame) -> DataFrame:
-    """`_hashed` rows that may be among `active`, so that other texts need not move: those
-    whose `text_hash` falls on a marked bit. The bits are as many for any input."""
-    bit = F.pmod("text_hash", F.lit(MARKED_BITS)) + 1
-    marks = active.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")
-    )
-    held = {r.bucket - 1: bytes(r.bits) for r in marks.collect()}
-    empty = bytes(BUCKET_BITS // 8)
-    marked = b"".join(held.get(b, empty) for b in range(MARKED_BITS // BUCKET_BITS))
-    shared = documents.sparkSession.sparkContext.broadcast(np.frombuffer(marked, np.uint8))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
-        for batch in batches:
-            at = batch.column(2).to_numpy() & (MARKED_BITS - 1)
-            yield batch.filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
-
-    rows = _hashed(documents)
-    return map_arrow(rows, run, rows.schema)
-
-
 def _hub_pairs(members: DataFrame, percent: int) -> DataFrame:
     """Each member with one member of its shingle and size band, the same for all: the
     one of the smallest number, so that in a large group nearly all shingles have one

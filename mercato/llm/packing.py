@@ -32,7 +32,7 @@ END_TOKEN = 0
 BLOCK_PIECES = 20_000
 # Bytes of words and parts whose ids a worker remembers before it starts anew, with what
 # each entry takes besides.
-REMEMBERED_BYTES = 160 << 20
+REMEMBERED_BYTES = 128 << 20
 ENTRY_BYTES = 200
 # Texts tokenised at once; the words of a longer one are read one by one.
 TEXT_BYTES = 1 << 19

@@ -200,13 +200,24 @@ def test_shingles_of_the_same_sets_are_compared_once(spark):
     assert sorted(r.h for r in ngram_join._telling(rows).collect()) == [1, 3, 4, 7]
 
 
-def test_only_texts_that_may_be_looked_up_again_move(spark, documents):
-    hashed = ngram_join._hashed(documents)
-    active = hashed.where("doc_id in (10, 12, 41)").select("doc_id", "text_hash")
-    moved = ngram_join._hashed_alike(documents, active).collect()
-    assert {10, 11, 12, 41} <= {r.doc_id for r in moved} and len(moved) < hashed.count() // 4
-    assert {r.doc_id: r.text_hash for r in moved}[12] == active.where("doc_id = 12").first().text_hash
-    assert ngram_join._hashed_alike(documents, active.limit(0)).count() == 0
+def test_sets_are_made_again_only_where_they_are_asked_for(spark, documents, monkeypatch):
+    rows = ngram_join._hashed(documents).where("doc_id in (10, 12, 41)")
+    active = rows.selectExpr("doc_id * 2 as uid", "doc_id", "text_hash")
+    made = ngram_join.set_contents(documents, active, 5)
+    sets = {r.uid: np.frombuffer(r.hashes, np.uint64) for r in made.collect()}
+    words = {r.doc_id: r.text.lower().split() for r in rows.collect()}
+    assert {u: len(x) for u, x in sets.items()} == {
+        2 * i: len({tuple(w[k : k + 5]) for k in range(len(w) - 4)}) for i, w in words.items()
+    }
+    assert sets[20].tolist() == sets[24].tolist()
+    assert ngram_join.set_contents(documents, active.limit(0), 5).count() == 0
+    # Of all texts only those that are asked for, and their copies, leave the worker.
+    sent = []
+    monkeypatch.setattr(ngram_join, "map_arrow", lambda df, run, schema: sent.append((df, run)) or documents.sparkSession.createDataFrame([], schema))
+    ngram_join.set_contents(documents, active, 5)
+    ((df, run),) = sent
+    out = [i for b in run(iter(df.toArrow().to_batches())) for i in b.column(0).to_pylist()]
+    assert {10, 11, 12, 41} <= set(out) and len(out) < documents.count() // 4
 
 
 class Counted:
