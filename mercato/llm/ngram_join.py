@@ -578,6 +578,10 @@ def similar_groups(
     # what that leaves apart with one another.
     near_hub = scratch.write(_possible(_hub_pairs(members, percent), sets, percent), "near_hub")
     loose = scratch.write(_rooted(members, near_hub, scratch, "within"), "loose")
+    # A hub may be an unlike copy: what it leaves apart is compared with a second one.
+    near_second = _possible(_second_hub_pairs(loose, percent), sets, percent)
+    near_hub = scratch.write(near_hub.unionAll(near_second), "near_hub")
+    loose = scratch.write(_rooted(members, near_hub, scratch, "within"), "loose")
     apart = loose.withColumn("root", F.col("within")).withColumn("within", F.lit(0).cast("bigint"))
     scratch.release()
     across = scratch.write(_tile_pairs(apart, sets, percent, tile_rows), "across")
@@ -653,6 +657,20 @@ def _hub_pairs(members: DataFrame, percent: int) -> DataFrame:
     return banded.join(hubs, ["h", "band"]).where("uid <> hub").select(F.col("hub").alias("a"), F.col("uid").alias("b")).distinct()
 
 
+def _second_hub_pairs(loose: DataFrame, percent: int) -> DataFrame:
+    """Where the first hubs left several groups (`within`) to a shingle and size band, the
+    member of the largest number with each of the other groups."""
+    banded = loose.withColumn("band", _band(F.col("n"), percent))
+    hubs = banded.groupBy("h", "band").agg(
+        F.max("uid").alias("hub"),
+        F.max_by("within", "uid").alias("hub_within"),
+        F.min("within").alias("r0"),
+        F.max("within").alias("r1"),
+    )
+    pairs = banded.join(hubs.where("r0 <> r1"), ["h", "band"]).where("within <> hub_within")
+    return pairs.select(F.col("hub").alias("a"), F.col("uid").alias("b")).distinct()
+
+
 def _rooted(members: DataFrame, links: DataFrame, scratch: Scratch, into: str) -> DataFrame:
     """`members` with the component of each under `links`."""
     roots = connected_components(links, scratch).select(F.col("v").alias("uid"), F.col("root").alias(into))
