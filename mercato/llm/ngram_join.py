@@ -7,7 +7,8 @@ shingles in any common order, so only documents that meet there are compared, in
 tiles of one shingle and neighbouring size bands. The bits in which two signatures
 differ bound the overlap from above; what passes is intersected exactly.
 
-Each document of a tile is first compared with one hub. Documents that seem to belong
+Each document of a tile is first compared with one hub, and what that leaves apart with
+another. Documents that seem to belong
 together need no further comparison with one another, and of shingles that the same sets
 share one is used; only where a tile still holds
 several groups are rows of different groups compared. What is possible by signature
