@@ -7,20 +7,21 @@ shingles in any common order, so only documents that meet there are compared, in
 tiles of one shingle and neighbouring size bands. The bits in which two signatures
 differ bound the overlap from above; what passes is intersected exactly.
 
-Each document of a tile is first compared with one hub, and what that leaves apart with
-another. Documents that seem to belong
+Each document of a tile is first compared with one hub. Documents that seem to belong
 together need no further comparison with one another, and of shingles that the same sets
-share one is used; only where a tile still holds
-several groups are rows of different groups compared. What is possible by signature
-is looked up and intersected, and groups that fall apart then are compared again. That
-finds the components. All links lie within them, so where links are asked for, the
+share one is used; only where a tile still holds several groups are rows of different
+groups compared. A pair leaves a tile only if it joins two groups, so a tile gives fewer
+pairs than it has rows, however many are alike. What is possible by signature
+is looked up and intersected. Groups that fall apart then are compared again, first by
+longer signatures; what may still be linked, in tiles that hold the sets themselves, so
+that only links leave them. That finds the components. All links lie within them, so where links are asked for, the
 sets of a component are compared with one another in cells of two blocks. A cell counts
 the links of each set; no pair leaves it."""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -334,6 +335,13 @@ def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_arrow(_paired(pairs, sets, "n", "bits"), bounded, "a bigint, b bigint")
 
 
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sets, sorted arrays with members, are similar."""
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    overlap = int((y[at] == x).sum())
+    return 100 * overlap >= percent * (len(x) + len(y) - overlap)
+
+
 def _verified(pairs: DataFrame, contents: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """The pairs that are links: by signatures as long as the sets call for, and what
     passes by exact intersection of the sorted arrays."""
@@ -350,10 +358,7 @@ def _verified(pairs: DataFrame, contents: DataFrame, percent: int, scratch: Scra
         for batch in batches:
             keep = []
             for left, right in zip(batch.column(2), batch.column(3)):
-                x, y = (np.frombuffer(v.as_buffer(), tb.U64) for v in (left, right))
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                overlap = int((y[at] == x).sum())
-                keep.append(100 * overlap >= percent * (len(x) + len(y) - overlap))
+                keep.append(_linked(*(np.frombuffer(v.as_buffer(), tb.U64) for v in (left, right)), percent))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     near = scratch.write(map_arrow(_paired(pairs, contents, "n", "wide"), bounded, "a bigint, b bigint"), "near")
@@ -446,18 +451,55 @@ def _band(n: Column, percent: int) -> Column:
     return F.floor(F.log(n.cast("double")) / F.lit(-math.log(percent / 100)) + 1e-9).cast("int")
 
 
-def _tile_pairs(members: DataFrame, sets: DataFrame, percent: int, rows: int) -> DataFrame:
-    """Pairs of one `within` but different roots that pass the signature bound, from
-    members (`h`, `uid`, `n`, `root`, `within`). A tile is a shingle and two neighbouring
-    size bands; a large one is split into blocks, and each pair of blocks is a tile.
-    Signatures join the rows last, when only tiles of several roots are left."""
+class _Joined:
+    """Labels of rows, some of which have been joined."""
+
+    def __init__(self, labels: np.ndarray):
+        named, self.first = np.unique(labels, return_inverse=True)
+        self.to = list(range(len(named)))
+        self.labels = self.first
+
+    def _end(self, label: int) -> int:
+        while self.to[label] != label:
+            self.to[label] = label = self.to[self.to[label]]
+        return label
+
+    def joining(self, x: np.ndarray, y: np.ndarray, linked: Callable[[int, int], bool] | None) -> list[int]:
+        """Those of the pairs of rows that join two labels, one after the other, and, where
+        that is asked, are linked. Pairs of joined labels are not asked for."""
+        out = []
+        for k, (a, b) in enumerate(zip(x.tolist(), y.tolist())):
+            r, s = self._end(self.first[a]), self._end(self.first[b])
+            if r != s and (linked is None or linked(a, b)):
+                self.to[s] = r
+                out.append(k)
+        if out:
+            self.labels = np.array([self._end(k) for k in range(len(self.to))])[self.first]
+        return out
+
+
+def _tile_pairs(members: DataFrame, sets: DataFrame, percent: int, rows: int, only_rows: bool = False) -> DataFrame:
+    """Pairs of one `within` but different roots, from members (`h`, `uid`, `n`, `root`,
+    `within`), that pass the signature bound or, where `sets` have `hashes`, are links.
+    Only pairs that join two roots are given: they connect what all pairs would. With
+    `only_rows`, not these but each `uid` that is in any of all pairs.
+
+    A tile is a shingle, a `within` and two neighbouring size bands; a large one is split
+    into blocks, and each pair of blocks is a tile. Signatures and hashes join the rows
+    last, when only tiles of several roots are left."""
+    exact = "hashes" in sets.columns
     banded = members.withColumn("band", _band(F.col("n"), percent))
     placed = banded.withColumn("tile_band", F.explode(F.array(F.col("band"), F.col("band") + 1)))
-    sizes = placed.groupBy("h", "tile_band").agg(
-        F.count(F.lit(1)).alias("m"), F.min("root").alias("r0"), F.max("root").alias("r1"), F.max("band").alias("top")
+    sizes = placed.groupBy("h", "within", "tile_band").agg(
+        F.count(F.lit(1)).alias("m"),
+        F.sum("n").alias("held"),
+        F.min("root").alias("r0"),
+        F.max("root").alias("r1"),
+        F.max("band").alias("top"),
     )
     sizes = sizes.where("m > 1 and r0 <> r1 and top = tile_band")
-    sized = placed.join(sizes, ["h", "tile_band"]).withColumn("blocks", F.ceil(F.col("m") / rows).cast("int"))
+    blocks = F.ceil(F.greatest(F.col("m") / rows, F.col("held") / BLOCK_SHINGLES) if exact else F.col("m") / rows)
+    sized = placed.join(sizes, ["h", "within", "tile_band"]).withColumn("blocks", blocks.cast("int"))
     own = F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int")
     tiles = (
         sized.withColumn("own", own)
@@ -475,21 +517,23 @@ def _tile_pairs(members: DataFrame, sets: DataFrame, percent: int, rows: int) ->
             (F.col("band") == F.col("tile_band")).alias("home"),
         )
     )
-    keys = ["h", "tile_band", "i", "j"]
-    signed = tiles.join(sets.select("uid", "bits"), "uid").select(*keys, "uid", "n", "root", "within", "own", "home", "bits")
+    keys = ["h", "within", "tile_band", "i", "j"]
+    described = [c for c in ("bits", "hashes") if c in sets.columns]
+    signed = tiles.join(sets.select("uid", *described), "uid").select(*keys, "uid", "n", "root", "own", "home", *described)
     ordered = signed.repartition(*keys).sortWithinPartitions(*keys, "n", "uid")
 
     def compare(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """All pairs of whole tiles, some at a time; each pair once."""
+        """All pairs of whole tiles, some at a time, but for those of joined roots."""
         t = pa.Table.from_batches(held)
-        uid, n, root, within, own, home, *key = (
-            t.column(c).to_numpy() for c in ("uid", "n", "root", "within", "own", "home", *keys)
-        )
+        uid, n, root, own, home, *key = (t.column(c).to_numpy() for c in ("uid", "n", "root", "own", "home", *keys))
         bits = t.column("bits").to_pylist()
+        hashes = [np.frombuffer(v.as_buffer(), tb.U64) for v in t.column("hashes")] if exact else []
+        linked = (lambda a, b: _linked(hashes[a], hashes[b], percent)) if exact else None
+        joined, met = _Joined(root), np.zeros(len(uid), bool)
         n = n.astype(np.int64)
         new = np.concatenate(([True], np.any([x[1:] != x[:-1] for x in key], axis=0)))
         tile = np.cumsum(new) - 1
-        split = key[2] != key[3]
+        split = key[3] != key[4]
         place = tile * (1 << 32) + n
         upto = np.searchsorted(place, tile * (1 << 32) + 100 * n // percent, "right")
         partners = np.maximum(upto - np.arange(len(n)) - 1, 0)
@@ -501,7 +545,8 @@ def _tile_pairs(members: DataFrame, sets: DataFrame, percent: int, rows: int) ->
             x = np.repeat(np.arange(at, stop), count)
             y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(count) - count, count)
             at = stop
-            wanted = (root[x] != root[y]) & (within[x] == within[y]) & (home[x] | home[y]) & (~split[x] | (own[x] != own[y]))
+            labels = joined.labels
+            wanted = (labels[x] != labels[y]) & (home[x] | home[y]) & (~split[x] | (own[x] != own[y]))
             x, y = x[wanted], y[wanted]
             pairs = np.sort(np.stack([uid[x], uid[y]], axis=1), axis=1)
             order = np.lexsort(pairs.T)
@@ -509,15 +554,23 @@ def _tile_pairs(members: DataFrame, sets: DataFrame, percent: int, rows: int) ->
             once = np.concatenate(([True], (pairs[1:] != pairs[:-1]).any(axis=1)))[: len(pairs)]
             x, y, pairs = x[order][once], y[order][once], pairs[once]
             passes = (n[x] + n[y] - differences(bits, x, y)) // 2 >= _required(n[x], n[y], percent)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[passes, 0]), pa.array(pairs[passes, 1])], ["a", "b"])
+            x, y, pairs = x[passes], y[passes], pairs[passes]
+            if only_rows:
+                met[x] = met[y] = True
+                continue
+            pairs = pairs[joined.joining(x, y, linked)]
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+        if only_rows:
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(uid[met]))], ["uid"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        rows_held, key = 0, None
+        rows_held, shingles_held, key = 0, 0, None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            names = [batch.column(k).to_numpy() for k in range(4)]
+            names = [batch.column(k).to_numpy() for k in range(len(keys))]
+            shingles = np.concatenate(([0], np.cumsum(batch.column("n").to_numpy(), dtype=np.int64)))
             change = np.zeros(batch.num_rows, bool)
             for x in names:
                 change[1:] |= x[1:] != x[:-1]
@@ -525,15 +578,16 @@ def _tile_pairs(members: DataFrame, sets: DataFrame, percent: int, rows: int) ->
             key = tuple(x[-1] for x in names)
             begin = 0
             for cut in np.flatnonzero(change).tolist():
-                if rows_held + cut - begin >= 4 * rows:
+                if rows_held + cut - begin >= 4 * rows or exact and shingles_held + shingles[cut] - shingles[begin] >= BLOCK_SHINGLES:
                     yield from compare([*held, batch.slice(begin, cut - begin)])
-                    held, rows_held, begin = [], 0, cut
+                    held, rows_held, shingles_held, begin = [], 0, 0, cut
             held.append(batch.slice(begin))
             rows_held += batch.num_rows - begin
+            shingles_held += int(shingles[-1] - shingles[begin])
         if rows_held:
             yield from compare([x for x in held if x.num_rows])
 
-    return map_arrow(ordered, run, "a bigint, b bigint").distinct()
+    return map_arrow(ordered, run, "uid bigint" if only_rows else "a bigint, b bigint").distinct()
 
 
 def similar_groups(
@@ -578,12 +632,7 @@ def similar_groups(
     # First by signatures alone: each document with the hub of its shingle and band, and
     # what that leaves apart with one another.
     near_hub = scratch.write(_possible(_hub_pairs(members, percent), sets, percent), "near_hub")
-    loose = scratch.write(_rooted(members, near_hub, scratch, "within"), "loose")
-    # A hub may be an unlike copy: what it leaves apart is compared with a second one.
-    near_second = _possible(_second_hub_pairs(loose, percent), sets, percent)
-    near_hub = scratch.write(near_hub.unionAll(near_second), "near_hub")
-    loose = scratch.write(_rooted(members, near_hub, scratch, "within"), "loose")
-    apart = loose.withColumn("root", F.col("within")).withColumn("within", F.lit(0).cast("bigint"))
+    apart = scratch.write(_rooted(members, near_hub, scratch, "root"), "apart").withColumn("within", F.lit(0).cast("bigint"))
     scratch.release()
     across = scratch.write(_tile_pairs(apart, sets, percent, tile_rows), "across")
     scratch.release()
@@ -598,12 +647,20 @@ def similar_groups(
         contents = scratch.write(contents.dropDuplicates(["uid"]), "contents")
     links = scratch.write(_verified(possible, contents, percent, scratch), "links")
     scratch.release()
-    # A hub that seemed near may be none: then those it held together are compared.
-    split = _rooted(loose, links, scratch, "root")
+    # What seemed near may not be: then those it held together are compared.
+    seeming = scratch.write(_rooted(members, possible, scratch, "within"), "seeming")
+    split = scratch.write(_rooted(seeming, links, scratch, "root"), "split")
     scratch.release()
-    inside = scratch.write(_tile_pairs(split, sets, percent, tile_rows), "inside")
+    known = contents.select("uid", F.col("wide").alias("bits"), "hashes")
+    split = split.join(_telling(split, "within"), ["h", "within"])
+    # Sets are long: only those move that longer signatures allow a link to another group.
+    doubtful = scratch.write(_tile_pairs(split, known.drop("hashes"), percent, tile_rows, only_rows=True), "doubtful")
     scratch.release()
-    links = scratch.write(links.unionAll(_verified(inside, contents, percent, scratch)), "links")
+    split = scratch.write(split.join(doubtful, "uid"), "split")
+    split = split.join(_telling(split, "within"), ["h", "within"])
+    inside = scratch.write(_tile_pairs(split, known, percent, tile_rows), "inside")
+    scratch.release()
+    links = scratch.write(links.unionAll(inside), "links")
     roots = scratch.write(connected_components(links, scratch), "roots")
     scratch.release()
     if with_links:
@@ -634,19 +691,20 @@ def similar_groups(
     )
 
 
-def _telling(members: DataFrame) -> DataFrame:
+def _telling(members: DataFrame, *within: str) -> DataFrame:
     """`h` of one shingle for each set of several members (`h`, `uid`) that shingles have
     in common, told apart by the least and the largest member, their number and sums of
-    two hashes. All that follows depends on who meets, not on how often, and near copies
-    meet in most of their shingles."""
-    met = members.groupBy("h").agg(
+    two hashes; where groups (`within`) are apart, for each set of members of one. All
+    that follows depends on who meets, not on how often, and near copies meet in most of
+    their shingles."""
+    met = members.groupBy("h", *within).agg(
         F.min("uid").alias("x"),
         F.max("uid").alias("y"),
         F.count(F.lit(1)).alias("m"),
         F.sum(F.shiftrightunsigned(F.xxhash64("uid"), 33)).alias("f"),
         F.sum(F.shiftrightunsigned(F.xxhash64(F.lit(1), "uid"), 33)).alias("g"),
     )
-    return met.where("x <> y").groupBy("x", "y", "m", "f", "g").agg(F.min("h").alias("h")).select("h")
+    return met.where("x <> y").groupBy("x", "y", "m", "f", "g", *within).agg(F.min("h").alias("h")).select("h", *within)
 
 
 def _hub_pairs(members: DataFrame, percent: int) -> DataFrame:
@@ -658,20 +716,6 @@ def _hub_pairs(members: DataFrame, percent: int) -> DataFrame:
     return banded.join(hubs, ["h", "band"]).where("uid <> hub").select(F.col("hub").alias("a"), F.col("uid").alias("b")).distinct()
 
 
-def _second_hub_pairs(loose: DataFrame, percent: int) -> DataFrame:
-    """Where the first hubs left several groups (`within`) to a shingle and size band, the
-    member of the largest number with each of the other groups."""
-    banded = loose.withColumn("band", _band(F.col("n"), percent))
-    hubs = banded.groupBy("h", "band").agg(
-        F.max("uid").alias("hub"),
-        F.max_by("within", "uid").alias("hub_within"),
-        F.min("within").alias("r0"),
-        F.max("within").alias("r1"),
-    )
-    pairs = banded.join(hubs.where("r0 <> r1"), ["h", "band"]).where("within <> hub_within")
-    return pairs.select(F.col("hub").alias("a"), F.col("uid").alias("b")).distinct()
-
-
 def _rooted(members: DataFrame, links: DataFrame, scratch: Scratch, into: str) -> DataFrame:
     """`members` with the component of each under `links`."""
     roots = connected_components(links, scratch).select(F.col("v").alias("uid"), F.col("root").alias(into))

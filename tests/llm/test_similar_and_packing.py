@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -200,6 +201,80 @@ def test_shingles_of_the_same_sets_are_compared_once(spark):
     assert sorted(r.h for r in ngram_join._telling(rows).collect()) == [1, 3, 4, 7]
 
 
+def test_groups_of_one_tile_are_told_apart(spark):
+    met = [(1, 1, 0), (1, 2, 0), (1, 3, 5), (2, 1, 0), (2, 2, 0), (2, 4, 5), (3, 3, 5), (3, 4, 5), (4, 4, 5), (4, 3, 5)]
+    rows = spark.createDataFrame(met, "h bigint, uid bigint, within bigint")
+    assert sorted(map(tuple, ngram_join._telling(rows, "within").collect())) == [(1, 0), (3, 5)]
+
+
+def tile_of(spark, sets: list[np.ndarray]):
+    """Sets that all meet in three shingles, each a group of its own."""
+    rows = [(h, u, len(x), u, 0) for u, x in enumerate(sets) for h in (7, 8, 9)]
+    members = spark.createDataFrame(rows, "h bigint, uid bigint, n int, root bigint, within bigint")
+    described = [(u, bytearray(ngram_join._signature(x).tobytes()), bytearray(x.tobytes())) for u, x in enumerate(sets)]
+    return members, spark.createDataFrame(described, "uid bigint, bits binary, hashes binary")
+
+
+def roots_of(pairs, size: int) -> list[int]:
+    root = list(range(size))
+    for a, b in pairs:
+        root = [min(root[a], root[b]) if r in (root[a], root[b]) else r for r in root]
+    return root
+
+
+@pytest.mark.parametrize("tile_rows, block, chunk", [(2_000, 4_000_000, 500_000), (2_000, 4_000_000, 70), (7, 900, 70)])
+@pytest.mark.parametrize("hashes", [False, True])
+def test_a_tile_gives_no_more_pairs_than_rows(spark, monkeypatch, tile_rows, block, chunk, hashes):
+    monkeypatch.setattr(ngram_join, "PAIRS_AT_ONCE", chunk)
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", block)
+    made, plain = [], ngram_join.map_arrow
+
+    def kept(df, run, schema):
+        made.append(plain(df, run, schema))
+        return made[-1]
+
+    monkeypatch.setattr(ngram_join, "map_arrow", kept)
+    pick = np.random.default_rng(3)
+    base = np.arange(1, 101, dtype=np.uint64) << np.uint64(20) | pick.integers(0, 1 << 20, 100, dtype=np.uint64)
+    sets = []
+    for k in range(60):
+        # Some are near to most others, some at the threshold, some to none.
+        changed = pick.choice(100, (2, 8, 30)[k % 3], replace=False)
+        sets.append(np.unique(np.where(np.isin(np.arange(100), changed), base + np.uint64(k + 1) * np.uint64(1 << 40), base)))
+    members, described = tile_of(spark, sets)
+    pairs = ngram_join._tile_pairs(members, described if hashes else described.drop("hashes"), 80, tile_rows)
+    pairs = [tuple(r) for r in pairs.collect()]
+    signatures = [ngram_join._signature(x).tobytes() for x in sets]
+    x, y = np.triu_indices(len(sets), 1)
+    possible = (200 - ngram_join.differences(signatures, x, y)) // 2 >= ngram_join._required(100, 100, 80)
+    linked = [len(np.intersect1d(sets[a], sets[b])) * 100 >= 80 * len(np.union1d(sets[a], sets[b])) for a, b in zip(x, y)]
+    wanted = np.array(linked) if hashes else possible
+    every = list(zip(x[wanted].tolist(), y[wanted].tolist()))
+    assert len(every) > 4 * len(sets)
+    assert set(pairs) <= set(every) and roots_of(pairs, len(sets)) == roots_of(every, len(sets))
+    rows = ngram_join._tile_pairs(members, described.drop("hashes"), 80, tile_rows, only_rows=True).collect()
+    assert sorted(r.uid for r in rows) == np.unique(np.concatenate([x[possible], y[possible]])).tolist()
+    # All pairs of the three shingles would be many times as many as there are rows.
+    blocks = 1 if tile_rows > len(sets) else 10
+    assert made[0].count() < 3 * len(sets) * blocks and (blocks > 1 or len(pairs) < len(sets))
+
+
+@pytest.mark.parametrize("tile_rows", [2_000, 20])
+def test_a_group_around_the_threshold_equals_brute_force(text_of, some_text, tile_rows):
+    """Hubs and pairs that seem near are often no links here."""
+    pick = random.Random(11)
+    docs = []
+    for g in range(3):
+        words = some_text(900 + g, 120 + 60 * g).split()
+        for k in range(40):
+            edited = list(words)
+            for at in pick.sample(range(len(words)), pick.choice((1, 2, 3, 4, 5))):
+                edited[at] = f"new{k}at{at}"
+            docs.append((100 * g + k, " ".join(edited)))
+    got = [(r.doc_id, r.n_shingles, r.component_id) for r in similar_groups(text_of(*docs), tile_rows=tile_rows).collect()]
+    assert sorted(got) == sorted(expected_groups(docs))
+
+
 def test_sets_are_made_again_only_where_they_are_asked_for(spark, documents, monkeypatch):
     rows = ngram_join._hashed(documents).where("doc_id in (10, 12, 41)")
     active = rows.selectExpr("doc_id * 2 as uid", "doc_id", "text_hash")
