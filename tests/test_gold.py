@@ -69,6 +69,15 @@ def test_building_the_fact_runs_nothing(star, spark):
         spark.sparkContext._jsc.clearJobGroup()
 
 
+def test_rows_of_a_month_move_before_revenue_is_added(fact, star):
+    clients, merges, orders, lines, products = star
+    by_month = gold.fact_sales(lines, orders, clients, merges, products, by_month=True)
+    assert by_month.schema == fact.schema
+    assert sorted(map(tuple, by_month.collect())) == sorted(map(tuple, fact.collect()))
+    plan = by_month._jdf.queryExecution().optimizedPlan().toString()
+    assert "revenue" in plan.split("RebalancePartitions")[0] and "revenue" not in plan.split("RebalancePartitions")[1]
+
+
 def test_partitions_outside_the_window_are_not_read(fact, folder, spark):
     path = f"{folder}/fact"
     fact.write.partitionBy("year", "month").parquet(path)

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from mercato.operators.checks import CheckFailed
-from mercato.sources import catalog, landing
+from mercato.sources import catalog, landing, sample_tables
 
 
 @pytest.fixture()
@@ -37,6 +38,33 @@ def test_bad_rows_are_not_published(spark, schema):
     assert spark.catalog.getTable(name).description == "Numbers."
 
 
+def test_shuffle_files_go_with_the_query(spark, schema):
+    kept = lambda: spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().size()
+    for n in range(3):
+        frame = spark.range(1000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count()
+        before = kept()
+        catalog.publish_table(frame, f"{schema}.grouped")
+        until = time.monotonic() + 20
+        while kept() > before and time.monotonic() < until:
+            time.sleep(0.1)
+        assert kept() <= before
+    assert spark.table(f"{schema}.grouped").count() == 7
+
+
+def test_raw_lines_are_shuffled_once_for_price_and_product(spark, data):
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = sample_tables.line_raw(spark, data)
+        joined = lines.join(sample_tables.product_raw(spark, data).select("sku", "brand"), "sku")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        # One for the lines, one for each of the two tables they are joined with.
+        assert plan.count("Exchange hashpartitioning") == 3
+        assert joined.count() == lines.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
 def test_publish_partitioned_twice_and_replace_one(spark, schema):
     name = f"{schema}.p"
     df = spark.range(20).withColumns({"year": F.col("id") % 2 + 2000, "month": F.lit(1)})
