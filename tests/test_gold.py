@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
@@ -69,15 +70,6 @@ def test_building_the_fact_runs_nothing(star, spark):
         spark.sparkContext._jsc.clearJobGroup()
 
 
-def test_rows_of_a_month_move_before_revenue_is_added(fact, star):
-    clients, merges, orders, lines, products = star
-    by_month = gold.fact_sales(lines, orders, clients, merges, products, by_month=True)
-    assert by_month.schema == fact.schema
-    assert sorted(map(tuple, by_month.collect())) == sorted(map(tuple, fact.collect()))
-    plan = by_month._jdf.queryExecution().optimizedPlan().toString()
-    assert "revenue" in plan.split("RebalancePartitions")[0] and "revenue" not in plan.split("RebalancePartitions")[1]
-
-
 def test_partitions_outside_the_window_are_not_read(fact, folder, spark):
     path = f"{folder}/fact"
     fact.write.partitionBy("year", "month").parquet(path)
@@ -116,6 +108,27 @@ def test_abc_line_crosser_falls_to_the_next_class(spark):
     assert {r["abc_class"] for r in gold.abc_class(nothing).collect()} == {"C"}
 
 
+@pytest.mark.parametrize("products", [3, 400])
+def test_product_mart_shuffles_rows_once_by_product(spark, products):
+    """Few products are all hot, many are not."""
+    sales = spark.range(4 * products).select(
+        (F.col("id") % products).cast("string").alias("sku"), F.lit(2000).alias("year"), (F.col("id") % 3).cast("int").alias("month"),
+        F.lit(1).alias("quantity"), F.col("id").cast("decimal(18,2)").alias("revenue"), F.lit(1).cast("decimal(18,2)").alias("margin"),
+    )
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        mart = gold.mart_product_month(sales)
+        plan = mart._jdf.queryExecution().executedPlan().toString()
+        assert "product-rows" in plan and "sum(quantity" in plan
+        assert ("hashpartitioning(sku" in plan) and (products == 3 or not re.search(r"hashpartitioning\(sku#\d+, year", plan))
+        wanted = gold.product_mart(gold.product_months(sales))
+        assert mart.dtypes == wanted.dtypes
+        assert sorted(map(tuple, mart.collect())) == sorted(map(tuple, wanted.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
 def test_views_survive_zero_revenue(fact, spark):
     zero = fact.withColumn("revenue", F.lit(0).cast("decimal(18,2)"))
     assert {r["share_pct"] for r in views.brand_ranking(zero).collect()} == {None}

@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from mercato.operators.checks import CheckFailed
-from mercato.sources import catalog, landing, sample_tables
+from mercato.session import fresh_folder
+from mercato.sources import catalog, landing, regroup, sample_tables
 
 
 @pytest.fixture()
@@ -75,6 +76,45 @@ def test_publish_partitioned_twice_and_replace_one(spark, schema):
     assert sorted(map(tuple, spark.table(name).groupBy("year").count().collect())) == [(2000, 10), (2001, 1)]
 
 
+ODD = [(n, f"text {n % 3}", [None, "a b", "a/b=c", "plain"][n % 4], n % 5) for n in range(200)]
+
+
+def test_publishing_by_files_keeps_rows_and_leaves_no_files(spark, schema, monkeypatch):
+    """Partitions with odd names, without a value, and larger than a share."""
+    monkeypatch.setattr(regroup, "SHARE", 1)
+    df = spark.createDataFrame(ODD, "id int, t string, kind string, n int").repartition(7)
+    folders = []
+    monkeypatch.setattr(catalog, "fresh_folder", lambda spark, label: folders.append(fresh_folder(spark, label)) or folders[-1])
+    out = catalog.publish_table(
+        df, f"{schema}.f", partition_by=("kind", "n"), by_files=True, measures={"rows": F.count(F.lit(1))}
+    )
+    assert out.columns == df.columns and sorted(map(str, out.collect())) == sorted(map(str, df.collect()))
+    assert catalog.measures_of(spark, f"{schema}.f") == {"rows": "200"}
+    assert folders and not any(os.path.exists(f) for f in folders)
+    empty = catalog.publish_table(df.where("id < 0"), f"{schema}.e", partition_by=("kind", "n"), by_files=True)
+    assert empty.count() == 0
+    with pytest.raises(CheckFailed):
+        catalog.publish_table(df, f"{schema}.g", partition_by=("n",), by_files=True, rules={"no": F.col("id") < 0})
+    assert not any(os.path.exists(f) for f in folders)
+
+
+def test_by_files_brings_partitions_together_without_a_shuffle(spark, folder):
+    df = spark.range(8000).repartition(8).select("id", (F.col("id") % 4).cast("int").alias("n"), F.lit("x" * 50).alias("t"))
+    for share, most in ((10**9, 1), (regroup.SHARE // 2**11, 4)):
+        near = regroup.by_files(df, ["n"], f"{folder}/{share}", share)
+        assert "Exchange" not in near._jdf.queryExecution().executedPlan().toString()
+        placed = near.select("n", F.spark_partition_id().alias("task"))
+        tasks = placed.groupBy("n").agg(F.countDistinct("task").alias("tasks"), F.count(F.lit(1)).alias("rows"))
+        assert {(r["n"], r["rows"]) for r in tasks.collect()} == {(n, 2000) for n in range(4)}
+        assert max(r["tasks"] for r in tasks.collect()) <= most < 8
+
+
+def test_shares():
+    assert regroup.shares({}, 10) == []
+    assert regroup.shares({"a": 4, "b": 5}, 10) == [(["a", "b"], 1)]
+    assert regroup.shares({"a": 25, "b": 9, "c": 9, "d": 9}, 10) == [(["a"], 3), (["b", "c"], 2), (["d"], 2)]
+
+
 def test_log_grows_columns_and_keeps_rows(spark, schema):
     name = f"{schema}.log"
     catalog.rows_to_table(spark, [(1,)], "version int", name)
